@@ -8,7 +8,13 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.operators.dedupe import dedupe_latest
-from tideline.sources.sinks import read_table, scratch_path, write_partitioned
+from tideline.sources.sinks import (
+    gather,
+    observed,
+    read_table,
+    scratch_path,
+    write_partitioned,
+)
 
 # Longer lists of partition values are replaced by the range they span.
 MAX_LISTED_PARTITIONS = 10_000
@@ -49,6 +55,25 @@ def merge_slice(
     return dedupe_latest(slice_, key, version)
 
 
+def store_merged(
+    merged: DataFrame, partition_column: str, metrics: dict[str, Column]
+) -> tuple[DataFrame, dict[str, int]]:
+    """Store merged rows aside, gathered by partition, with the metrics counted on the way.
+
+    Aside, because they are computed from the very files they will replace. The
+    copy has no partition directories, which would only double the small files.
+    """
+    spark, seen = merged.sparkSession, Observation()
+    path = scratch_path(spark, "merged")
+    observed(gather(merged, [partition_column]), seen, metrics).write.parquet(path)
+    return spark.read.schema(merged.schema).parquet(path), seen.get
+
+
+def publish(stored: DataFrame, path: str, partition_column: str, mode: str = "dynamic") -> None:
+    """Copy a stored, already gathered table into place without a shuffle."""
+    write_partitioned(stored, path, [partition_column], mode=mode, gathered=True)
+
+
 def upsert(
     spark: SparkSession,
     slice_: DataFrame,
@@ -57,33 +82,19 @@ def upsert(
     version: Sequence[Column | str],
     partition_column: str,
 ) -> int:
-    """Merge a slice into the parquet table at ``path``; returns the rows written.
-
-    The merged partitions are stored aside first: they are computed from the
-    very files they replace.
-    """
+    """Merge a slice into the parquet table at ``path``; returns the rows written."""
     stored = scratch_path(spark, "slice")
     slice_.write.parquet(stored)
-    merged = merge_slice(
-        spark.read.schema(slice_.schema).parquet(stored),
-        read_table(spark, path, slice_.schema, missing_ok=True),
-        key,
-        version,
+    merged, counts = store_merged(
+        merge_slice(
+            spark.read.schema(slice_.schema).parquet(stored),
+            read_table(spark, path, slice_.schema, missing_ok=True),
+            key,
+            version,
+            partition_column,
+        ),
         partition_column,
+        {"rows": F.count(F.lit(1))},
     )
-    aside = scratch_path(spark, "merged")
-    written = Observation()
-    write_partitioned(
-        merged,
-        aside,
-        [partition_column],
-        mode="static",
-        observe=(written, {"rows": F.count(F.lit(1))}),
-    )
-    publish(spark.read.schema(merged.schema).parquet(aside), path, [partition_column])
-    return written.get["rows"]
-
-
-def publish(stored: DataFrame, path: str, by: Sequence[str], mode: str = "dynamic") -> None:
-    """Copy a stored, already gathered table into place without a shuffle."""
-    write_partitioned(stored, path, by, mode=mode, gather=False)
+    publish(merged, path, partition_column)
+    return counts["rows"]

@@ -22,9 +22,9 @@ from tideline.operators.quality import (
     row_gate_results,
     row_metrics,
 )
-from tideline.plans.incremental import merge_slice, publish
+from tideline.plans.incremental import merge_slice, publish, store_merged
 from tideline.sources.bronze import bronze_schema, raw_path, read_bronze, record_metrics
-from tideline.sources.sinks import read_table, scratch_path, write_partitioned
+from tideline.sources.sinks import observed, read_table, scratch_path, write_partitioned
 from tideline.sources.tables import Table
 from tideline.specs import FlattenSpec, GoldSpec, QualityRules
 
@@ -102,10 +102,6 @@ def _count() -> dict[str, Column]:
     return {"rows": F.count(F.lit(1))}
 
 
-def _observed(df: DataFrame, observation: Observation, metrics: dict[str, Column]) -> DataFrame:
-    return df.observe(observation, *(c.alias(name) for name, c in metrics.items()))
-
-
 def _gate(result: RunResult, gates: Sequence[GateResult], rules: QualityRules) -> None:
     result.gates.extend(gates)
     enforce(gates, rules)
@@ -115,13 +111,13 @@ def _store_flat(spark: SparkSession, spec: RunSpec, bronze: DataFrame, result: R
     """Parse the JSON once, without a shuffle, into columnar rows."""
     records, rows = Observation(), Observation()
     flat = conform(
-        flatten(_observed(bronze, records, record_metrics(spec.flatten)), spec.flatten),
+        flatten(observed(bronze, records, record_metrics(spec.flatten)), spec.flatten),
         spec.environment,
         spec.flatten.timestamp,
         spec.partition_column,
     )
     path = scratch_path(spark, "flat")
-    _observed(flat, rows, _count()).write.parquet(path)
+    observed(flat, rows, _count()).write.parquet(path)
     result.bronze_rows = records.get["records"]
     result.corrupt_records = records.get["corrupt_records"]
     result.empty_records = records.get["empty_records"]
@@ -136,22 +132,12 @@ def _store_silver(spark: SparkSession, spec: RunSpec, flat: DataFrame, result: R
     if spec.mode == "upsert":
         existing = read_table(spark, spec.silver_path, flat.schema, missing_ok=True)
     silver = merge_slice(flat, existing, spec.rules.key, version, spec.partition_column)
-    rules = QualityRules(
-        spec.rules.required, (), spec.rules.ranges, spec.partition_column
-    )
-    seen = Observation()
-    path = scratch_path(spark, "silver")
-    write_partitioned(
-        silver,
-        path,
-        [spec.partition_column],
-        mode="static",
-        observe=(seen, row_metrics(rules)),
-    )
-    result.silver_rows = seen.get["rows"]
-    # No key gate here: the rows were just reduced to one per key.
-    _gate(result, row_gate_results(seen.get, rules, "silver"), rules)
-    return spark.read.schema(silver.schema).parquet(path)
+    # No key gate: the rows were just reduced to one per key.
+    rules = QualityRules(spec.rules.required, (), spec.rules.ranges, spec.partition_column)
+    stored, counts = store_merged(silver, spec.partition_column, row_metrics(rules))
+    result.silver_rows = counts["rows"]
+    _gate(result, row_gate_results(counts, rules, "silver"), rules)
+    return stored
 
 
 def _store_gold(spec: RunSpec, silver: DataFrame, result: RunResult) -> None:
@@ -188,7 +174,7 @@ def _process(
     publish(
         silver,
         spec.silver_path,
-        [spec.partition_column],
+        spec.partition_column,
         mode="dynamic" if spec.mode == "upsert" else "static",
     )
     _store_gold(spec, silver, result)

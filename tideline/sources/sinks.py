@@ -42,33 +42,46 @@ def read_table(
         raise
 
 
+def gather(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Bring the rows of a partition together, so it is not a file per task.
+
+    Adaptive execution then cuts large partitions into several tasks and merges
+    small ones: one date may hold most of the table. Without adaptive execution
+    nothing could cut them and the rows stay where they are.
+    """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        return df
+    return df.hint("rebalance", *(F.col(name) for name in by))
+
+
+def observed(df: DataFrame, observation: Observation, metrics: dict[str, Column]) -> DataFrame:
+    """Count while writing instead of in a job of its own.
+
+    Put it after the last shuffle: tasks of the writing stage count once even if
+    executors are lost and earlier stages run again.
+    """
+    return df.observe(observation, *(c.alias(name) for name, c in metrics.items()))
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
     by: Sequence[str],
     mode: str = "dynamic",
-    gather: bool = True,
+    gathered: bool = False,
     observe: tuple[Observation, dict[str, Column]] | None = None,
 ) -> None:
     """Write a parquet table partitioned by the given columns.
 
     ``dynamic`` replaces only the partitions that ``df`` has rows for,
-    ``static`` the whole table. ``gather`` brings the rows of a partition
-    together to avoid a file per task and partition; adaptive execution then cuts
-    large partitions into several tasks and merges small ones, so one date may
-    hold most of the table. Without adaptive execution nothing could cut them and
-    the rows stay where they are.
-
-    Metrics are observed after the last shuffle: tasks of the writing stage
-    count once even if executors are lost and earlier stages run again.
+    ``static`` the whole table. Rows are gathered first unless they already are.
     """
     if mode not in ("dynamic", "static"):
         raise ValueError(f"Unknown overwrite mode: {mode}")
-    if gather and df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-        df = df.hint("rebalance", *(F.col(name) for name in by))
+    if not gathered:
+        df = gather(df, by)
     if observe is not None:
-        observation, metrics = observe
-        df = df.observe(observation, *(c.alias(name) for name, c in metrics.items()))
+        df = observed(df, *observe)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", mode)

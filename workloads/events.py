@@ -65,7 +65,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrays = [F.col(f"e.{name}").alias(name) for name in ("time", "value", "event_id")]
     return (
         table(spark, sf_dir, "events")
-        .groupBy(F.col("event_type").alias("source"), F.floor(F.col("event_id") / SPAN))
+        .groupBy(F.col("event_type").alias("source"), F.expr(f"event_id div {SPAN}"))
         .agg(F.max("ts").alias("received"), F.array_sort(F.collect_list(entry)).alias("e"))
         .select(
             "source",

@@ -34,6 +34,8 @@ from tideline.sources.tables import ParquetTable
 from tideline.specs import GoldSpec, Measure, QualityRules, Range
 from workloads import events as ev
 
+BY_DATE = ["weather_date"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -231,8 +233,10 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def dq_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = _silver(spark, sf_dir)
-    return layer_report(ev.records(spark, sf_dir), silver, aggregate(silver, ev.GOLD))
+    silver, path = _silver(spark, sf_dir), scratch_path(spark, "silver")
+    write_partitioned(silver, path, BY_DATE)
+    stored = read_table(spark, path, silver.schema)
+    return layer_report(ev.records(spark, sf_dir), stored, aggregate(stored, ev.GOLD))
 
 
 # --- gold -------------------------------------------------------------------
@@ -277,8 +281,6 @@ def gold_daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- sinks ------------------------------------------------------------------
 
-BY_DATE = ["weather_date"]
-
 
 @register
 def silver_write_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,11 +297,12 @@ def gold_write_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _overwrite_twice(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
-    silver, path = _silver(spark, sf_dir), scratch_path(spark, "silver")
+    flat, path = ev.flat(spark, sf_dir), scratch_path(spark, "silver")
     first = F.col("weather_date") < F.lit("2024-01-16").cast("date")
-    write_partitioned(silver.filter(first), path, BY_DATE, mode)
-    write_partitioned(silver.filter(~first), path, BY_DATE, mode)
-    return ev.dated(read_table(spark, path, silver.schema))
+    for part in (first, ~first):
+        silver = dedupe_latest(flat.filter(part), ev.KEY, ["ingestion_timestamp_utc"])
+        write_partitioned(silver, path, BY_DATE, mode)
+    return ev.dated(read_table(spark, path, flat.schema))
 
 
 @register
