@@ -28,8 +28,7 @@ def bronze_schema(spec: FlattenSpec) -> T.StructType:
     """
     arrays = [(spec.axis, T.ArrayType(T.StringType()))]
     for name, array in spec.measures.items():
-        kind = T.DataType.fromDDL(spec.type_of(name))
-        arrays.append((array, T.ArrayType(kind)))
+        arrays.append((array, T.ArrayType(spec.type_of(name))))
     nested: T.DataType = T.StructType([T.StructField(*a) for a in dict(arrays).items()])
     head, *inner = spec.root.split(".")
     for name in reversed(inner):

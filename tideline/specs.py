@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.sql import types as T
+
 from tideline.functions.measures import AGGREGATIONS
 
 
@@ -21,10 +23,10 @@ class FlattenSpec:
     axis: str = "time"
     timestamp: str = "weather_timestamp"
     carry: Sequence[str] = ("ingestion_timestamp_utc", "source")
-    types: Mapping[str, str] = field(default_factory=dict)
+    types: Mapping[str, T.DataType] = field(default_factory=dict)
 
-    def type_of(self, measure: str) -> str:
-        return self.types.get(measure, "double")
+    def type_of(self, measure: str) -> T.DataType:
+        return self.types.get(measure, T.DoubleType())
 
 
 @dataclass(frozen=True)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.operators.flatten import conform, flatten
 from tideline.sources.bronze import bronze_schema, envelope, land, read_bronze
@@ -22,7 +23,7 @@ ENVIRONMENT = "dev"
 FLATTEN = FlattenSpec(
     root="payload.hourly",
     measures={"event_id": "event_id", "value": "value"},
-    types={"event_id": "bigint"},
+    types={"event_id": T.LongType()},
 )
 KEY = ("source", "weather_timestamp", "environment")
 RULES = QualityRules(
