@@ -67,6 +67,15 @@ def test_repeated_rows_are_noticed(spark, table, monkeypatch):
         table.overwrite(df)
 
 
+def test_a_repeated_task_makes_the_overwrite_start_over(spark, table, monkeypatch):
+    calls, found = [], iter([4, 3])
+    df = spark.range(3)
+    monkeypatch.setattr(type(df), "write", property(lambda self: Recorder(calls)))
+    monkeypatch.setattr(JdbcTable, "read", lambda self, spark: spark.range(next(found)))
+    table.overwrite(df)
+    assert calls.count(("save",)) == 2
+
+
 def test_append_and_read(spark, table, monkeypatch):
     calls = []
     df = spark.range(3)

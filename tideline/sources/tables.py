@@ -38,8 +38,9 @@ class JdbcTable:
 
     Overwriting truncates, which keeps the table's grants and indexes.
     ``connections`` bounds the number of parallel writers. Each task commits on
-    its own, so ``overwrite`` reads the row count back: a task that was repeated
-    after its commit is reported instead of published.
+    its own, so a task repeated after its commit, say because its executor was
+    lost, leaves rows twice: ``overwrite`` reads the row count back and starts
+    over if it is wrong. An appended row may be there twice after such a loss.
     """
 
     url: str
@@ -49,6 +50,7 @@ class JdbcTable:
     driver: str | None = None
     connections: int = 8
     batch_size: int = 10_000
+    attempts: int = 3
     read_options: Mapping[str, str] = field(default_factory=dict)
 
     @classmethod
@@ -88,10 +90,12 @@ class JdbcTable:
     def overwrite(self, df: DataFrame) -> None:
         expected = df.count()
         options = {**self._write_options(), "truncate": "true"}
-        df.write.format("jdbc").mode("overwrite").options(**options).save()
-        found = self.read(df.sparkSession).count()
-        if found != expected:
-            raise RuntimeError(f"{self.table} holds {found} rows after writing {expected}")
+        for _ in range(self.attempts):
+            df.write.format("jdbc").mode("overwrite").options(**options).save()
+            found = self.read(df.sparkSession).count()
+            if found == expected:
+                return
+        raise RuntimeError(f"{self.table} holds {found} rows after writing {expected}")
 
     def append(self, df: DataFrame) -> None:
         df.write.format("jdbc").mode("append").options(**self._write_options()).save()

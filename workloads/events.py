@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.operators.flatten import conform, flatten
+from tideline.plans.weather import VARIABLES
 from tideline.sources.bronze import bronze_schema, envelope, land, read_bronze
 from tideline.sources.sinks import scratch_path
 from tideline.specs import FlattenSpec, GoldSpec, Measure, QualityRules, Range
@@ -60,22 +61,47 @@ def instant(ts: Column) -> Column:
     return F.concat(ts.cast("string"), F.lit("Z")).cast("timestamp")
 
 
-def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns source, received, payload."""
-    entry = F.struct("event_id", hour_text(F.col("ts")).alias("time"), "value")
-    arrays = [F.col(f"e.{name}").alias(name) for name in ("time", "value", "event_id")]
+def _batched(events: DataFrame, arrays: list[str]) -> DataFrame:
+    """Columns source, received, payload; ``events`` has the named array elements."""
+    entry = F.struct(*dict.fromkeys(["event_id", *arrays]))
     return (
-        table(spark, sf_dir, "events")
-        .groupBy(F.col("event_type").alias("source"), F.expr(f"event_id div {SPAN}"))
-        .agg(F.max("ts").alias("received"), F.array_sort(F.collect_list(entry)).alias("e"))
+        events.groupBy(F.col("event_type").alias("source"), F.expr(f"event_id div {SPAN}"))
+        .agg(
+            F.max("ts").alias("received"),
+            F.array_sort(F.collect_list(entry)).alias("e"),
+        )
         .select(
             "source",
             "received",
-            F.struct(F.struct(*arrays).alias("hourly")).alias("payload"),
+            F.struct(
+                F.struct(*(F.col(f"e.{name}").alias(name) for name in arrays)).alias("hourly")
+            ).alias("payload"),
         )
     )
 
 
+def _timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").withColumn("time", hour_text(F.col("ts")))
+
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _batched(_timed_events(spark, sf_dir), ["time", "value", "event_id"])
+
+
+def weather_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enveloped responses of the weather feed; sensors saturate at their bounds."""
+    readings = _timed_events(spark, sf_dir).withColumns(
+        {
+            "temperature_2m": F.least("value", F.lit(60.0)),
+            "relative_humidity_2m": F.least("user_id", F.lit(100)),
+            "precipitation": F.col("value"),
+            "wind_speed_10m": F.col("value"),
+        }
+    )
+    batches = _batched(readings, ["time", *VARIABLES])
+    return envelope(batches, F.col("source"), ingested_at=F.col("received"))
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The responses in their envelopes."""
     return envelope(

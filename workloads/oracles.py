@@ -246,6 +246,23 @@ ORACLES: dict[str, str] = {
     "sample_top_n": """
         SELECT event_id, event_type, value FROM events
         ORDER BY value DESC, event_id LIMIT 10""",
+    "weather_full_run": f"""{FLAT}, readings AS (
+          SELECT f.*, least(f.value, 60.0) AS temperature_2m,
+                 CAST(least(v.user_id, 100) AS DOUBLE) AS relative_humidity_2m
+          FROM flat f JOIN events v ON v.event_id = f.event_id),
+        newest AS (
+          SELECT *, row_number() OVER (
+                   PARTITION BY source, weather_timestamp
+                   ORDER BY ingestion_timestamp_utc DESC, temperature_2m DESC,
+                            relative_humidity_2m DESC, value DESC) AS place
+          FROM readings)
+        SELECT 'prod' AS environment, source, weather_date,
+               {avg2('temperature_2m')} AS avg_temperature,
+               {max2('temperature_2m')} AS max_temperature,
+               {avg2('relative_humidity_2m')} AS avg_humidity,
+               {sum2('value')} AS total_precipitation,
+               {max2('value')} AS max_wind_speed
+        FROM newest WHERE place = 1 GROUP BY source, weather_date""",
     "medallion_full_run": ALL_GOLD,
     "medallion_incremental_runs": ALL_GOLD,
     "medallion_run_log": f"""{GOLD}, counts AS (

@@ -21,6 +21,7 @@ from tideline.operators.quality import (
 from tideline.functions.scalars import date_of, iso_utc, utc_wall_clock
 from tideline.plans.incremental import upsert
 from tideline.plans.run import RunSpec, run
+from tideline.plans.weather import weather_run
 from tideline.sources.bronze import (
     INGESTION_DATE,
     bronze_schema,
@@ -440,6 +441,25 @@ def medallion_full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.dated(spec.serving.read(spark))
 
 
+WEATHER_GOLD = {
+    "avg_temperature": {"source_column": "temperature_2m", "aggregation": "avg"},
+    "max_temperature": {"source_column": "temperature_2m", "aggregation": "max"},
+    "avg_humidity": {"source_column": "relative_humidity_2m", "aggregation": "avg"},
+    "total_precipitation": {"source_column": "precipitation", "aggregation": "sum"},
+    "max_wind_speed": {"source_column": "wind_speed_10m", "aggregation": "max"},
+}
+
+
+@register
+def weather_full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The declared weather feed, its variables taken from the events."""
+    lake = scratch_path(spark, "lake")
+    spec = weather_run("prod", lake, WEATHER_GOLD, ParquetTable(f"{lake}/serving"))
+    land(ev.weather_records(spark, sf_dir), raw_path(spec.bronze, spec.source), compact=True)
+    run(spark, spec)
+    return ev.dated(spec.serving.read(spark))
+
+
 def _ingestion_halves(spark: SparkSession, spec: RunSpec) -> tuple[list[str], list[str]]:
     """Ingestion dates are directories: their list is what a scheduler iterates over."""
     bronze = read_bronze(spark, spec.bronze_path, bronze_schema(spec.flatten))
