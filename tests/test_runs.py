@@ -53,6 +53,16 @@ def test_full_run(spark, tmp_path):
     assert served(spark, spec) == FULL
     assert (result.bronze_rows, result.flattened_rows) == (2, 5)
     assert (result.silver_rows, result.gold_rows) == (4, 2)
+    assert (result.duplicate_keys, result.superseded_rows) == (1, 1)
+    assert spark.read.parquet(spec.silver_path).columns == [
+        "ingestion_timestamp_utc",
+        "source",
+        "weather_timestamp",
+        "temperature_2m",
+        "wind_speed_10m",
+        "environment",
+        "weather_date",
+    ]
     assert log_of(spark, spec) == [(2, 4, 2, "SUCCESS")]
     assert key_report(spark, spec).filter("not passed").count() == 0
     entry = spec.audit.read(spark).first()
@@ -92,8 +102,9 @@ def test_failed_gate_publishes_nothing_and_is_recorded(spark, tmp_path):
     run(spark, spec, DAY1)
     before = rows(spark.read.parquet(spec.silver_path), "weather_timestamp")
     put(spec.bronze_path, "2024_01_03", record(hours(1, 0) + hours(3, 0), [1.0, 99.0]))
-    with pytest.raises(QualityError, match="temperature_2m has 1 values outside range -50 to 60"):
+    with pytest.raises(QualityError, match="temperature_2m has 1 values outside range -50 to 60") as e:
         run(spark, spec, "2024_01_03")
+    assert [g.gate for g in e.value.results if not g.passed] == ["value_range"]
     assert rows(spark.read.parquet(spec.silver_path), "weather_timestamp") == before
     assert [r[3] for r in log_of(spark, spec)] == ["SUCCESS", "FAILED"]
     failure = audit.failures(spec.audit.read(spark)).first()

@@ -17,7 +17,11 @@ VALUE_RANGE = "value_range"
 
 
 class QualityError(ValueError):
-    """A declared rule does not hold."""
+    """A declared rule does not hold; ``results`` has all gates evaluated with it."""
+
+    def __init__(self, message: str, results: Sequence["GateResult"] = ()) -> None:
+        super().__init__(message)
+        self.results = list(results)
 
 
 @dataclass(frozen=True)
@@ -172,7 +176,7 @@ def enforce(
     failed = [r for r in results if not r.passed]
     if failed:
         first = min(failed, key=lambda r: _SEVERITY.index(r.gate))
-        raise QualityError(_message(first, rules))
+        raise QualityError(_message(first, rules), results)
     return results
 
 

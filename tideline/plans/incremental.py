@@ -42,6 +42,7 @@ def merge_slice(
     key: Sequence[str],
     version: Sequence[Column | str],
     partition_column: str,
+    copies: str | None = None,
 ) -> DataFrame:
     """New content of all partitions the slice touches, newest row per key.
 
@@ -52,21 +53,26 @@ def merge_slice(
     if existing is not None:
         touched = in_partitions_of(slice_, partition_column)
         slice_ = existing.filter(touched).select(*slice_.columns).unionByName(slice_)
-    return dedupe_latest(slice_, key, version)
+    return dedupe_latest(slice_, key, version, copies)
 
 
 def store_merged(
-    merged: DataFrame, partition_column: str, metrics: dict[str, Column]
+    merged: DataFrame,
+    partition_column: str,
+    metrics: dict[str, Column],
+    only_counted: Sequence[str] = (),
 ) -> tuple[DataFrame, dict[str, int]]:
     """Store merged rows aside, gathered by partition, with the metrics counted on the way.
 
     Aside, because they are computed from the very files they will replace. The
     copy has no partition directories, which would only double the small files.
+    Columns ``only_counted`` serve the metrics and are not stored.
     """
     spark, seen = merged.sparkSession, Observation()
     path = scratch_path(spark, "merged")
-    observed(gather(merged, [partition_column]), seen, metrics).write.parquet(path)
-    return spark.read.schema(merged.schema).parquet(path), seen.get
+    rows = observed(gather(merged, [partition_column]), seen, metrics).drop(*only_counted)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path), seen.get
 
 
 def publish(stored: DataFrame, path: str, partition_column: str, mode: str = "dynamic") -> None:

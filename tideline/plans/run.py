@@ -86,13 +86,20 @@ class RunSpec:
 
 @dataclass
 class RunResult:
-    """Counts fill in as the run proceeds, so a failed run reports how far it came."""
+    """Counts fill in as the run proceeds, so a failed run records how far it came.
+
+    Silver and gold count what passed their gates. ``duplicate_keys`` had several
+    rows among the slice and the dates it touches; ``superseded_rows`` are those
+    that lost to a newer one.
+    """
 
     status: str = FAILED
     bronze_rows: int = 0
     corrupt_records: int = 0
     empty_records: int = 0
     flattened_rows: int = 0
+    duplicate_keys: int = 0
+    superseded_rows: int = 0
     silver_rows: int = 0
     gold_rows: int = 0
     gates: list[GateResult] = field(default_factory=list)
@@ -131,19 +138,32 @@ def _store_silver(spark: SparkSession, spec: RunSpec, flat: DataFrame, result: R
     existing = None
     if spec.mode == "upsert":
         existing = read_table(spark, spec.silver_path, flat.schema, missing_ok=True)
-    silver = merge_slice(flat, existing, spec.rules.key, version, spec.partition_column)
+    silver = merge_slice(
+        flat, existing, spec.rules.key, version, spec.partition_column, copies="_copies"
+    )
     # No key gate: the rows were just reduced to one per key.
     rules = QualityRules(spec.rules.required, (), spec.rules.ranges, spec.partition_column)
-    stored, counts = store_merged(silver, spec.partition_column, row_metrics(rules))
-    result.silver_rows = counts["rows"]
+    metrics = {
+        **row_metrics(rules),
+        "duplicate_keys": F.count_if(F.col("_copies") > 1),
+        "superseded_rows": F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)),
+    }
+    stored, counts = store_merged(silver, spec.partition_column, metrics, ["_copies"])
+    result.duplicate_keys = counts["duplicate_keys"]
+    result.superseded_rows = counts["superseded_rows"]
     _gate(result, row_gate_results(counts, rules, "silver"), rules)
+    result.silver_rows = counts["rows"]
     return stored
 
 
-def _store_gold(spec: RunSpec, silver: DataFrame, result: RunResult) -> None:
+def _store_gold(
+    spark: SparkSession, spec: RunSpec, silver: DataFrame, result: RunResult
+) -> DataFrame:
+    """Summary of the touched dates; returns the whole gold table."""
     seen = Observation()
+    gold = aggregate(silver, spec.aggregations)
     write_partitioned(
-        aggregate(silver, spec.aggregations),
+        gold,
         spec.gold_path,
         [spec.partition_column],
         mode="dynamic" if spec.mode == "upsert" else "static",
@@ -151,6 +171,7 @@ def _store_gold(spec: RunSpec, silver: DataFrame, result: RunResult) -> None:
     )
     result.gold_rows = seen.get["rows"]
     _gate(result, row_gate_results(seen.get, QualityRules(), "gold"), QualityRules())
+    return read_table(spark, spec.gold_path, gold.schema)
 
 
 def _process(
@@ -177,9 +198,9 @@ def _process(
         spec.partition_column,
         mode="dynamic" if spec.mode == "upsert" else "static",
     )
-    _store_gold(spec, silver, result)
+    gold = _store_gold(spark, spec, silver, result)
     if spec.serving is not None:
-        spec.serving.overwrite(spark.read.parquet(spec.gold_path))
+        spec.serving.overwrite(gold)
 
 
 def _record(
