@@ -23,8 +23,8 @@ def dedupe_latest(
 
     It is an aggregate, so every task keeps one row per key before the shuffle
     and a key that holds a large part of the table costs one row per task. Spark
-    sorts for a struct-valued maximum; the leading hash settles nearly all
-    of that sort's comparisons on one long.
+    sorts by key for a struct-valued maximum, which is cheap on flattened records:
+    they come as runs that are sorted already.
     """
     own = [name for name in df.columns if name not in set(key)]
     first = [v for v in version if isinstance(v, str) and v in own]
@@ -37,7 +37,7 @@ def dedupe_latest(
     measures = [F.max(F.struct(*ordered)).alias("_newest")]
     if copies:
         measures.append(F.count(F.lit(1)).alias(copies))
-    winners = df.groupBy(F.xxhash64(*key).alias("_key_hash"), *key).agg(*measures)
+    winners = df.groupBy(*key).agg(*measures)
     return winners.select(
         *(
             F.col(name) if name in set(key) else F.col("_newest")[name].alias(name)

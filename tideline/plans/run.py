@@ -30,7 +30,7 @@ from tideline.specs import FlattenSpec, GoldSpec, QualityRules
 
 log = logging.getLogger(__name__)
 
-# Fixed value: the envelope's version column.
+# Fixed value: the envelope's version column. Its texts are all UTC, so they sort by time.
 INGESTED = "ingestion_timestamp_utc"
 
 
@@ -52,6 +52,7 @@ class RunSpec:
     aggregations: GoldSpec
     serving: Table | None = None
     audit: Table | None = None
+    # Default names of the run, the layers' tables and the partition.
     pipeline_name: str = "weather_pipeline"
     bronze_entity: str = "raw"
     silver_entity: str = "weather"
@@ -134,12 +135,11 @@ def _store_flat(spark: SparkSession, spec: RunSpec, bronze: DataFrame, result: R
 
 def _store_silver(spark: SparkSession, spec: RunSpec, flat: DataFrame, result: RunResult):
     """Newest row per key of all touched dates, stored aside and checked."""
-    version = [F.col(INGESTED).try_cast("timestamp")]
     existing = None
     if spec.mode == "upsert":
         existing = read_table(spark, spec.silver_path, flat.schema, missing_ok=True)
     silver = merge_slice(
-        flat, existing, spec.rules.key, version, spec.partition_column, copies="_copies"
+        flat, existing, spec.rules.key, [INGESTED], spec.partition_column, copies="_copies"
     )
     # No key gate: the rows were just reduced to one per key.
     rules = QualityRules(spec.rules.required, (), spec.rules.ranges, spec.partition_column)

@@ -77,6 +77,7 @@ class GoldSpec:
     """
 
     measures: Mapping[str, Measure]
+    # Fixed value: the default grouping key.
     keys: Sequence[str] = ("environment", "source", "weather_date")
     digits: int = 2
     scale: int = 4
