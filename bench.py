@@ -32,7 +32,7 @@ WARM_RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 HEADLINES = [
     "flatten_hourly",
-    "dedupe_latest_hour",
+    "dedupe_latest",
     "dedupe_keys",
     "dq_report",
     "dq_duplicates",

@@ -200,7 +200,7 @@ ORACLES: dict[str, str] = {
                CASE WHEN source = 'error' AND idx = entries - 1 THEN NULL ELSE value END AS value
         FROM flat""",
     "silver_conform": f"{FLAT} SELECT {ROW} FROM flat",
-    "dedupe_latest_hour": f"{SILVER} SELECT {ROW}, copies FROM silver",
+    "dedupe_latest": f"{SILVER} SELECT {ROW}, copies FROM silver",
     "dedupe_keys": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
     "dq_row_count": _dq_row_count(),
     "dq_not_null": _dq_not_null(),

@@ -42,7 +42,7 @@ QUERIES: dict[str, Query] = {}
 
 
 def register(query: Query) -> Query:
-    QUERIES[query.__name__] = query
+    QUERIES[query.__name__.removesuffix("_query")] = query
     return query
 
 
@@ -166,7 +166,7 @@ def _silver(spark: SparkSession, sf_dir: str, copies: str | None = None) -> Data
 
 
 @register
-def dedupe_latest_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dedupe_latest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.dated(_silver(spark, sf_dir, copies="copies"))
 
 
