@@ -25,7 +25,12 @@ def health(df):
 
 def test_envelope_round_trip(spark, tmp_path):
     responses = spark.createDataFrame(
-        [('{"hourly": {"time": ["2024-01-01T00:00"], "temperature_2m": [1.5]}, "extra": [1, {}]}',)],
+        [
+            (
+                '{"hourly": {"time": ["2024-01-01T00:00"], "temperature_2m": [1.5]},'
+                ' "extra": [1, {}]}',
+            )
+        ],
         "payload string",
     )
     at = F.lit(datetime(2024, 1, 1, 23, 59, 59, 5, tzinfo=timezone.utc))

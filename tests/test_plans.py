@@ -36,7 +36,8 @@ def exchanges(text: str) -> int:
 def test_row_gates_share_one_scan_and_no_wide_shuffle(spark):
     items = ev.table(spark, SF, "lineitem")
     rules = ev.QualityRules(
-        required=("l_tax", "l_shipdate"), ranges={"l_tax": ev.Range(0, 1), "l_discount": ev.Range(0)}
+        required=("l_tax", "l_shipdate"),
+        ranges={"l_tax": ev.Range(0, 1), "l_discount": ev.Range(0)},
     )
     text = plan(quality_report(items, rules))
     assert text.count("FileScan") == 1
@@ -74,7 +75,8 @@ def test_flatten_has_no_shuffle_and_no_python(spark, tmp_path):
 
 def test_merge_opens_only_touched_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
-    data = spark.createDataFrame([("a", f"2024-01-{d:02d}") for d in range(1, 10)], "k string, d string")
+    days = [("a", f"2024-01-{day:02d}") for day in range(1, 10)]
+    data = spark.createDataFrame(days, "k string, d string")
     table = data.select("k", F.col("d").cast("date").alias("d"))
     write_partitioned(table, path, ["d"])
     touched = in_partitions_of(table.filter("d = date'2024-01-03'"), "d")

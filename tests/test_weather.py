@@ -35,8 +35,9 @@ def test_pretty_printed_responses_to_daily_summary(spark, tmp_path):
     spec = weather_run(
         "test", str(tmp_path), GOLD, ParquetTable(str(tmp_path / "serving")), documents=True
     )
-    for name, at in (("a.json", "2026-06-18T05:00:00+00:00"), ("b.json", "2026-06-18T06:00:00+00:00")):
-        put(spec.bronze_path, "2026_06_18", response(at), name=name, indent=2)
+    for hour in ("05", "06"):
+        again = response(f"2026-06-18T{hour}:00:00+00:00")
+        put(spec.bronze_path, "2026_06_18", again, name=f"{hour}.json", indent=2)
     result = run(spark, spec, "2026_06_18")
     assert (result.bronze_rows, result.flattened_rows) == (2, 48)
     assert (result.silver_rows, result.gold_rows) == (24, 1)

@@ -169,7 +169,7 @@ _SEVERITY = (ROW_COUNT, NOT_NULL, NO_DUPLICATES, VALUE_RANGE)
 
 
 def enforce(
-    report: DataFrame | Iterable[GateResult], rules: QualityRules = QualityRules()
+    report: DataFrame | Iterable[GateResult], rules: QualityRules
 ) -> list[GateResult]:
     """Raise ``QualityError`` for the first failed gate, else return all results."""
     results = _collect(report) if isinstance(report, DataFrame) else list(report)

@@ -48,7 +48,8 @@ def merge_slice(
 
     Rows already there are kept unless the slice has a newer version, so a date
     that is only partly covered loses nothing and a repeated slice changes nothing.
-    ``slice_`` is read twice and should be a stored table.
+    The key must determine the partition: a key is only looked for in the
+    partitions of the slice. ``slice_`` is read twice and should be a stored table.
     """
     if existing is not None:
         touched = in_partitions_of(slice_, partition_column)

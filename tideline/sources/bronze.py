@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.scalars import day_label, iso_utc, utc_wall_clock
+from tideline.sources.sinks import gather
 from tideline.specs import FlattenSpec
 
 INGESTION_DATE = "ingestion_date"
@@ -77,7 +78,7 @@ def land(records: DataFrame, path: str, compact: bool = False) -> None:
     what they hold. ``compact`` first gathers the dates of a backfill.
     """
     if compact:
-        records = records.hint("rebalance", F.col(INGESTION_DATE))
+        records = gather(records, [INGESTION_DATE])
     records.write.mode("append").partitionBy(INGESTION_DATE).json(path)
 
 

@@ -123,7 +123,9 @@ def _dq_report() -> str:
     duplicates = f"(SELECT count(*) FROM (SELECT 1 FROM flat GROUP BY {key} HAVING count(*) > 1))"
     parts = [
         _row_count("flattened", "flat"),
-        _violations("flattened", "not_null", "weather_timestamp", "weather_timestamp IS NULL", "flat"),
+        _violations(
+            "flattened", "not_null", "weather_timestamp", "weather_timestamp IS NULL", "flat"
+        ),
         _violations("flattened", "not_null", "value", "value IS NULL", "flat"),
         _violations("flattened", "value_range", "value", "value < 0 OR value > 300", "flat"),
         _gate("flattened", "no_duplicates", key, duplicates, "(SELECT count(*) FROM flat)"),

@@ -30,7 +30,7 @@ from tideline.sources.bronze import (
     read_bronze,
     record_health,
 )
-from tideline.sources.sinks import read_table, scratch_path, write_partitioned
+from tideline.sources.sinks import gather, read_table, scratch_path, write_partitioned
 from tideline.sources.tables import ParquetTable
 from tideline.specs import GoldSpec, Measure, QualityRules, Range
 from workloads import events as ev
@@ -95,7 +95,7 @@ def bronze_record_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     line = F.to_json(F.struct("ingestion_timestamp_utc", "source", "payload"))
     path = scratch_path(spark, "bronze")
-    (
+    lines = (
         ev.records(spark, sf_dir)
         .withColumn("payload", emptied)
         .withColumn("line", line)
@@ -105,10 +105,8 @@ def bronze_record_health(spark: SparkSession, sf_dir: str) -> DataFrame:
             .alias("value"),
             INGESTION_DATE,
         )
-        .hint("rebalance", F.col(INGESTION_DATE))
-        .write.partitionBy(INGESTION_DATE)
-        .text(path)
     )
+    gather(lines, [INGESTION_DATE]).write.partitionBy(INGESTION_DATE).text(path)
     return record_health(read_bronze(spark, path, bronze_schema(ev.FLATTEN)), ev.FLATTEN)
 
 
@@ -194,7 +192,8 @@ def dq_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One event type has no value, another an unreadable timestamp."""
-    text = F.when(F.col("event_type") == "view", F.lit("junk")).otherwise(F.col("ts").cast("string"))
+    is_view = F.col("event_type") == "view"
+    text = F.when(is_view, F.lit("junk")).otherwise(F.col("ts").cast("string"))
     events = ev.table(spark, sf_dir, "events").select(
         F.nullif("event_type", F.lit("error")).alias("source"),
         "user_id",
@@ -250,7 +249,8 @@ def gold_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def gold_daily_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = ev.table(spark, sf_dir, "lineitem").withColumn("ship_date", date_of(F.col("l_shipdate")))
+    items = ev.table(spark, sf_dir, "lineitem")
+    items = items.withColumn("ship_date", date_of(F.col("l_shipdate")))
     spec = GoldSpec(
         {
             "avg_price": Measure("l_extendedprice", "avg"),
@@ -268,7 +268,8 @@ def gold_daily_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def gold_daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = ev.table(spark, sf_dir, "orders").withColumn("order_date", date_of(F.col("o_orderdate")))
+    orders = ev.table(spark, sf_dir, "orders")
+    orders = orders.withColumn("order_date", date_of(F.col("o_orderdate")))
     spec = GoldSpec(
         {
             "avg_price": Measure("o_totalprice", "avg"),
