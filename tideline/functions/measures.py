@@ -21,21 +21,20 @@ from pyspark.sql import types as T
 _EXACT_LIMIT = float(2**53)
 
 
-def _is_binary_float(kind: T.DataType) -> bool:
+def is_binary_float(kind: T.DataType) -> bool:
     return isinstance(kind, (T.DoubleType, T.FloatType))
 
 
-def _ticks(value: Column, scale: int) -> Column:
-    """The value as a whole number of ``10**-scale``, NULL if it is not one."""
+def ticks_of(value: Column, scale: int) -> Column:
+    """The double as a whole number of ``10**-scale``, NULL if it is not one."""
     unit = F.lit(float(10**scale))
     ticks = F.rint(value * unit)
     fits = (F.abs(ticks) < F.lit(_EXACT_LIMIT)) & (ticks / unit == value)
     return F.when(fits, ticks.cast("bigint"))
 
 
-def _rounded(value: Column, digits: int, scale: int, divisor: Column) -> Column:
+def _rounded(value: Column, ticks: Column, digits: int, scale: int, divisor: Column) -> Column:
     """``sum(value) / divisor``, exact where every value of the group allows it."""
-    ticks = _ticks(value, scale)
     total = F.try_sum(ticks)
     unit = F.lit(10**scale).cast("decimal(10,0)")
     exact = total.cast("decimal(19,0)") / (unit * divisor.cast("decimal(19,0)"))
@@ -45,24 +44,24 @@ def _rounded(value: Column, digits: int, scale: int, divisor: Column) -> Column:
     ).otherwise(F.round(F.sum(value) / divisor, digits))
 
 
-def rounded_avg(value: Column, kind: T.DataType, digits: int, scale: int) -> Column:
-    if not _is_binary_float(kind):
+def rounded_avg(value: Column, ticks: Column | None, digits: int, scale: int) -> Column:
+    if ticks is None:
         return F.round(F.avg(value), digits)
-    value = value.cast("double")
-    return _rounded(value, digits, scale, F.nullif(F.count(value), F.lit(0)))
+    return _rounded(value, ticks, digits, scale, F.nullif(F.count(value), F.lit(0)))
 
 
-def rounded_sum(value: Column, kind: T.DataType, digits: int, scale: int) -> Column:
-    if not _is_binary_float(kind):
+def rounded_sum(value: Column, ticks: Column | None, digits: int, scale: int) -> Column:
+    if ticks is None:
         return F.round(F.sum(value), digits)
-    return _rounded(value.cast("double"), digits, scale, F.lit(1))
+    return _rounded(value, ticks, digits, scale, F.lit(1))
 
 
-def rounded_max(value: Column, kind: T.DataType, digits: int, scale: int) -> Column:
+def rounded_max(value: Column, ticks: Column | None, digits: int, scale: int) -> Column:
     return F.round(F.max(value), digits)
 
 
-AGGREGATIONS: dict[str, Callable[[Column, T.DataType, int, int], Column]] = {
+# From the value, its ticks (None unless it is a double), the digits and the scale.
+AGGREGATIONS: dict[str, Callable[[Column, Column | None, int, int], Column]] = {
     "avg": rounded_avg,
     "sum": rounded_sum,
     "max": rounded_max,

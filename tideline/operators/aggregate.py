@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.functions.measures import AGGREGATIONS
+from tideline.functions.measures import AGGREGATIONS, is_binary_float, ticks_of
 from tideline.specs import GoldSpec
 
 
@@ -15,12 +15,16 @@ def aggregate(silver: DataFrame, spec: GoldSpec) -> DataFrame:
     All buffers have a fixed width, so Spark aggregates by hash on both sides of
     a shuffle that carries one partial row per task and group.
     """
-    kinds = {f.name: f.dataType for f in silver.schema.fields}
-    return silver.groupBy(*spec.keys).agg(
-        *(
-            AGGREGATIONS[m.aggregation](
-                F.col(m.source_column), kinds[m.source_column], spec.digits, spec.scale
-            ).alias(output)
-            for output, m in spec.measures.items()
-        )
-    )
+    projected, inputs = [], {}
+    for i, name in enumerate(dict.fromkeys(m.source_column for m in spec.measures.values())):
+        value, ticks = f"_value_{i}", None
+        projected.append(F.col(name).alias(value))
+        if is_binary_float(silver.schema[name].dataType):
+            ticks = f"_ticks_{i}"
+            projected.append(ticks_of(F.col(name).cast("double"), spec.scale).alias(ticks))
+        inputs[name] = (F.col(value), ticks and F.col(ticks))
+    measures = [
+        AGGREGATIONS[m.aggregation](*inputs[m.source_column], spec.digits, spec.scale).alias(output)
+        for output, m in spec.measures.items()
+    ]
+    return silver.select(*spec.keys, *projected).groupBy(*spec.keys).agg(*measures)
