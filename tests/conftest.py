@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
     spark = session(
         "tests",
         {
-            "spark.master": "local[8]",
+            "spark.master": "local[8,4]",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": "8",

@@ -4,13 +4,14 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from helpers import GOLD, KEY, SPEC, put, record
 from tideline import aggregate, dedupe_latest, flatten, quality_report
 from tideline.plans.incremental import in_partitions_of
 from tideline.sources.bronze import bronze_schema, read_bronze
-from tideline.sources.sinks import scratch_path, write_partitioned
+from tideline.sources.sinks import gather, observed, scratch_path, write_partitioned
 from workloads import events as ev
 
 SF = "/root/testdata/sf0.01"
@@ -112,6 +113,25 @@ def test_without_adaptive_execution_rows_stay_where_they_are(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path)).count() == 100
 
 
+def test_observed_counts_survive_lost_tasks(spark, tmp_path):
+    """Every writing task fails once after it has counted its rows."""
+
+    def fail_once(batches):
+        from pyspark import TaskContext
+
+        rows = list(batches)
+        if TaskContext.get().attemptNumber() == 0:
+            raise RuntimeError("lost")
+        yield from rows
+
+    seen = Observation()
+    df = gather(spark.range(1000).withColumn("d", F.col("id") % 5), ["d"])
+    counted = observed(df, seen, {"rows": F.count(F.lit(1))})
+    counted.mapInPandas(fail_once, df.schema).write.parquet(str(tmp_path / "t"))
+    assert seen.get["rows"] == 1000
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1000
+
+
 def test_nothing_is_collapsed_into_one_task(spark, silver):
     for df in (dedupe_latest(silver, KEY), aggregate(silver, GOLD), ev.flat(spark, SF)):
         text = plan(df)
