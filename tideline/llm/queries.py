@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tideline.llm.common import table
 from tideline.llm.exact_dedup import exact_classes
+from tideline.llm.quality_rules import quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +30,18 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id = max(doc_id) OVER same AS kept, sha256(body) AS text_sha256
 FROM t WINDOW same AS (PARTITION BY body)
 """
+
+
+@register
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged, _ = quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
