@@ -30,3 +30,10 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def filesystem(path: str):
+    """The file system of a folder and the folder's path there, for Python workers."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path)

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tideline.llm.common import table
 from tideline.llm.exact_dedup import exact_classes
 from tideline.llm.quality_rules import quality_rules
+from tideline.llm.token_files import read_token_files, write_token_files
+from tideline.sources.sinks import scratch_path
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,3 +51,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed",
         "kept",
     )
+
+
+@register
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), path, WORD_BPE, end_id=2)
+    return read_token_files(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
