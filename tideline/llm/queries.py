@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm.common import table
 from tideline.llm.exact_dedup import exact_classes
+from tideline.llm.packing import pack_documents
 from tideline.llm.quality_rules import quality_rules
 from tideline.llm.token_files import read_token_files, write_token_files
 from tideline.sources.sinks import scratch_path
@@ -60,3 +61,8 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
+
+
+@register
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), WORD_BPE, end_id=1, capacity=4096)
