@@ -13,9 +13,11 @@ from tideline.llm.exact_dedup import exact_classes
 from tideline.llm.packing import pack_documents
 from tideline.llm.quality_rules import quality_rules
 from tideline.llm.token_files import read_token_files, write_token_files
+from tideline.llm.token_counts import token_counts
 from tideline.sources.sinks import scratch_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +68,9 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), WORD_BPE, end_id=1, capacity=4096)
+
+
+@register
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts(table(spark, sf_dir, "documents"), PIECE_BPE)
+    return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
