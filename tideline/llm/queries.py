@@ -14,6 +14,7 @@ from tideline.llm.packing import pack_documents
 from tideline.llm.quality_rules import quality_rules
 from tideline.llm.token_files import read_token_files, write_token_files
 from tideline.llm.token_counts import token_counts
+from tideline.llm.warc import archive_pages, read_warc, record_key
 from tideline.sources.sinks import scratch_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -74,3 +75,16 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts(table(spark, sf_dir, "documents"), PIECE_BPE)
     return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+@register
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    archive_pages(table(spark, sf_dir, "pages"), path)
+    return read_warc(spark, path).select(
+        record_key("record_id").alias("page_id"),
+        F.col("payload_length").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        record_key("refers_to").alias("refers_to"),
+    )
