@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tideline.llm.common import table
 from tideline.llm.exact_dedup import exact_classes
 from tideline.llm.packing import pack_documents
+from tideline.llm.quality_classifier import fit_classifier, held_out, score
 from tideline.llm.quality_rules import quality_rules
 from tideline.llm.token_files import read_token_files, write_token_files
 from tideline.llm.token_counts import token_counts
@@ -88,3 +89,15 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         record_key("refers_to").alias("refers_to"),
     )
+
+
+@register
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_classifier(docs, table(spark, sf_dir, "labels"))
+    return score(docs, model).select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
