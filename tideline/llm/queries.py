@@ -14,7 +14,9 @@ from tideline.llm.packing import pack_documents
 from tideline.llm.quality_classifier import fit_classifier, held_out, score
 from tideline.llm.quality_rules import quality_rules
 from tideline.llm.token_files import read_token_files, write_token_files
+from tideline.llm.secrets import scan
 from tideline.llm.token_counts import token_counts
+from tideline.llm.viterbi import decode, encode
 from tideline.llm.warc import archive_pages, read_warc, record_key
 from tideline.sources.sinks import scratch_path
 
@@ -101,3 +103,29 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@register
+def op10_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and whether they decode to it (pieces can't tell U+2581 from a space)."""
+    encoded = encode(table(spark, sf_dir, "documents"), PIECE_BPE)
+    return decode(encoded, PIECE_BPE).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.char_length("text").cast("long").alias("decoded_chars"),
+        F.crc32(F.encode("text", "UTF-8")).alias("decoded_crc32"),
+    )
+
+
+@register
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate with its verdict; values leave as digests only."""
+    return scan(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "start",
+        "end",
+        F.sha2("value", 256).alias("value_sha256"),
+        F.round("score", 6).alias("score"),
+        "is_secret",
+    )
