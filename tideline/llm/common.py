@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.sources.sinks import scratch_path
 
@@ -37,3 +38,15 @@ def filesystem(path: str):
     from pyarrow import fs
 
     return fs.FileSystem.from_uri(path)
+
+
+def map_rows(df: DataFrame, change, added: list[T.StructField] | None = None) -> DataFrame:
+    """Arrow batches of all columns through ``change``, under any column names.
+
+    The result has the columns of ``df`` and those of ``added`` after them; ``change``
+    goes by position.
+    """
+    fields = [*df.schema.fields, *(added or [])]
+    plain = [T.StructField(f"c{i}", f.dataType, f.nullable) for i, f in enumerate(fields)]
+    columns = [f.name for f in plain[: len(df.columns)]]
+    return df.toDF(*columns).mapInArrow(change, T.StructType(plain)).toDF(*(f.name for f in fields))

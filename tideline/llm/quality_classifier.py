@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import stored, whole
+from tideline.llm.common import map_rows, stored
 from tideline.llm.words import Words, chunks, mix, words
 
 WORDS, SHAPES, SIZE, SIGNS = 1 << 15, 1 << 11, 32, 4
@@ -289,4 +289,4 @@ def keep_good(
             good = model.scores(batch.column(place).to_pylist()) >= threshold
             yield batch.filter(pa.array(good))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_rows(docs, run)

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideline.llm.common import map_rows
+
 MIN_RUN, MIN_ASSIGNED = 16, 8
 CONTEXT = 80
 _RUN = re.compile(r"(?<![A-Za-z0-9+/=_.~-])[A-Za-z0-9+/=_.~-]{%d,}" % MIN_RUN)
@@ -487,6 +489,6 @@ def redact(
                 for i, text in changed.items():
                     sizes[i] = len(text)
                 columns[size_at] = pa.array(sizes, columns[size_at].type)
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_rows(docs, run)

@@ -21,7 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tideline.llm.common import map_rows
 from tideline.llm.token_counts import SPACE, pre_tokens
 
 UNIGRAM, NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 1, 2, 3, 4, 5, 6
@@ -263,8 +265,7 @@ def encode(
 def decode(rows: DataFrame, model: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
     """``rows`` with the text of their ids; null ids count as none."""
     place = rows.columns.index(ids_col)
-    schema = rows.schema.add(text_col, "string")
-    names = [f.name for f in schema]
+    names = [f"c{i}" for i in range(len(rows.columns) + 1)]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -272,4 +273,4 @@ def decode(rows: DataFrame, model: str, ids_col: str = "ids", text_col: str = "t
             texts = pa.array(viterbi(model).decode(ids), pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names)
 
-    return rows.mapInArrow(run, schema)
+    return map_rows(rows, run, [T.StructField(text_col, T.StringType())])
