@@ -32,44 +32,27 @@ def _ranked(keep: str, ident: Column) -> Column:
     return F.struct(known.alias("known"), ident.alias("id"), F.col("part").alias("part"))
 
 
-def exact_classes(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    keep: str = "max",
-    fan_in: int = 16,
-) -> DataFrame:
-    """One row per input row: id, keep_id, group_size, kept, text_sha256.
+def owners_of(tasks: int, fan_in: int) -> tuple[int, int]:
+    """(rounds, owners): the smallest tree with at least as many owners as tasks."""
+    rounds = max(1, math.ceil(math.log(max(tasks, 2), fan_in) - 1e-9))
+    return rounds, fan_in**rounds
 
-    Texts are equal if their bytes are. Of equal texts the largest identifier stays
-    (``keep="min"``: the smallest). Defined cases: a null text counts as empty; a
-    null identifier stays only if its group has no other; of repeated rows (same
-    identifier and text) one is kept and all count in ``group_size``; an empty table
-    gives no rows. Other columns of ``docs`` are not read, whatever their names.
+
+def merge_runs(rows: DataFrame, keep: str, fan_in: int = 16) -> DataFrame:
+    """The tree merge. ``rows`` has part, id and the key (prefix, digest, bytes).
+
+    Result, a row for each: part, id, the key, best (struct with the id that stays), n, kept.
     """
-    if keep not in ("max", "min"):
-        raise ValueError(f"Unknown rule: {keep}")
-    spark = docs.sparkSession
+    spark = rows.sparkSession
     best = F.max if keep == "max" else F.min
     best_of = F.array_max if keep == "max" else F.array_min
     tasks = partitions(spark)
-    rounds = max(1, math.ceil(math.log(max(tasks, 2), fan_in) - 1e-9))
-    owners = fan_in**rounds
-
-    rows = docs.select(
-        F.pmod(F.spark_partition_id(), F.lit(owners)).alias("part"),
-        F.col(id_col).alias("id"),
-        whole(text_col).alias("body"),
-    ).select(
-        "part",
-        "id",
-        F.xxhash64("body").alias("prefix"),
-        F.unhex(F.sha2("body", 256)).alias("digest"),
-        F.octet_length("body").cast("long").alias("bytes"),
-    )
+    rounds, owners = owners_of(tasks, fan_in)
     # One row per digest and input partition, with the identifiers of that partition.
     leaves = stored(
-        rows.groupBy("part", *KEY).agg(F.sort_array(F.collect_list(F.struct("id"))).alias("ids")),
+        rows.withColumn("part", F.pmod("part", F.lit(owners)).cast("int"))
+        .groupBy("part", *KEY)
+        .agg(F.sort_array(F.collect_list(F.struct("id"))).alias("ids")),
         "digest-runs",
     )
     runs = leaves.select(
@@ -94,30 +77,62 @@ def exact_classes(
     # The verdicts go back down: first to the run entries, then to their identifiers, so
     # that the members of a group are never gathered.
     entries = leaves.select("part", *KEY).join(verdicts, KEY)
+    member = F.col("member")
     return (
         leaves.join(entries, ["part", *KEY])
+        .select("part", *KEY, "best", "n", "ids", F.posexplode("ids").alias("at", "member"))
         .select(
             "part",
-            "digest",
+            F.col("member.id").alias("id"),
+            *KEY,
             "best",
             "n",
-            "ids",
-            F.posexplode("ids").alias("at", "member"),
-        )
-        .select(
-            F.col("member.id").alias(id_col),
-            F.col("best.id").alias("keep_id"),
-            F.col("n").alias("group_size"),
             (
                 F.col("member.id").eqNullSafe(F.col("best.id"))
                 & (F.col("part") == F.col("best.part"))
-                & (F.col("at") + 1 == F.array_position("ids", F.col("member")))
+                & (F.col("at") + 1 == F.array_position("ids", member))
             ).alias("kept"),
-            F.lower(F.hex("digest")).alias("text_sha256"),
         )
     )
 
 
+def exact_classes(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep: str = "max",
+    fan_in: int = 16,
+) -> DataFrame:
+    """One row per input row: id, keep_id, group_size, kept, text_sha256.
+
+    Texts are equal if their bytes are. Of equal texts the largest identifier stays
+    (``keep="min"``: the smallest). Defined cases: a null text counts as empty; a
+    null identifier stays only if its group has no other; of repeated rows (same
+    identifier and text) one is kept and all count in ``group_size``; an empty table
+    gives no rows. Other columns of ``docs`` are not read, whatever their names.
+    """
+    if keep not in ("max", "min"):
+        raise ValueError(f"Unknown rule: {keep}")
+    rows = docs.select(
+        F.spark_partition_id().alias("part"),
+        F.col(id_col).alias("id"),
+        whole(text_col).alias("body"),
+    ).select(
+        "part",
+        "id",
+        F.xxhash64("body").alias("prefix"),
+        F.unhex(F.sha2("body", 256)).alias("digest"),
+        F.octet_length("body").cast("long").alias("bytes"),
+    )
+    return merge_runs(rows, keep, fan_in).select(
+        F.col("id").alias(id_col),
+        F.col("best.id").alias("keep_id"),
+        F.col("n").alias("group_size"),
+        "kept",
+        F.lower(F.hex("digest")).alias("text_sha256"),
+    )
+
+
 def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` whose identifiers ``kept`` lists, with all their columns.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm.common import table
 from tideline.llm.exact_dedup import exact_classes
+from tideline.llm.near_dedup import near_classes
 from tideline.llm.packing import pack_documents
 from tideline.llm.quality_classifier import fit_classifier, held_out, score
 from tideline.llm.quality_rules import quality_rules
@@ -129,3 +130,8 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round("score", 6).alias("score"),
         "is_secret",
     )
+
+
+@register
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(table(spark, sf_dir, "documents"))
