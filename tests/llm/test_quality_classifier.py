@@ -1,0 +1,111 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from tideline.llm.quality_classifier import (
+    Network,
+    features,
+    fit_classifier,
+    held_out,
+    index_vectors,
+    keep_good,
+    score,
+    train,
+    word_vectors,
+)
+
+
+def corpus(make, n=600):
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(n):
+        bad = i % 4 == 0
+        words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(60)]
+        text = " ".join(words[:1] * 60 if bad and i % 8 else [w + "#&#" * bad for w in words])
+        rows.append((i, text))
+        labels.append((i, int(not bad)))
+    return make(rows), labels
+
+
+@pytest.fixture(scope="module")
+def case(make, spark):
+    docs, labels = corpus(make)
+    return docs, spark.createDataFrame(labels, "doc_id long, quality int"), dict(labels)
+
+
+def test_held_out_accuracy(case):
+    docs, labels, known = case
+    model = fit_classifier(docs, labels)
+    rows = score(docs, model).withColumn("out", held_out("doc_id")).collect()
+    assert all(r.out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    out = [r for r in rows if r.out]
+    assert len(out) > 80 and all(0 <= r.score <= 1 for r in rows)
+    assert sum((r.score >= 0.5) == bool(known[r.doc_id]) for r in out) >= 0.97 * len(out)
+
+
+def test_held_out_labels_are_not_read(spark, case):
+    docs, labels, known = case
+    turned = [
+        (i, 1 - q if zlib.crc32(str(i).encode()) % 5 == 0 else q) for i, q in known.items()
+    ]
+    one = score(docs, fit_classifier(docs, labels)).collect()
+    two = score(docs, fit_classifier(docs, spark.createDataFrame(turned, labels.schema))).collect()
+    assert sorted(map(tuple, one)) == sorted(map(tuple, two))
+
+
+def test_only_texts_are_scored(case):
+    docs, labels, _ = case
+    model = fit_classifier(docs, labels)
+    moved = docs.selectExpr("doc_id + 5000 as doc_id", "text", "'xx' as lang", "'s' as source")
+    a = sorted(r.score for r in score(docs, model).collect())
+    assert a == sorted(r.score for r in score(moved, model).collect())
+
+
+def test_edge_cases(spark, case, edge, nothing):
+    docs, labels, _ = case
+    model = fit_classifier(docs, labels)
+    rows = score(edge, model).collect()
+    assert len(rows) == edge.count() and all(0 <= r.score <= 1 for r in rows)
+    empty = {r.score for r in rows if r.doc_id in (3, 4, 9)}
+    assert len(empty) == 1
+    assert score(nothing, model).count() == 0
+    kept = keep_good(edge, labels, threshold=0.0)
+    assert kept.columns == edge.columns and kept.count() == edge.count()
+    assert keep_good(nothing, labels).count() == 0
+
+
+def test_nothing_to_learn(spark, edge):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert {r.score for r in score(edge, fit_classifier(edge, none)).collect()} == {0.5}
+    odd = spark.createDataFrame([(None, 1), (1, None), (2, 1), (2, 1)], none.schema)
+    assert fit_classifier(edge, odd).network is None
+
+
+def test_sample_bound(case):
+    docs, labels, known = case
+    small = fit_classifier(docs, labels, sample_rows=40)
+    assert small.network is not None
+    assert not np.allclose(small.vectors, fit_classifier(docs, labels).vectors)
+
+
+def test_features_do_not_depend_on_company():
+    texts = ["a b c", "", None, "x " * 5000, "Ü#"]
+    vectors = word_vectors(index_vectors(1 << 15, 3).astype("f8"))
+    together = features(texts, vectors)
+    alone = np.concatenate([features([t], vectors) for t in texts])
+    assert np.allclose(together, alone, atol=1e-6)
+    assert not together[1].any() and not together[2].any()
+
+
+def test_temperature_calibrates():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(4000, 5))
+    y = (rng.random(4000) < 1 / (1 + np.exp(-2 * x[:, 0]))).astype(float)
+    net = train(x, y)
+    assert isinstance(net, Network)
+    p = net.probabilities(x)
+    for low in (0.0, 0.25, 0.5, 0.75):
+        rows = (p >= low) & (p < low + 0.25)
+        assert abs(p[rows].mean() - y[rows].mean()) < 0.06

@@ -108,6 +108,14 @@ def features(texts: list[str | None], vectors: np.ndarray) -> np.ndarray:
     return out
 
 
+#: Scaled features end here: a text of one repeated word lies far out in every direction.
+CLIP = 4.0
+
+
+def _scaled(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    return np.clip((x - mean) / scale, -CLIP, CLIP)
+
+
 @dataclass
 class Network:
     mean: np.ndarray
@@ -119,7 +127,7 @@ class Network:
     temperature: float
 
     def logits(self, x: np.ndarray) -> np.ndarray:
-        hidden = np.tanh((x - self.mean) / self.scale @ self.w1 + self.b1)
+        hidden = np.tanh(_scaled(x, self.mean, self.scale) @ self.w1 + self.b1)
         return hidden @ self.w2 + self.b2
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
@@ -131,16 +139,19 @@ def _loss(logits: np.ndarray, y: np.ndarray) -> float:
 
 
 def train(
-    x: np.ndarray, y: np.ndarray, hidden: int = 32, epochs: int = 60, rate: float = 3e-3,
-    decay: float = 1e-4, seed: int = 7,
+    x: np.ndarray, y: np.ndarray, hidden: int = 32, epochs: int = 60, steps: int = 4000,
+    rate: float = 3e-3, decay: float = 1e-4, seed: int = 7,
 ) -> Network:
-    """Adam on the log loss of four fifths of the rows; the others set the temperature."""
+    """Adam on the log loss of four fifths of the rows; the others set the temperature.
+
+    ``epochs`` passes, or more for few rows, until ``steps`` are done.
+    """
     rng = np.random.default_rng(seed)
     x = x.astype("f8")
     order = rng.permutation(len(y))
     cal, fit = order[: len(y) // 5], order[len(y) // 5 :]
     mean, scale = x[fit].mean(0), x[fit].std(0) + 1e-6
-    z = (x - mean) / scale
+    z = _scaled(x, mean, scale)
     p = {
         "w1": rng.normal(0, 1 / np.sqrt(z.shape[1]), (z.shape[1], hidden)),
         "b1": np.zeros(hidden),
@@ -150,7 +161,7 @@ def train(
     m = {k: np.zeros_like(v) for k, v in p.items()}
     v2 = {k: np.zeros_like(v) for k, v in p.items()}
     step = 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-steps * 64 // max(1, len(fit))))):
         rng.shuffle(fit)
         for at in range(0, len(fit), 64):
             rows = fit[at : at + 64]

@@ -26,20 +26,25 @@ MIN_WORDS = 10
 WINDOW = 5
 MAX_REPEAT_PERCENT = 20
 
-#: Statistics a condition may use, each computed from the columns of ``text_statistics``.
+#: Statistics a condition may use, as SQL over the columns of ``text_statistics``.
 FEATURES = {
-    "n_words": F.col("n_words").cast("double"),
-    "chars_per_word": F.try_divide(F.col("word_chars"), F.col("n_words")),
-    "symbols_per_word": F.try_divide(F.col("n_symbols"), F.col("n_words")),
-    "punctuation_per_word": F.try_divide(F.col("n_punctuation"), F.col("n_words")),
-    "upper_per_char": F.try_divide(F.col("n_upper"), F.col("word_chars")),
-    "dup_line_share": F.try_divide(F.col("n_dup_lines"), F.col("n_lines")),
-    "repeat_word_share": F.try_divide(F.col("n_repeat_words"), F.col("n_words")),
-    "distinct_word_share": F.try_divide(F.col("n_distinct_words"), F.col("n_words")),
-    "words_per_line": F.try_divide(F.col("n_words"), F.col("n_lines")),
+    "n_words": "cast(n_words AS double)",
+    "chars_per_word": "try_divide(word_chars, n_words)",
+    "symbols_per_word": "try_divide(n_symbols, n_words)",
+    "punctuation_per_word": "try_divide(n_punctuation, n_words)",
+    "upper_per_char": "try_divide(n_upper, word_chars)",
+    "dup_line_share": "try_divide(n_dup_lines, n_lines)",
+    "repeat_word_share": "try_divide(n_repeat_words, n_words)",
+    "distinct_word_share": "try_divide(n_distinct_words, n_words)",
+    "words_per_line": "try_divide(n_words, n_lines)",
 }
 
 
+def feature(name: str) -> Column:
+    """The value of a statistic; 0 for a text without words."""
+    return F.coalesce(F.expr(FEATURES[name]), F.lit(0.0))
+
+
 def _repeat_words(words: Column) -> Column:
     """Words inside a window of five words that occurs at least twice in the text.
 
@@ -149,7 +154,7 @@ class Condition:
     threshold: float
 
     def column(self) -> Column:
-        value = F.coalesce(FEATURES[self.feature], F.lit(0.0))
+        value = feature(self.feature)
         return value > self.threshold if self.above else value <= self.threshold
 
     def __str__(self) -> str:
@@ -182,7 +187,7 @@ def learn_rules(
     keeps every text. All labelled rows are used.
     """
     names = list(FEATURES)
-    values = {n: F.coalesce(c, F.lit(0.0)) for n, c in FEATURES.items()}
+    values = {n: feature(n) for n in names}
     rows = labelled.filter(F.col(label_col).isNotNull())
     shares = [i / (cuts + 1) for i in range(1, cuts + 1)]
     marks = rows.agg(

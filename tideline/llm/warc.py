@@ -346,20 +346,17 @@ class WarcReader(DataSourceReader):
         from pyarrow import fs
 
         store, root = filesystem(self.path)
-        listed = _manifests(store, root)
-        if listed:
+        one = store.get_file_info(root)
+        if one.type == fs.FileType.File:
+            found = [one]
+        elif listed := _manifests(store, root):
             names = []
             for m in listed:
                 with store.open_input_stream(f"{root}/{m}") as file:
                     names += [f"{root}/{n}" for n in json.loads(file.read())]
             found = store.get_file_info(names)
         else:
-            one = store.get_file_info(root)
-            found = (
-                store.get_file_info(fs.FileSelector(root, recursive=True))
-                if one.type == fs.FileType.Directory
-                else [one]
-            )
+            found = store.get_file_info(fs.FileSelector(root, recursive=True))
             found = [f for f in found if re.search(r"\.warc(\.gz)?$", f.path)]
         parts: list[list[str]] = []
         room = 0
