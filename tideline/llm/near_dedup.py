@@ -13,9 +13,10 @@ is exact.
 A bucket of candidates never becomes its pairs. Texts of which more than a fifth of the
 shingles occur in no other candidate are set aside first: they have no partner. Then every
 bucket compares its members with one leader, the member with the most company; links give
-components. Only buckets with members in different components are looked at again: members
-outside the leader's component meet the others in blocks of bounded size, where pairs that
-two exact bounds rule out are dropped before any text moves.
+components, and every member remembers which of the leader's shingles it has. Only members
+outside the leader's component are looked at again: they meet the others in blocks of
+bounded size, where what two members can share at most is counted from those memories.
+Pairs that this exact bound leaves, which are few, are aligned.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.common import stored
@@ -175,52 +176,66 @@ def _kinds(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def _verify(similarity: float):
+def _compare(similarity: float, with_bits: bool):
+    """Pairs with their words to whether they are linked, and what they share.
+
+    ``bits`` tells which labelled shingles of ``b``, in ascending order, ``a`` has.
+    """
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, last_words = None, None
+        last = found = kinds = None
         for batch in batches:
-            keep = []
             one, two = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             of_one, of_two = batch.column("words_a"), batch.column("words_b")
-            for i in range(batch.num_rows):
-                if two[i] != last:
-                    last = two[i]
-                    last_words = shingles(np.frombuffer(of_two[i].as_py(), "<u4"))
+            linked, bits = [], []
+            for i, b in enumerate(two):
+                if b != last:
+                    last, found = b, shingles(np.frombuffer(of_two[i].as_py(), "<u4"))
+                    kinds = np.sort(labelled(found))
                 mine = shingles(np.frombuffer(of_one[i].as_py(), "<u4"))
-                need = needed(len(mine), len(last_words), similarity)
-                if aligned(mine, last_words, need):
-                    keep.append(i)
+                need = needed(len(mine), len(found), similarity)
+                shared = np.isin(kinds, labelled(mine), assume_unique=True)
+                linked.append(int(shared.sum()) >= need and bool(aligned(mine, found, need)))
+                bits.append(np.packbits(shared).tobytes() if with_bits else None)
             yield pa.RecordBatch.from_pydict(
                 {
-                    "a": pa.array([one[i] for i in keep], pa.int64()),
-                    "b": pa.array([two[i] for i in keep], pa.int64()),
+                    "a": pa.array(one, pa.int64()),
+                    "b": pa.array(two, pa.int64()),
+                    "linked": pa.array(linked, pa.bool_()),
+                    "bits": pa.array(bits, pa.binary()),
                 }
             )
 
     return run
 
 
-def _possible(similarity: float, n1: Column, u1: Column, n2: Column, u2: Column) -> Column:
-    """Whether lengths and shingles of no other text leave room for the similarity.
-
-    At most min(n1 - u1, n2 - u2) shingles can match.
-    """
-    common = F.least(n1 - u1, n2 - u2)
-    return common * (1 + similarity) >= (n1 + n2) * similarity - 1e-6
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The linked pairs of (a, b). Spark splits a text that is in very many pairs."""
+def _compared(
+    pairs: DataFrame, texts: DataFrame, similarity: float, with_bits: bool
+) -> DataFrame:
+    """The pairs (a, b), aligned. Spark splits a text that is in very many pairs."""
     one = texts.select(F.col("row").alias("a"), F.col("words").alias("words_a"))
     two = texts.select(F.col("row").alias("b"), F.col("words").alias("words_b"))
     both = pairs.select("a", "b").join(one, "a").join(two, "b")
-    return both.mapInArrow(_verify(similarity), "a long, b long")
+    return both.mapInArrow(
+        _compare(similarity, with_bits), "a long, b long, linked boolean, bits binary"
+    )
+
+
+def _both(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many bits each row of ``left`` has in common with each row of ``right``."""
+    out = np.zeros((len(left), len(right)), dtype="f4")
+    for at in range(0, left.shape[1], 1024):
+        a = np.unpackbits(left[:, at : at + 1024], axis=1).astype("f4")
+        out += a @ np.unpackbits(right[:, at : at + 1024], axis=1).astype("f4").T
+    return out
 
 
 def _blocks(similarity: float):
     """Pairs of one block or of two that may be linked and are in different components.
 
-    A pair that shares several buckets is named in the first of them only.
+    Two members share at most the leader's shingles that both have, and of the others the
+    fewer of those that also another text has. A pair that shares several buckets is
+    named in the first of them only.
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -228,19 +243,21 @@ def _blocks(similarity: float):
         codes = np.array(table.column("sketches").to_pylist(), dtype="i8").reshape(
             table.num_rows, -1
         )
-        same = column["side"].max() == column["side"].min()
-        left = np.flatnonzero(column["side"] == column["side"].min())
-        right = left if same else np.flatnonzero(column["side"] == column["side"].max())
-        a, b = np.meshgrid(left, right, indexing="ij")
-        n, u = column["n"], column["u"]
-        ok = column["root"][a] != column["root"][b]
-        if same:
-            ok &= column["row"][a] < column["row"][b]
-        common = np.minimum((n - u)[a], (n - u)[b])
-        ok &= common * (1 + similarity) >= (n[a] + n[b]) * similarity - 1e-6
-        a, b = a[ok], b[ok]
-        agree = codes[a] == codes[b]
-        first = codes[a, np.argmax(agree, axis=1)]
+        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), "u1").reshape(
+            table.num_rows, -1
+        )
+        low, high = column["side"].min(), column["side"].max()
+        left, right = np.flatnonzero(column["side"] == low), np.flatnonzero(column["side"] == high)
+        n = column["n"]
+        other = n - column["u"] - np.bitwise_count(bits).sum(axis=1, dtype="i8")
+        shared = _both(bits[left], bits[right]) + np.minimum(other[left][:, None], other[right])
+        ok = shared * (1 + similarity) >= (n[left][:, None] + n[right]) * similarity - 1e-3
+        ok &= column["root"][left][:, None] != column["root"][right]
+        if low == high:
+            ok &= column["row"][left][:, None] < column["row"][right]
+        a, b = np.nonzero(ok)
+        a, b = left[a], right[b]
+        first = codes[a, np.argmax(codes[a] == codes[b], axis=1)]
         of = first == column["bucket"][a]
         return pa.table(
             {
@@ -313,47 +330,39 @@ def near_classes(
     # Every member meets the leader of its buckets.
     leaders = (
         entries.groupBy("bucket")
-        .agg(
-            F.max(F.struct("company", (-F.col("row")).alias("order"), "row", "n", "u")).alias("of")
-        )
-        .select(
-            F.col("bucket"),
-            F.col("of.row").alias("leader"),
-            F.col("of.n").alias("leader_n"),
-            F.col("of.u").alias("leader_u"),
-        )
+        .agg(F.max(F.struct("company", (-F.col("row")).alias("order"), "row")).alias("of"))
+        .select("bucket", F.col("of.row").alias("leader"))
     )
+    entries = stored(entries.join(leaders, "bucket"), "led-buckets")
     pairs = (
-        entries.join(leaders, "bucket")
-        .filter(
-            (F.col("row") != F.col("leader"))
-            & _possible(
-                similarity, F.col("n"), F.col("u"), F.col("leader_n"), F.col("leader_u")
-            )
-        )
+        entries.filter("row != leader")
         .select(F.col("row").alias("a"), F.col("leader").alias("b"))
         .distinct()
     )
-    links = stored(_verified(pairs, candidates, similarity), "leader-links")
+    met = stored(_compared(pairs, candidates, similarity, with_bits=True), "leader-pairs")
+    links = met.filter("linked").select("a", "b")
     roots = components(links, "a", "b")
 
-    # Buckets whose members are still in different components.
-    known = entries.join(
-        roots.select(F.col("node").alias("row"), "root"), "row", "left"
-    ).withColumn("root", F.coalesce("root", "row"))
-    known = stored(known, "rooted-buckets")
-    head = known.groupBy("bucket").agg(F.max(F.struct("company", (-F.col("row")).alias("o"), "root")).alias("h"))
-    open_buckets = (
-        known.join(head.select("bucket", F.col("h.root").alias("head")), "bucket")
+    # Buckets with members that are not in the component of the leader.
+    known = stored(
+        entries.join(
+            roots.select(F.col("node").alias("row"), "root"), "row", "left"
+        ).withColumn("root", F.coalesce("root", "row")),
+        "rooted-buckets",
+    )
+    heads = known.filter("row = leader").select("bucket", F.col("root").alias("head"))
+    members = (
+        known.filter("row != leader")
+        .join(heads, "bucket")
         .withColumn("inside", F.col("root") == F.col("head"))
     )
     counts = (
-        open_buckets.groupBy("bucket")
+        members.groupBy("bucket")
         .agg(
             F.sum(F.col("inside").cast("long")).alias("n_in"),
             F.sum((~F.col("inside")).cast("long")).alias("n_out"),
         )
-        .filter("n_out > 0")
+        .filter("n_out > 0 AND n_in + n_out > 1")
     )
     out_blocks = F.ceil(F.col("n_out") / BLOCK).cast("int")
     in_blocks = F.ceil(F.col("n_in") / BLOCK).cast("int")
@@ -364,7 +373,11 @@ def near_classes(
         F.sequence(F.lit(0), out_blocks + in_blocks - 1)
     )
     dealt = (
-        open_buckets.join(counts, "bucket")
+        members.join(counts, "bucket")
+        .join(
+            met.select(F.col("a").alias("row"), F.col("b").alias("leader"), "bits"),
+            ["row", "leader"],
+        )
         .withColumn("mine", mine)
         .withColumn("other", F.explode(meets))
         .select(
@@ -376,16 +389,19 @@ def near_classes(
             "root",
             "n",
             "u",
+            "bits",
             "sketches",
         )
     )
-    more = (
+    pairs = (
         dealt.groupBy("bucket", "low", "high")
         .applyInArrow(_blocks(similarity), "a long, b long")
         .distinct()
     )
-    more = stored(_verified(more, candidates, similarity), "other-links")
-    roots = components(links.unionByName(more), "a", "b")
+    more = stored(_compared(pairs, candidates, similarity, with_bits=False), "other-pairs")
+    roots = components(
+        links.unionByName(more.filter("linked").select("a", "b")), "a", "b"
+    )
 
     # Copies join the class of the text they share their words with.
     copies = merge_runs(
