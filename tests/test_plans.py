@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from helpers import GOLD, KEY, SPEC, put, record
 from tideline import aggregate, dedupe_latest, flatten, quality_report
-from tideline.plans.incremental import in_partitions_of
+from tideline.plans.incremental import Span, touched_rows
 from tideline.sources.bronze import bronze_schema, read_bronze
 from tideline.sources.sinks import gather, observed, scratch_path, write_partitioned
 from workloads import events as ev
@@ -80,9 +80,18 @@ def test_merge_opens_only_touched_partitions(spark, tmp_path):
     data = spark.createDataFrame(days, "k string, d string")
     table = data.select("k", F.col("d").cast("date").alias("d"))
     write_partitioned(table, path, ["d"])
-    touched = in_partitions_of(table.filter("d = date'2024-01-03'"), "d")
-    existing = spark.read.schema(table.schema).parquet(path).filter(touched)
-    assert re.search(r"PartitionFilters: \[[^\]]*d#\d+ = 2024-01-03", plan(existing))
+    slice_ = table.filter("d IN (date'2024-01-03', date'2024-01-06')")
+    low, high = slice_.selectExpr("min(d)", "max(d)").first()
+    existing = spark.read.schema(table.schema).parquet(path)
+    found = touched_rows(existing, slice_, "d", Span(low, high, 0))
+    text = plan(found)
+    assert re.search(r"PartitionFilters: \[[^\]]*d#\d+ >= 2024-01-03.*d#\d+ <= 2024-01-06", text)
+    assert "isnull" not in text.replace("isnotnull", "")
+    assert sorted(str(r.d) for r in found.collect()) == ["2024-01-03", "2024-01-06"]
+    nothing = touched_rows(existing, slice_.limit(0), "d", Span(None, None, 0))
+    assert nothing.count() == 0
+    only_null = plan(touched_rows(existing, slice_, "d", Span(None, None, 2)))
+    assert re.search(r"PartitionFilters: \[isnull\(d", only_null)
 
 
 def test_a_hot_date_is_written_by_several_tasks(spark, tmp_path):

@@ -33,7 +33,7 @@ class Recorder:
 @pytest.fixture
 def table(monkeypatch):
     monkeypatch.setenv("POSTGRES_PASSWORD", "secret")
-    return JdbcTable.postgres("db", 5432, "weather", "daily", "user", connections=4)
+    return JdbcTable.postgres("db", 5432, "weather", "daily", "user", "POSTGRES_PASSWORD", connections=4)
 
 
 def test_postgres_options(table):

@@ -1,12 +1,15 @@
 """Rounded aggregates that do not depend on how the rows were partitioned.
 
-A sum of doubles changes in its last digits with the order of the additions, and
-a rounded result can flip with it. Most measured values are short decimals
-though, so ``avg`` and ``sum`` add them up as whole numbers of ``10**-scale``,
-which is exact. A group that holds a value with more digits, NaN or an infinity,
-or whose whole numbers outgrow a long, falls back to plain double arithmetic, so
-no value is ever cut. Every buffer is a long or a double: the aggregation stays
-in generated code and partial rows stay small.
+A sum of doubles changes in its last digits with the order of the additions, and a
+rounded result can flip with it. So every value is first taken as a decimal with
+``scale`` places, rounded half up from its shortest decimal form; decimals add up exactly
+in any order. That is a rule per row: no group is treated differently from another.
+
+The mean is the exact sum divided by the count, to ``scale`` places, then rounded to the
+published digits. A value of 1e19 or more, NaN and the infinities have no such decimal; they are
+added as doubles beside the decimals. Only sums of several such values can depend
+on the order of the additions, beyond their fifteenth digit. Whole numbers add up as
+decimals for the mean, and as longs, with Spark's overflow error, for the sum.
 """
 
 from __future__ import annotations
@@ -17,50 +20,48 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Up to here every whole number has its own double.
-_EXACT_LIMIT = float(2**53)
+#: Places before the decimal point that a value may have.
+_WHOLE = 19
 
 
 def is_binary_float(kind: T.DataType) -> bool:
     return isinstance(kind, (T.DoubleType, T.FloatType))
 
 
-def ticks_of(value: Column, scale: int) -> Column:
-    """The double as a whole number of ``10**-scale``, NULL if it is not one."""
-    unit = F.lit(float(10**scale))
-    ticks = F.rint(value * unit)
-    fits = (F.abs(ticks) < F.lit(_EXACT_LIMIT)) & (ticks / unit == value)
-    return F.when(fits, ticks.cast("bigint"))
+def exact_of(value: Column, scale: int) -> Column:
+    """The double as a decimal, NULL if it is too large for one or not finite."""
+    inside = F.abs(value) < F.lit(10.0**_WHOLE)
+    return F.when(inside, value.cast(T.DecimalType(_WHOLE + scale, scale)))
 
 
-def _rounded(value: Column, ticks: Column, digits: int, scale: int, divisor: Column) -> Column:
-    """``sum(value) / divisor``, exact where every value of the group allows it."""
-    total = F.try_sum(ticks)
-    unit = F.lit(10**scale).cast("decimal(10,0)")
-    exact = total.cast("decimal(19,0)") / (unit * divisor.cast("decimal(19,0)"))
-    return F.when(
-        total.isNotNull() & (F.count(ticks) == F.count(value)),
-        F.round(exact, digits).cast("double"),
-    ).otherwise(F.round(F.sum(value) / divisor, digits))
+def _added(value: Column, exact: Column, divisor: Column, digits: int) -> Column:
+    """``sum / divisor``, from the decimals and what has none."""
+    total = F.sum(exact)
+    beyond = F.sum(F.when(exact.isNull(), value))
+    return F.when(beyond.isNull(), F.round(total / divisor, digits).cast("double")).otherwise(
+        F.round((F.coalesce(total.cast("double"), F.lit(0.0)) + beyond) / divisor, digits)
+    )
 
 
-def rounded_avg(value: Column, ticks: Column | None, digits: int, scale: int) -> Column:
-    if ticks is None:
-        return F.round(F.avg(value), digits)
-    return _rounded(value, ticks, digits, scale, F.nullif(F.count(value), F.lit(0)))
+def rounded_avg(value: Column, exact: Column | None, digits: int, scale: int) -> Column:
+    rows = F.nullif(F.count(value), F.lit(0))
+    if exact is None:
+        total = F.sum(value.cast(T.DecimalType(28, 0))).cast(T.DecimalType(38, 9))
+        return F.round(total / rows, digits).cast("double")
+    return _added(value, exact, rows, digits)
 
 
-def rounded_sum(value: Column, ticks: Column | None, digits: int, scale: int) -> Column:
-    if ticks is None:
+def rounded_sum(value: Column, exact: Column | None, digits: int, scale: int) -> Column:
+    if exact is None:
         return F.round(F.sum(value), digits)
-    return _rounded(value, ticks, digits, scale, F.lit(1))
+    return _added(value, exact, F.lit(1), digits)
 
 
-def rounded_max(value: Column, ticks: Column | None, digits: int, scale: int) -> Column:
+def rounded_max(value: Column, exact: Column | None, digits: int, scale: int) -> Column:
     return F.round(F.max(value), digits)
 
 
-# From the value, its ticks (None unless it is a double), the digits and the scale.
+# From the value, its decimal (None unless it is a double), the digits and the scale.
 AGGREGATIONS: dict[str, Callable[[Column, Column | None, int, int], Column]] = {
     "avg": rounded_avg,
     "sum": rounded_sum,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.functions.measures import AGGREGATIONS, is_binary_float, ticks_of
+from tideline.functions.measures import AGGREGATIONS, exact_of, is_binary_float
 from tideline.specs import GoldSpec
 
 
@@ -17,12 +17,12 @@ def aggregate(silver: DataFrame, spec: GoldSpec) -> DataFrame:
     """
     projected, inputs = [], {}
     for i, name in enumerate(dict.fromkeys(m.source_column for m in spec.measures.values())):
-        value, ticks = f"_value_{i}", None
+        value, exact = f"_value_{i}", None
         projected.append(F.col(name).alias(value))
         if is_binary_float(silver.schema[name].dataType):
-            ticks = f"_ticks_{i}"
-            projected.append(ticks_of(F.col(name).cast("double"), spec.scale).alias(ticks))
-        inputs[name] = (F.col(value), ticks and F.col(ticks))
+            exact = f"_exact_{i}"
+            projected.append(exact_of(F.col(name).cast("double"), spec.scale).alias(exact))
+        inputs[name] = (F.col(value), exact and F.col(exact))
     measures = [
         AGGREGATIONS[m.aggregation](*inputs[m.source_column], spec.digits, spec.scale).alias(output)
         for output, m in spec.measures.items()

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,18 +49,22 @@ def audit_frame(spark: SparkSession, entries: Sequence[AuditEntry]) -> DataFrame
     return spark.createDataFrame(rows, AUDIT_SCHEMA).coalesce(1)
 
 
-def history(log: DataFrame) -> DataFrame:
-    """All runs without their error texts, newest first."""
-    return log.drop("error_message").orderBy(F.desc("start_time"))
+def _newest_first() -> list[Column]:
+    """Runs that start together are ordered by the rest of their rows."""
+    rest = ["end_time", "environment", "pipeline_name", "status", "error_message"]
+    return [F.desc("start_time"), *(F.desc(name) for name in rest)]
 
 
-def failures(log: DataFrame) -> DataFrame:
-    """Failed runs with their errors, newest first."""
-    return (
-        log.filter(F.col("status") == FAILED)
-        .select("start_time", "status", "error_message")
-        .orderBy(F.desc("start_time"))
-    )
+def history(log: DataFrame, errors: bool = False) -> DataFrame:
+    """All runs, newest first; with ``errors`` also their error texts."""
+    ordered = log.orderBy(*_newest_first())
+    return ordered if errors else ordered.drop("error_message")
+
+
+def failures(log: DataFrame, everything: bool = False) -> DataFrame:
+    """Failed runs, newest first: their start and error, or ``everything`` of them."""
+    failed = log.filter(F.col("status") == FAILED).orderBy(*_newest_first())
+    return failed if everything else failed.select("start_time", "status", "error_message")
 
 
 def latest_status(log: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ ROW_COUNT = "row_count"
 NOT_NULL = "not_null"
 NO_DUPLICATES = "no_duplicates"
 VALUE_RANGE = "value_range"
+READABLE = "readable"
 
 
 class QualityError(ValueError):
@@ -147,25 +148,26 @@ def _collect(report: DataFrame) -> list[GateResult]:
     ]
 
 
-# Message texts are fixed values: operators look them up in the run book.
 def _message(result: GateResult, rules: QualityRules) -> str:
     if result.gate == ROW_COUNT:
-        return "Dataset contains zero rows"
+        return f"{result.dataset}: no rows"
+    if result.gate == READABLE:
+        what = f"values of {result.column}" if result.column else "records"
+        return f"{result.dataset}: {result.violations} unreadable {what}"
     if result.gate == NO_DUPLICATES:
+        # Fixed value: the run book looks for this text.
         return f"Duplicate records found using keys: {list(rules.key)}"
     if result.gate == VALUE_RANGE:
         bounds = rules.ranges[result.column]
         return (
-            f"Column {result.column} has {result.violations} values "
-            f"outside range {bounds.min} to {bounds.max}"
+            f"{result.dataset}: {result.violations} of {result.checked} values of "
+            f"{result.column} lie outside [{bounds.min}, {bounds.max}]"
         )
-    if result.column == rules.partition_column and result.column not in rules.required:
-        return f"Data quality failed: {result.violations} rows have null {result.column}"
-    return f"Column {result.column} contains null values"
+    return f"{result.dataset}: {result.violations} rows lack {result.column}"
 
 
 # The first failure in this order is the one reported.
-_SEVERITY = (ROW_COUNT, NOT_NULL, NO_DUPLICATES, VALUE_RANGE)
+_SEVERITY = (ROW_COUNT, READABLE, NOT_NULL, NO_DUPLICATES, VALUE_RANGE)
 
 
 def enforce(
@@ -182,10 +184,8 @@ def enforce(
 
 def validate_row_count(df: DataFrame) -> int:
     """Number of rows; none at all is an error."""
-    rows = df.count()
-    if rows == 0:
-        raise QualityError("Dataset contains zero rows")
-    return rows
+    [result] = enforce(quality_report(df, QualityRules(), "dataset"), QualityRules())
+    return result.checked
 
 
 def _validate(df: DataFrame, rules: QualityRules) -> None:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,29 +12,50 @@ from tideline.operators.dedupe import dedupe_latest
 from tideline.sources.sinks import (
     gather,
     observed,
-    read_table,
+    read_stored,
     scratch_path,
     write_partitioned,
 )
 
-# Longer lists of partition values are replaced by the range they span.
-MAX_LISTED_PARTITIONS = 10_000
 
+@dataclass(frozen=True)
+class Span:
+    """The partition values of a slice: least and greatest, and how many rows have none."""
 
-def in_partitions_of(slice_: DataFrame, column: str) -> Column:
-    """Predicate on ``column`` that holds for every value the slice has, NULL included.
+    low: object
+    high: object
+    nulls: int
 
-    The values become literals, so the scan of the existing table opens just these
-    partitions. A longer list turns into its range: that may read partitions
-    the slice does not touch, which a merge carries over unchanged.
+    @classmethod
+    def metrics(cls, column: str) -> dict[str, Column]:
+        """What to observe while the slice is stored."""
+        return {
+            "_low": F.min(column),
+            "_high": F.max(column),
+            "_nulls": F.count_if(F.col(column).isNull()),
+        }
+
+    @classmethod
+    def of(cls, seen: Mapping[str, object]) -> Span:
+        return cls(seen["_low"], seen["_high"], seen["_nulls"])
+
+
+def touched_rows(existing: DataFrame, slice_: DataFrame, column: str, span: Span) -> DataFrame:
+    """Stored rows in the partitions that the slice has rows for.
+
+    The span is a literal, so the scan opens no partition outside it; a semi join with
+    the slice's own values leaves out those in between. Rows without a value lie in one
+    partition, which is opened only if the slice has such rows.
     """
-    values = slice_.select(column)
-    listed = [r[0] for r in values.distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()]
-    if len(listed) > MAX_LISTED_PARTITIONS:
-        low, high = values.agg(F.min(column), F.max(column)).first()
-        return F.col(column).between(low, high) | F.col(column).isNull()
-    touched = F.col(column).isin(sorted(v for v in listed if v is not None))
-    return touched | F.col(column).isNull() if None in listed else touched
+    rows = existing.limit(0)
+    if span.low is not None:
+        values = slice_.select(F.col(column).alias("_touched")).distinct()
+        inside = existing.filter(F.col(column).between(F.lit(span.low), F.lit(span.high)))
+        rows = inside.join(values, F.col(column) == F.col("_touched"), "left_semi")
+    if span.nulls:
+        without = existing.filter(F.col(column).isNull())
+        rows = without if span.low is None else rows.unionByName(without)
+    return rows
 
 
 def merge_slice(
@@ -42,19 +64,38 @@ def merge_slice(
     key: Sequence[str],
     version: Sequence[Column | str],
     partition_column: str,
+    span: Span,
     copies: str | None = None,
 ) -> DataFrame:
     """New content of all partitions the slice touches, newest row per key.
 
     Rows already there are kept unless the slice has a newer version, so a date
     that is only partly covered loses nothing and a repeated slice changes nothing.
-    The key must determine the partition: a key is only looked for in the
-    partitions of the slice. ``slice_`` is read twice and should be a stored table.
+    Columns that only the table has stay, also in rows that the slice renews; columns
+    that only the slice has are NULL in older rows. The key must determine the
+    partition: a key is only looked for in the partitions of the slice (see
+    ``keys_in_several``). ``slice_`` is read twice and should be a stored table.
+    """
+    if existing is None:
+        return dedupe_latest(slice_, key, version, copies)
+    only_stored = [name for name in existing.columns if name not in slice_.columns]
+    rows = slice_.unionByName(
+        touched_rows(existing, slice_, partition_column, span), allowMissingColumns=True
+    )
+    return dedupe_latest(rows, key, version, copies, carried=only_stored)
+
+
+def keys_in_several(table: DataFrame, key: Sequence[str], partition_column: str) -> DataFrame:
+    """Keys that have rows in more than one partition, with the number of partitions.
+
+    A merge can't see them; a source whose keys move between partitions should check.
     """
-    if existing is not None:
-        touched = in_partitions_of(slice_, partition_column)
-        slice_ = existing.filter(touched).select(*slice_.columns).unionByName(slice_)
-    return dedupe_latest(slice_, key, version, copies)
+    apart = table.groupBy(*key, partition_column).agg(F.count(F.lit(1)).alias("rows"))
+    return (
+        apart.groupBy(*key)
+        .agg(F.count(F.lit(1)).alias("partitions"))
+        .filter(F.col("partitions") > 1)
+    )
 
 
 def store_merged(
@@ -90,15 +131,16 @@ def upsert(
     partition_column: str,
 ) -> int:
     """Merge a slice into the parquet table at ``path``; returns the rows written."""
-    stored = scratch_path(spark, "slice")
-    slice_.write.parquet(stored)
+    stored, seen = scratch_path(spark, "slice"), Observation()
+    observed(slice_, seen, Span.metrics(partition_column)).write.parquet(stored)
     merged, counts = store_merged(
         merge_slice(
             spark.read.schema(slice_.schema).parquet(stored),
-            read_table(spark, path, slice_.schema, missing_ok=True),
+            read_stored(spark, path, slice_.schema, partition_column),
             key,
             version,
             partition_column,
+            Span.of(seen.get),
         ),
         partition_column,
         {"rows": F.count(F.lit(1))},

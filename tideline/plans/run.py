@@ -15,23 +15,37 @@ from tideline.operators.aggregate import aggregate
 from tideline.operators.audit import FAILED, SUCCESS, AuditEntry, audit_frame
 from tideline.operators.flatten import conform, flatten
 from tideline.operators.quality import (
+    READABLE,
     GateResult,
-    QualityError,
     enforce,
     quality_report,
     row_gate_results,
     row_metrics,
 )
-from tideline.plans.incremental import merge_slice, publish, store_merged
-from tideline.sources.bronze import bronze_schema, raw_path, read_bronze, record_metrics
-from tideline.sources.sinks import observed, read_table, scratch_path, write_partitioned
+from tideline.plans.incremental import Span, merge_slice, publish, store_merged
+from tideline.sources.bronze import (
+    CORRUPT_RECORD,
+    INGESTION_DATE,
+    bronze_schema,
+    raw_path,
+    read_bronze,
+    record_metrics,
+)
+from tideline.sources.sinks import (
+    gather,
+    observed,
+    read_stored,
+    read_table,
+    scratch_path,
+)
 from tideline.sources.tables import Table
 from tideline.specs import FlattenSpec, GoldSpec, QualityRules
 
 log = logging.getLogger(__name__)
 
-# Fixed value: the envelope's version column. Its texts are all UTC, so they sort by time.
+# Fixed value: the envelope's version column.
 INGESTED = "ingestion_timestamp_utc"
+UNREADABLE = "_unreadable"
 
 
 @dataclass(frozen=True)
@@ -39,7 +53,9 @@ class RunSpec:
     """Everything a run needs; wrong declarations fail before Spark does any work.
 
     ``mode="upsert"`` merges a slice into the dates it touches, ``mode="static"``
-    replaces silver, gold and serving by the slice alone.
+    replaces silver, gold and serving by the slice alone. Records and values that can't
+    be read fail the run before it publishes anything, unless ``quarantine`` names a table
+    that takes them; then the values are NULL and the run goes on.
     """
 
     source: str
@@ -59,7 +75,7 @@ class RunSpec:
     gold_entity: str = "daily_weather_summary"
     partition_column: str = "weather_date"
     documents: bool = False
-    reject_corrupt: bool = False
+    quarantine: Table | None = None
     mode: str = "upsert"
 
     def __post_init__(self) -> None:
@@ -71,6 +87,33 @@ class RunSpec:
             raise ValueError("The quality rules need the primary key")
         if self.partition_column not in self.aggregations.keys:
             raise ValueError(f"Gold keys must include {self.partition_column}")
+        if self.rules.partition_column not in (None, self.partition_column):
+            raise ValueError(f"The quality rules name another partition: {self.rules.partition_column}")
+        columns = self.silver_columns
+        used = {
+            "required columns": self.rules.required,
+            "primary key": self.rules.key,
+            "value ranges": self.rules.ranges,
+            "gold keys": self.aggregations.keys,
+            "gold measures": [m.source_column for m in self.aggregations.measures.values()],
+        }
+        for where, names in used.items():
+            if unknown := sorted(set(names) - set(columns)):
+                raise ValueError(f"Unknown columns in the {where}: {', '.join(unknown)}")
+        twice = sorted({c for c in columns if columns.count(c) > 1})
+        if twice:
+            raise ValueError(f"Columns declared twice: {', '.join(twice)}")
+
+    @property
+    def silver_columns(self) -> list[str]:
+        flat = self.flatten
+        return [
+            *flat.carry,
+            flat.timestamp,
+            *flat.measures,
+            "environment",
+            self.partition_column,
+        ]
 
     @property
     def bronze_path(self) -> str:
@@ -89,7 +132,8 @@ class RunSpec:
 class RunResult:
     """Counts fill in as the run proceeds, so a failed run records how far it came.
 
-    Silver and gold count what passed their gates. ``duplicate_keys`` had several
+    Silver and gold count what passed their gates. ``unreadable_values`` counts by
+    measure what was there but could not be read. ``duplicate_keys`` had several
     rows among the slice and the dates it touches; ``superseded_rows`` are those
     that lost to a newer one.
     """
@@ -98,6 +142,7 @@ class RunResult:
     bronze_rows: int = 0
     corrupt_records: int = 0
     empty_records: int = 0
+    unreadable_values: dict[str, int] = field(default_factory=dict)
     flattened_rows: int = 0
     duplicate_keys: int = 0
     superseded_rows: int = 0
@@ -115,31 +160,110 @@ def _gate(result: RunResult, gates: Sequence[GateResult], rules: QualityRules) -
     enforce(gates, rules)
 
 
-def _store_flat(spark: SparkSession, spec: RunSpec, bronze: DataFrame, result: RunResult):
+def _faults(measure: str) -> Column:
+    """How many values of a measure could not be read."""
+    of_measure = F.filter(UNREADABLE, lambda x: x["column"] == measure)
+    return F.coalesce(F.sum(F.size(of_measure)), F.lit(0))
+
+
+def _store_flat(
+    spark: SparkSession, spec: RunSpec, bronze: DataFrame, result: RunResult
+) -> tuple[DataFrame, Span]:
     """Parse the JSON once, without a shuffle, into columnar rows."""
     records, rows = Observation(), Observation()
     flat = conform(
-        flatten(observed(bronze, records, record_metrics(spec.flatten)), spec.flatten),
+        flatten(
+            observed(bronze, records, record_metrics(spec.flatten)),
+            spec.flatten,
+            unreadable=UNREADABLE,
+        ),
         spec.environment,
         spec.flatten.timestamp,
         spec.partition_column,
     )
+    faults = {f"_fault_{i}": _faults(name) for i, name in enumerate(spec.flatten.measures)}
+    metrics = {**_count(), **Span.metrics(spec.partition_column), **faults}
     path = scratch_path(spark, "flat")
-    observed(flat, rows, _count()).write.parquet(path)
+    observed(flat, rows, metrics).write.parquet(path)
+    seen = rows.get
     result.bronze_rows = records.get["records"]
     result.corrupt_records = records.get["corrupt_records"]
     result.empty_records = records.get["empty_records"]
-    result.flattened_rows = rows.get["rows"]
-    return spark.read.schema(flat.schema).parquet(path)
+    result.flattened_rows = seen["rows"]
+    result.unreadable_values = {
+        name: seen[f"_fault_{i}"] for i, name in enumerate(spec.flatten.measures)
+    }
+    return spark.read.schema(flat.schema).parquet(path), Span.of(seen)
 
 
-def _store_silver(spark: SparkSession, spec: RunSpec, flat: DataFrame, result: RunResult):
+def _set_aside(
+    spec: RunSpec, bronze: DataFrame, flat: DataFrame, result: RunResult, started: datetime
+) -> None:
+    """Unreadable records and values to the quarantine table."""
+    carried = [F.col(c).cast("string").alias(c) for c in spec.flatten.carry]
+    records = bronze.filter(F.col(CORRUPT_RECORD).isNotNull()).select(
+        F.lit("record").alias("kind"),
+        INGESTION_DATE,
+        *carried,
+        F.lit(None).cast("string").alias(spec.flatten.timestamp),
+        F.lit("").alias("column"),
+        F.col(CORRUPT_RECORD).alias("content"),
+    )
+    values = (
+        flat.filter(F.size(UNREADABLE) > 0)
+        .select(*spec.flatten.carry, spec.flatten.timestamp, F.explode(UNREADABLE).alias("x"))
+        .select(
+            F.lit("value").alias("kind"),
+            F.lit(None).cast("string").alias(INGESTION_DATE),
+            *carried,
+            spec.flatten.timestamp,
+            F.col("x.column").alias("column"),
+            F.col("x.text").alias("content"),
+        )
+    )
+    rejected = [
+        df
+        for df, n in (
+            (records, result.corrupt_records),
+            (values, sum(result.unreadable_values.values())),
+        )
+        if n
+    ]
+    for df in rejected:
+        spec.quarantine.append(
+            df.select(
+                F.lit(spec.pipeline_name).alias("pipeline_name"),
+                F.lit(started).alias("run_started"),
+                "*",
+            )
+        )
+
+
+def _readable(result: RunResult) -> list[GateResult]:
+    """Gates on what could not be read: whole records, then values by measure."""
+    gates = [GateResult("bronze", READABLE, "", result.corrupt_records, result.bronze_rows)]
+    return gates + [
+        GateResult("bronze", READABLE, name, n, result.flattened_rows)
+        for name, n in result.unreadable_values.items()
+    ]
+
+
+def _store_silver(
+    spark: SparkSession, spec: RunSpec, flat: DataFrame, span: Span, result: RunResult
+) -> DataFrame:
     """Newest row per key of all touched dates, stored aside and checked."""
     existing = None
     if spec.mode == "upsert":
-        existing = read_table(spark, spec.silver_path, flat.schema, missing_ok=True)
+        existing = read_stored(spark, spec.silver_path, flat.schema, spec.partition_column)
     silver = merge_slice(
-        flat, existing, spec.rules.key, [INGESTED], spec.partition_column, copies="_copies"
+        flat,
+        existing,
+        spec.rules.key,
+        # As an instant: texts of different zones don't sort by time.
+        [F.col(INGESTED).try_cast("timestamp")],
+        spec.partition_column,
+        span,
+        copies="_copies",
     )
     # No key gate: the rows were just reduced to one per key.
     rules = QualityRules(spec.rules.required, (), spec.rules.ranges, spec.partition_column)
@@ -156,22 +280,34 @@ def _store_silver(spark: SparkSession, spec: RunSpec, flat: DataFrame, result: R
     return stored
 
 
-def _store_gold(
+def _publish_gold(
     spark: SparkSession, spec: RunSpec, silver: DataFrame, result: RunResult
-) -> DataFrame:
-    """Summary of the touched dates; returns the whole gold table."""
-    seen = Observation()
+) -> None:
+    """Summary of the touched dates, to gold and to the serving table.
+
+    If the stored summary has other columns than the declared one, all dates are
+    summarised again: a summary of which only some dates know a measure is not published.
+    """
+    mode = "dynamic" if spec.mode == "upsert" else "static"
     gold = aggregate(silver, spec.aggregations)
-    write_partitioned(
-        gold,
-        spec.gold_path,
-        [spec.partition_column],
-        mode="dynamic" if spec.mode == "upsert" else "static",
-        observe=(seen, _count()),
-    )
+    before = read_table(spark, spec.gold_path, missing_ok=True) if mode == "dynamic" else None
+    if before is not None and set(before.columns) != set(gold.columns):
+        log.warning("The summary's columns changed; all dates are computed again")
+        silver = read_stored(spark, spec.silver_path, silver.schema, spec.partition_column)
+        gold, mode = aggregate(silver, spec.aggregations), "static"
+    seen, path = Observation(), scratch_path(spark, "gold")
+    rows = gather(gold, [spec.partition_column])
+    observed(rows, seen, _count()).write.parquet(path)
     result.gold_rows = seen.get["rows"]
     _gate(result, row_gate_results(seen.get, QualityRules(), "gold"), QualityRules())
-    return read_table(spark, spec.gold_path, gold.schema)
+    stored = spark.read.schema(gold.schema).parquet(path)
+    publish(stored, spec.gold_path, spec.partition_column, mode=mode)
+    if spec.serving is None:
+        return
+    if mode == "static":
+        spec.serving.overwrite(stored)
+    else:
+        spec.serving.refresh(stored, read_table(spark, spec.gold_path, gold.schema))
 
 
 def _process(
@@ -179,28 +315,38 @@ def _process(
     spec: RunSpec,
     ingestion_date: str | Sequence[str] | None,
     result: RunResult,
+    started: datetime,
 ) -> None:
     bronze = read_bronze(
         spark, spec.bronze_path, bronze_schema(spec.flatten), ingestion_date, spec.documents
     )
-    flat = _store_flat(spark, spec, bronze, result)
+    flat, span = _store_flat(spark, spec, bronze, result)
     nothing = QualityRules()
+    if result.empty_records:
+        log.warning("%d bronze records have no entries", result.empty_records)
+    if spec.quarantine is None:
+        _gate(result, _readable(result), nothing)
+    else:
+        result.gates.extend(_readable(result))
+        _set_aside(spec, bronze, flat, result, started)
     for dataset, rows in (("bronze", result.bronze_rows), ("flattened", result.flattened_rows)):
         _gate(result, row_gate_results({"rows": rows}, nothing, dataset), nothing)
-    if result.corrupt_records:
-        log.warning("%d bronze records could not be read", result.corrupt_records)
-        if spec.reject_corrupt:
-            raise QualityError(f"{result.corrupt_records} bronze records could not be read")
-    silver = _store_silver(spark, spec, flat, result)
+    silver = _store_silver(spark, spec, flat.drop(UNREADABLE), span, result)
     publish(
         silver,
         spec.silver_path,
         spec.partition_column,
         mode="dynamic" if spec.mode == "upsert" else "static",
     )
-    gold = _store_gold(spark, spec, silver, result)
-    if spec.serving is not None:
-        spec.serving.overwrite(gold)
+    _publish_gold(spark, spec, silver, result)
+
+
+def _rejected(result: RunResult) -> str:
+    """What the run log says of a run that set something aside; else nothing."""
+    values = sum(result.unreadable_values.values())
+    if not result.corrupt_records and not values:
+        return ""
+    return f"Set aside: {result.corrupt_records} records, {values} values"
 
 
 def _record(
@@ -235,9 +381,9 @@ def run(
     started = datetime.now(timezone.utc)
     result = RunResult()
     try:
-        _process(spark, spec, ingestion_date, result)
+        _process(spark, spec, ingestion_date, result, started)
         result.status = SUCCESS
-        _record(spark, spec, started, result)
+        _record(spark, spec, started, result, _rejected(result))
     except Exception:
         result.status = FAILED
         try:

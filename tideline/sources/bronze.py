@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.scalars import day_label, iso_utc, utc_wall_clock
-from tideline.sources.sinks import gather
+from tideline.sources.sinks import exists, gather, subfolders
 from tideline.specs import FlattenSpec
 
 INGESTION_DATE = "ingestion_date"
@@ -25,12 +25,14 @@ def bronze_schema(spec: FlattenSpec) -> T.StructType:
     """Schema of just the fields a flatten needs.
 
     Spark's JSON reader skips everything else, needs no inference pass, and a
-    variable that no file has comes out as NULL.
+    variable that no file has comes out as NULL. Elements are read as text, because one
+    element of another type would make the reader drop its whole array; ``flatten`` casts
+    them one by one.
     """
-    arrays = [(spec.axis, T.ArrayType(T.StringType()))]
-    for name, array in spec.measures.items():
-        arrays.append((array, T.ArrayType(spec.type_of(name))))
-    nested: T.DataType = T.StructType([T.StructField(*a) for a in dict(arrays).items()])
+    names = dict.fromkeys([spec.axis, *spec.measures.values()])
+    nested: T.DataType = T.StructType(
+        [T.StructField(name, T.ArrayType(T.StringType())) for name in names]
+    )
     head, *inner = spec.root.split(".")
     for name in reversed(inner):
         nested = T.StructType([T.StructField(name, nested)])
@@ -49,17 +51,14 @@ def envelope(
 ) -> DataFrame:
     """Wrap every response with ingestion time, source label and request parameters.
 
-    ``payload`` may be nested columns or the response's JSON text, which is kept
-    as it is apart from white space and field order. ``ingested_at`` is an
-    instant, or a zone-less timestamp taken as UTC; the default is the start of
-    the query.
+    ``payload`` may be nested columns or the response's text, which ``land`` keeps as it
+    is. ``ingested_at`` is an instant, or a zone-less timestamp taken as UTC; the
+    default is the start of the query.
     """
     ingested_at = F.current_timestamp() if ingested_at is None else ingested_at
     if isinstance(responses.select(ingested_at).schema[0].dataType, T.TimestampType):
         ingested_at = utc_wall_clock(ingested_at)
     body = F.col(payload)
-    if isinstance(responses.schema[payload].dataType, T.StringType):
-        body = F.parse_json(body)
     if isinstance(request_params, Mapping):
         request_params = F.struct(*(F.lit(v).alias(k) for k, v in request_params.items()))
     return responses.select(
@@ -71,15 +70,50 @@ def envelope(
     )
 
 
-def land(records: DataFrame, path: str, compact: bool = False) -> None:
+def _line(records: DataFrame, payload: str) -> Column:
+    """A record as one line of JSON with the payload's own text inside.
+
+    Line ends become spaces: JSON text has them only as white space. Text that is
+    no JSON, or repeats a key, is kept as a JSON string, in which every character survives.
+    """
+    body = F.col(payload)
+    readable = F.try_parse_json(body).isNotNull()
+    kept = F.when(readable, F.translate(body, "\r\n", "  "))
+    quoted = F.to_json(F.array(body))
+    quoted = F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+    head = F.to_json(F.struct(*(c for c in records.columns if c not in (payload, INGESTION_DATE))))
+    return F.concat(
+        F.substring(head, F.lit(1), F.length(head) - 1),
+        F.lit(',"payload":'),
+        F.coalesce(kept, quoted, F.lit("null")),
+        F.lit("}"),
+    )
+
+
+def land(
+    records: DataFrame, path: str, compact: bool = False, payload: str = "payload"
+) -> None:
     """Append enveloped records as JSON lines, one directory per ingestion date.
 
-    One run normally brings one date, so the default is no shuffle: tasks write
-    what they hold. ``compact`` first gathers the dates of a backfill.
+    Nested payloads are written as JSON. Payloads that are text keep their bytes:
+    numbers are not read and written again, fields keep their order, and a body that is no
+    JSON lands as a string beside the others. One run normally brings one date, so
+    the default is no shuffle: tasks write what they hold. ``compact`` first gathers
+    the dates of a backfill.
     """
     if compact:
         records = gather(records, [INGESTION_DATE])
-    records.write.mode("append").partitionBy(INGESTION_DATE).json(path)
+    if isinstance(records.schema[payload].dataType, T.StringType):
+        lines = records.select(_line(records, payload).alias("value"), INGESTION_DATE)
+        lines.write.mode("append").partitionBy(INGESTION_DATE).text(path)
+    else:
+        records.write.mode("append").partitionBy(INGESTION_DATE).json(path)
+
+
+def ingestion_dates(spark: SparkSession, path: str) -> list[str]:
+    """The ingestion dates that have a directory; no file is opened."""
+    prefix = f"{INGESTION_DATE}="
+    return [n.removeprefix(prefix) for n in subfolders(spark, path) if n.startswith(prefix)]
 
 
 def read_bronze(
@@ -89,7 +123,7 @@ def read_bronze(
     ingestion_date: str | Sequence[str] | None = None,
     documents: bool = False,
 ) -> DataFrame:
-    """Bronze records, all of them or those of the given ingestion dates.
+    """Bronze records, all of them or those of the given ingestion dates (``YYYY_MM_DD``).
 
     A date is read from its own directory, so the others are not even listed. A
     date without a directory gives no rows; a missing root is an error.
@@ -106,12 +140,16 @@ def read_bronze(
     if ingestion_date is None:
         return reader.json(path)
     dates = [ingestion_date] if isinstance(ingestion_date, str) else list(ingestion_date)
-    try:
-        return reader.json([f"{path}/{INGESTION_DATE}={date}" for date in dates])
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    return reader.json(path).filter(F.col(INGESTION_DATE).isin(dates))
+    for date in dates:
+        if not re.fullmatch(r"\d{4}_\d{2}_\d{2}", date):
+            raise ValueError(f"An ingestion date has the form YYYY_MM_DD: {date!r}")
+    folders = [f"{path}/{INGESTION_DATE}={date}" for date in dict.fromkeys(dates)]
+    there = [folder for folder in folders if exists(spark, folder)]
+    if there:
+        return reader.json(there)
+    if not exists(spark, path):
+        return reader.json(path)  # Spark's own error names the folder
+    return spark.createDataFrame([], schema)
 
 
 def record_metrics(spec: FlattenSpec) -> dict[str, Column]:

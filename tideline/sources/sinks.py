@@ -2,16 +2,40 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+log = logging.getLogger(__name__)
+
+
+def _folder(spark: SparkSession, path: str):
+    """Spark's own file system for a path, and the path in it."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), folder
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, folder = _folder(spark, path)
+    return store.exists(folder)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, in order; a missing one has none."""
+    store, folder = _folder(spark, path)
+    if not store.exists(folder):
+        return []
+    found = store.listStatus(folder)
+    return sorted(f.getPath().getName() for f in found if f.isDirectory())
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder for a table that cuts lineage.
 
@@ -33,13 +57,22 @@ def read_table(
     missing_ok: bool = False,
 ) -> DataFrame | None:
     """Parquet table; a known schema saves the look into a footer."""
+    if missing_ok and not exists(spark, path):
+        return None
     reader = spark.read if schema is None else spark.read.schema(schema)
-    try:
-        return reader.parquet(path)
-    except AnalysisException as error:
-        if missing_ok and error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return reader.parquet(path)
+
+
+def read_stored(spark: SparkSession, path: str, like: T.StructType, partition_column: str):
+    """A partitioned table with all columns it has, or None if there is none yet.
+
+    Only the partition column takes its type from ``like``: directories don't tell it.
+    """
+    if not subfolders(spark, path):
+        return None
+    found = spark.read.parquet(path).schema
+    fields = [f for f in found if f.name != partition_column] + [like[partition_column]]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def gather(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -47,9 +80,10 @@ def gather(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
     Adaptive execution then cuts large partitions into several tasks and merges
     small ones: one date may hold most of the table. Without adaptive execution
-    nothing could cut them and the rows stay where they are.
+    nothing could cut them: the rows stay where they are, with a warning.
     """
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        log.warning("Adaptive execution is off: every task writes a file per partition")
         return df
     return df.hint("rebalance", *(F.col(name) for name in by))
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tideline.sources.sinks import write_partitioned
+
 
 class Table(Protocol):
     def read(self, spark: SparkSession) -> DataFrame: ...
@@ -17,16 +19,37 @@ class Table(Protocol):
 
     def append(self, df: DataFrame) -> None: ...
 
+    def refresh(self, touched: DataFrame, whole: DataFrame) -> None: ...
+
 
 @dataclass(frozen=True)
 class ParquetTable:
+    """A parquet folder, flat or partitioned.
+
+    A table must not be overwritten from its own files: store the rows first.
+    """
+
     path: str
+    partition_by: Sequence[str] = ()
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path)
 
     def overwrite(self, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(self.path)
+        if self.partition_by:
+            write_partitioned(df, self.path, self.partition_by, mode="static")
+        else:
+            df.write.mode("overwrite").parquet(self.path)
+
+    def refresh(self, touched: DataFrame, whole: DataFrame) -> None:
+        """Publish new content of some partitions; the others' files stay as they are.
+
+        A table without partitions takes the whole content.
+        """
+        if self.partition_by:
+            write_partitioned(touched, self.path, self.partition_by)
+        else:
+            self.overwrite(whole)
 
     def append(self, df: DataFrame) -> None:
         df.write.mode("append").parquet(self.path)
@@ -40,7 +63,8 @@ class JdbcTable:
     ``connections`` bounds the number of parallel writers. Each task commits on
     its own, so a task repeated after its commit, say because its executor was
     lost, leaves rows twice: ``overwrite`` reads the row count back and starts
-    over if it is wrong. An appended row may be there twice after such a loss.
+    over if it is wrong. It evaluates the rows twice, to count and to write, so they
+    should be a stored table. An appended row may be there twice after such a loss.
     """
 
     url: str
@@ -55,13 +79,21 @@ class JdbcTable:
 
     @classmethod
     def postgres(
-        cls, host: str, port: int, database: str, table: str, user: str, **options
+        cls,
+        host: str,
+        port: int,
+        database: str,
+        table: str,
+        user: str,
+        password_env: str,
+        **options,
     ) -> "JdbcTable":
-        options.setdefault("password_env", "POSTGRES_PASSWORD")
+        # Form of the URL and class of the driver.
         return cls(
             f"jdbc:postgresql://{host}:{port}/{database}",
             table,
             user=user,
+            password_env=password_env,
             driver="org.postgresql.Driver",
             **options,
         )
@@ -97,5 +129,8 @@ class JdbcTable:
                 return
         raise RuntimeError(f"{self.table} holds {found} rows after writing {expected}")
 
+    def refresh(self, touched: DataFrame, whole: DataFrame) -> None:
+        self.overwrite(whole)
+
     def append(self, df: DataFrame) -> None:
         df.write.format("jdbc").mode("append").options(**self._write_options()).save()

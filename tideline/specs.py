@@ -72,19 +72,21 @@ class Measure:
 class GoldSpec:
     """Grouped summary: one output column per entry of ``measures``.
 
-    ``scale`` is the number of decimals that averages and sums carry exactly,
-    ``digits`` the number the published value is rounded to.
+    Values enter averages and sums with ``scale`` decimals; the published value is rounded
+    to ``digits``.
     """
 
     measures: Mapping[str, Measure]
     # Fixed value: the default grouping key.
     keys: Sequence[str] = ("environment", "source", "weather_date")
     digits: int = 2
-    scale: int = 4
+    scale: int = 9
 
     def __post_init__(self) -> None:
         if not self.measures:
             raise ValueError("A gold summary needs at least one measure")
+        if not 0 <= self.digits <= self.scale <= 9:
+            raise ValueError("Decimals must satisfy 0 <= digits <= scale <= 9")
 
     @classmethod
     def from_mapping(cls, aggregations: Mapping[str, Mapping[str, str]], **options) -> "GoldSpec":

@@ -88,14 +88,19 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _batched(_timed_events(spark, sf_dir), ["time", "value", "event_id"])
 
 
-def weather_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enveloped responses of the weather feed; sensors saturate at their bounds."""
+def weather_records(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
+    """Enveloped responses of the weather feed.
+
+    Temperature is a tenth of the value and humidity the user's number modulo 101, so that
+    readings lie within the bounds unless ``hot``: then the value itself is the temperature.
+    """
+    value = F.col("value")
     readings = _timed_events(spark, sf_dir).withColumns(
         {
-            "temperature_2m": F.least("value", F.lit(60.0)),
-            "relative_humidity_2m": F.least("user_id", F.lit(100)),
-            "precipitation": F.col("value"),
-            "wind_speed_10m": F.col("value"),
+            "temperature_2m": value if hot else F.round(value / 10, 3),
+            "relative_humidity_2m": (F.col("user_id") % 101).cast("double"),
+            "precipitation": value,
+            "wind_speed_10m": value,
         }
     )
     batches = _batched(readings, ["time", *VARIABLES])

@@ -75,6 +75,26 @@ GOLD = (
 )
 
 
+#: The weather feed's newest readings; ``hottest`` are those whose temperature is the value.
+WEATHER = (
+    FLAT
+    + """, readings AS (
+  SELECT f.*, round(f.value / 10, 3) AS temperature_2m, f.value AS hot,
+         CAST(v.user_id % 101 AS DOUBLE) AS relative_humidity_2m
+  FROM flat f JOIN events v ON v.event_id = f.event_id),
+newest AS (
+  SELECT * FROM readings QUALIFY row_number() OVER (
+    PARTITION BY source, weather_timestamp
+    ORDER BY ingestion_timestamp_utc DESC, temperature_2m DESC,
+             relative_humidity_2m DESC, value DESC) = 1),
+hottest AS (
+  SELECT * FROM readings QUALIFY row_number() OVER (
+    PARTITION BY source, weather_timestamp
+    ORDER BY ingestion_timestamp_utc DESC, hot DESC, relative_humidity_2m DESC) = 1)
+"""
+)
+
+
 def _gate(dataset: str, gate: str, column: str, violations: str, checked: str = "count(*)") -> str:
     return (
         f"SELECT '{dataset}' AS dataset, '{gate}' AS gate, '{column}' AS \"column\", "
@@ -235,7 +255,18 @@ ORACLES: dict[str, str] = {
     "overwrite_dynamic": ALL_SILVER,
     "upsert_incremental": ALL_SILVER,
     "serving_overwrite": ALL_GOLD,
-    "serving_select_gold": ALL_GOLD,
+    "serving_select_gold": f"""{GOLD}, first_slice AS (
+          SELECT max(ingestion_date) AS d FROM records), static_gold AS (
+          SELECT 'static' AS mode, environment, source, weather_date, {avg2('value')} AS avg_value,
+                 {sum2('value')} AS total_value, {max2('value')} AS max_value,
+                 max(event_id) AS last_event
+          FROM (SELECT f.*, row_number() OVER (
+                  PARTITION BY source, weather_timestamp
+                  ORDER BY f.ingestion_timestamp_utc DESC, f.event_id DESC) AS place
+                FROM flat f JOIN records r USING (source, batch)
+                WHERE r.ingestion_date = (SELECT d FROM first_slice))
+          WHERE place = 1 GROUP BY environment, source, weather_date)
+        SELECT * FROM static_gold UNION ALL SELECT 'upsert', * FROM gold""",
     "audit_append": f"{RUNS} SELECT * FROM runs",
     "audit_history": f"{RUNS} SELECT * EXCLUDE (error_message) FROM runs ORDER BY start_time DESC",
     "audit_failures": f"""{RUNS}
@@ -248,23 +279,47 @@ ORACLES: dict[str, str] = {
     "sample_top_n": """
         SELECT event_id, event_type, value FROM events
         ORDER BY value DESC, event_id LIMIT 10""",
-    "weather_full_run": f"""{FLAT}, readings AS (
-          SELECT f.*, least(f.value, 60.0) AS temperature_2m,
-                 CAST(least(v.user_id, 100) AS DOUBLE) AS relative_humidity_2m
-          FROM flat f JOIN events v ON v.event_id = f.event_id),
-        newest AS (
-          SELECT *, row_number() OVER (
-                   PARTITION BY source, weather_timestamp
-                   ORDER BY ingestion_timestamp_utc DESC, temperature_2m DESC,
-                            relative_humidity_2m DESC, value DESC) AS place
-          FROM readings)
+    "weather_full_run": f"""{WEATHER}
         SELECT 'prod' AS environment, source, weather_date,
                {avg2('temperature_2m')} AS avg_temperature,
                {max2('temperature_2m')} AS max_temperature,
                {avg2('relative_humidity_2m')} AS avg_humidity,
                {sum2('value')} AS total_precipitation,
                {max2('value')} AS max_wind_speed
-        FROM newest WHERE place = 1 GROUP BY source, weather_date""",
+        FROM newest GROUP BY source, weather_date""",
+    "weather_failed_run": f"""{WEATHER}
+        SELECT 'prod' AS environment, 'FAILED' AS status,
+               (SELECT count(*) FROM records) AS bronze_row_count,
+               CAST(0 AS BIGINT) AS silver_row_count, CAST(0 AS BIGINT) AS gold_row_count,
+               'silver: ' || count(*) FILTER (WHERE hot > 60) || ' of ' || count(*)
+                 || ' values of temperature_2m lie outside [-50, 60]' AS reason,
+               FALSE AS published
+        FROM hottest""",
+    "gold_daily_fine": f"""{SILVER}
+        SELECT environment, source, weather_date,
+               CAST(sign(t) * ((2 * abs(t) + n * 10000000) // (2 * n * 10000000)) AS DOUBLE) / 100
+                 AS avg_fine,
+               CAST(sign(t) * ((2 * abs(t) + 10000000) // 20000000) AS DOUBLE) / 100 AS total_fine,
+               CAST((2 * e * 100 + n) // (2 * n) AS DOUBLE) / 100 AS avg_event
+        FROM (SELECT environment, source, weather_date, count(*) AS n,
+                     sum(CAST(round((value + event_id / 1000000.0::DOUBLE) * 1000000000::DOUBLE)
+                         AS HUGEINT)) AS t,
+                     sum(CAST(event_id AS HUGEINT)) AS e
+              FROM silver GROUP BY environment, source, weather_date)""",
+    "bronze_unreadable_values": f"""{FLAT}
+        SELECT source, ingestion_timestamp_utc, idx, weather_timestamp, event_id,
+               CASE WHEN event_id % 7 = 3 THEN NULL ELSE value END AS value,
+               CAST(CASE WHEN event_id % 7 = 3 THEN 1 ELSE 0 END AS BIGINT) AS unreadable
+        FROM flat""",
+    "bronze_land_text": """
+        SELECT event_id, event_type AS source,
+               CASE WHEN event_id % 5 = 0 THEN '{"hourly": [16.0, ' || event_id
+                    WHEN event_id % 5 = 1 THEN ''
+                    WHEN event_id % 5 = 2 THEN '{"a": 1, "a": ' || event_id || '}'
+                    ELSE '{"z": 16.0, "long": 12345678901234567890123456789012345678901234567890,'
+                         || ' "e": "\\u00e9\\n", "id": ' || event_id || '}' END AS payload,
+               event_id % 5 >= 3 AS nested
+        FROM events""",
     "medallion_full_run": ALL_GOLD,
     "medallion_incremental_runs": ALL_GOLD,
     "medallion_run_log": f"""{GOLD}, counts AS (
@@ -281,7 +336,8 @@ ORACLES: dict[str, str] = {
                CAST(CASE WHEN high > 0 THEN 0 ELSE gold_row_count END AS BIGINT),
                CASE WHEN high > 0 THEN 'FAILED' ELSE 'SUCCESS' END,
                CASE WHEN high > 0
-                    THEN 'Column value has ' || high || ' values outside range 0 to 300'
+                    THEN 'silver: ' || high || ' of ' || silver_row_count
+                         || ' values of value lie outside [0, 300]'
                     ELSE '' END
         FROM counts""",
 }

@@ -25,12 +25,20 @@ from tideline.plans.weather import weather_run
 from tideline.sources.bronze import (
     INGESTION_DATE,
     bronze_schema,
+    envelope,
+    ingestion_dates,
     land,
     raw_path,
     read_bronze,
     record_health,
 )
-from tideline.sources.sinks import gather, read_table, scratch_path, write_partitioned
+from tideline.sources.sinks import (
+    exists,
+    gather,
+    read_table,
+    scratch_path,
+    write_partitioned,
+)
 from tideline.sources.tables import ParquetTable
 from tideline.specs import GoldSpec, Measure, QualityRules, Range
 from workloads import events as ev
@@ -57,8 +65,8 @@ def bronze_land_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ingestion_timestamp_utc",
         INGESTION_DATE,
         F.size(hourly["time"]).cast("bigint").alias("entries"),
-        F.array_min(hourly["event_id"]).alias("first_event"),
-        F.array_max(hourly["event_id"]).alias("last_event"),
+        F.array_min(hourly["event_id"].cast("array<bigint>")).alias("first_event"),
+        F.array_max(hourly["event_id"].cast("array<bigint>")).alias("last_event"),
     )
 
 
@@ -110,6 +118,67 @@ def bronze_record_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record_health(read_bronze(spark, path, bronze_schema(ev.FLATTEN)), ev.FLATTEN)
 
 
+@register
+def bronze_unreadable_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some elements of an array are no numbers; their neighbours survive."""
+    hourly = F.col("payload.hourly")
+    values = F.transform(
+        F.arrays_zip(hourly["value"].alias("value"), hourly["event_id"].alias("event_id")),
+        lambda x: F.when(x["event_id"] % 7 == 3, F.lit("n/a")).otherwise(
+            x["value"].cast("string")
+        ),
+    )
+    payload = F.struct(
+        F.struct(
+            hourly["time"].alias("time"), values.alias("value"), hourly["event_id"].alias("event_id")
+        ).alias("hourly")
+    )
+    path = scratch_path(spark, "bronze")
+    land(ev.records(spark, sf_dir).withColumn("payload", payload), path, compact=True)
+    bronze = read_bronze(spark, path, bronze_schema(ev.FLATTEN))
+    rows = flatten(bronze, ev.FLATTEN, position="idx", unreadable="unreadable")
+    return rows.withColumns(
+        {
+            "idx": F.col("idx").cast("bigint"),
+            "unreadable": F.size("unreadable").cast("bigint"),
+        }
+    )
+
+
+@register
+def bronze_land_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses as text, some of them no JSON: every one lands with its own characters."""
+    ident = F.col("event_id").cast("string")
+    kind = F.col("event_id") % 5
+    good = F.concat(
+        F.lit('{"z": 16.0, "long": 12345678901234567890123456789012345678901234567890,'),
+        F.lit(' "e": "\\u00e9\\n", "id": '),
+        ident,
+        F.lit("}"),
+    )
+    text = (
+        F.when(kind == 0, F.concat(F.lit('{"hourly": [16.0, '), ident))
+        .when(kind == 1, F.lit(""))
+        .when(kind == 2, F.concat(F.lit('{"a": 1, "a": '), ident, F.lit("}")))
+        .otherwise(good)
+    )
+    events = ev.table(spark, sf_dir, "events").withColumn("payload", text)
+    path = scratch_path(spark, "bronze")
+    params = F.struct("event_id")
+    land(envelope(events, F.col("event_type"), params, F.col("ts")), path, compact=True)
+    line = F.col("value")
+    nested = line.contains('"payload":{"z"')
+    body = F.when(nested, F.regexp_extract(line, r'"payload":(.*)\}$', 1)).otherwise(
+        F.get_json_object(line, "$.payload")
+    )
+    return spark.read.text(path).select(
+        F.get_json_object(line, "$.request_params.event_id").cast("bigint").alias("event_id"),
+        F.get_json_object(line, "$.source").alias("source"),
+        body.alias("payload"),
+        nested.alias("nested"),
+    )
+
+
 # --- silver -----------------------------------------------------------------
 
 
@@ -247,6 +316,20 @@ def gold_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.dated(aggregate(_silver(spark, sf_dir), ev.GOLD))
 
 
+@register
+def gold_daily_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values with more decimals than are published, and means of whole numbers."""
+    fine = F.col("value") + F.col("event_id") / F.lit(1e6)
+    spec = GoldSpec(
+        {
+            "avg_fine": Measure("fine", "avg"),
+            "total_fine": Measure("fine", "sum"),
+            "avg_event": Measure("event_id", "avg"),
+        }
+    )
+    return ev.dated(aggregate(_silver(spark, sf_dir).withColumn("fine", fine), spec))
+
+
 @register
 def gold_daily_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = ev.table(spark, sf_dir, "lineitem")
@@ -426,7 +509,7 @@ def _run_spec(spark: SparkSession, sf_dir: str, **options) -> RunSpec:
         flatten=ev.FLATTEN,
         rules=options.pop("rules", ev.RULES),
         aggregations=ev.GOLD,
-        serving=ParquetTable(f"{root}/serving"),
+        serving=ParquetTable(f"{root}/serving", BY_DATE),
         audit=ParquetTable(f"{root}/audit"),
         **options,
     )
@@ -461,10 +544,33 @@ def weather_full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.dated(spec.serving.read(spark))
 
 
+@register
+def weather_failed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same feed with temperatures out of range: recorded, and nothing published."""
+    lake = scratch_path(spark, "lake")
+    log, serving = ParquetTable(f"{lake}/runs"), ParquetTable(f"{lake}/serving")
+    spec = weather_run("prod", lake, WEATHER_GOLD, serving, log)
+    records = ev.weather_records(spark, sf_dir, hot=True)
+    land(records, raw_path(spec.bronze, spec.source), compact=True)
+    try:
+        run(spark, spec)
+    except QualityError:
+        pass
+    reason = F.regexp_extract("error_message", r"silver: \d+ of \d+ values[^\n]*", 0)
+    return log.read(spark).select(
+        "environment",
+        "status",
+        "bronze_row_count",
+        "silver_row_count",
+        "gold_row_count",
+        reason.alias("reason"),
+        F.lit(exists(spark, spec.silver_path) or exists(spark, serving.path)).alias("published"),
+    )
+
+
 def _ingestion_halves(spark: SparkSession, spec: RunSpec) -> tuple[list[str], list[str]]:
     """Ingestion dates are directories: their list is what a scheduler iterates over."""
-    bronze = read_bronze(spark, spec.bronze_path, bronze_schema(spec.flatten))
-    dates = sorted(r[0] for r in bronze.select(INGESTION_DATE).distinct().collect())
+    dates = ingestion_dates(spark, spec.bronze_path)
     return dates[: len(dates) // 2], dates[len(dates) // 2 :]
 
 
@@ -489,7 +595,7 @@ def medallion_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     except QualityError:
         pass
     log = for_success.audit.read(spark).unionByName(for_failure.audit.read(spark))
-    reason = F.regexp_extract("error_message", r"Column value has \d+ values[^\n]*", 0)
+    reason = F.regexp_extract("error_message", r"silver: \d+ of \d+ values[^\n]*", 0)
     return log.select(
         "environment",
         "pipeline_name",
@@ -503,7 +609,12 @@ def medallion_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def serving_select_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The serving table after a run that replaced everything."""
-    spec = _run_spec(spark, sf_dir, mode="static")
-    run(spark, spec)
-    return ev.dated(spec.serving.read(spark))
+    """Two slices, the older one first: a static run keeps the second alone, an upsert both."""
+    served = []
+    for mode in ("static", "upsert"):
+        spec = _run_spec(spark, sf_dir, mode=mode)
+        dates = ingestion_dates(spark, spec.bronze_path)
+        for slice_ in (dates[:-1], dates[-1:]):
+            run(spark, spec, slice_)
+        served.append(spec.serving.read(spark).select(F.lit(mode).alias("mode"), "*"))
+    return ev.dated(served[0].unionByName(served[1]))
