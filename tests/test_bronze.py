@@ -1,3 +1,4 @@
+import json
 from datetime import datetime, timezone
 
 import pytest
@@ -10,7 +11,9 @@ from tideline.functions.scalars import day_label, iso_utc, utc_wall_clock
 from tideline.sources.bronze import (
     bronze_schema,
     envelope,
+    ingestion_dates,
     land,
+    propose_flatten,
     raw_path,
     read_bronze,
     record_health,
@@ -116,3 +119,56 @@ def test_only_declared_fields_are_parsed(spark, tmp_path):
     put(tmp_path, "2024_01_01", record(["2024-01-01T00:00"], [1.0]))
     fields = read_bronze(spark, str(tmp_path), SCHEMA).schema["payload"].dataType
     assert fields["hourly"].dataType.names == ["time", "temperature_2m", "wind_speed_10m"]
+
+
+def test_proposed_declaration(spark, tmp_path):
+    put(tmp_path, "2024_01_01", record(["2024-01-01T00:00"], [1.5], [2]))
+    spec = propose_flatten(spark, str(tmp_path), "payload.hourly")
+    assert spec.measures == {"temperature_2m": "temperature_2m", "wind_speed_10m": "wind_speed_10m"}
+    assert [spec.type_of(n).simpleString() for n in sorted(spec.measures)] == ["double", "bigint"]
+    rows = flatten(read_bronze(spark, str(tmp_path), bronze_schema(spec)), spec)
+    assert rows.first().wind_speed_10m == 2
+    with pytest.raises(ValueError, match="payload.daily"):
+        propose_flatten(spark, str(tmp_path), "payload.daily")
+    with pytest.raises(ValueError, match="No array hour"):
+        propose_flatten(spark, str(tmp_path), "payload.hourly", axis="hour")
+
+
+def test_one_unreadable_element_leaves_its_neighbours(spark, tmp_path):
+    put(tmp_path, "2024_01_01", record(["a", "b", "c"], [1.0, "n/a", 3.0], [True, 2.0, {"x": 1}]))
+    rows = flatten(read_bronze(spark, str(tmp_path), SCHEMA), SPEC, unreadable="bad").collect()
+    assert [r.temperature_2m for r in rows] == [1.0, None, 3.0]
+    assert [[tuple(x) for x in r.bad] for r in rows] == [
+        [("wind_speed_10m", "true")],
+        [("temperature_2m", "n/a")],
+        [("wind_speed_10m", '{"x": 1}')],
+    ]
+
+
+def test_text_lands_with_its_own_characters(spark, tmp_path):
+    texts = [
+        '{"a": 16.0, "n": 12345678901234567890123456789012345678901234567890}',
+        '{\n  "b": "\\u00e9",\r\n "a": []\n}',
+        '{"cut": [1,',
+        "",
+        '{"k": 1, "k": 2}',
+        None,
+    ]
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "payload string, i int")
+    land(envelope(df, "s", F.struct("i")), str(tmp_path))
+    lines = {
+        json.loads(r.value)["request_params"]["i"]: r.value
+        for r in spark.read.text(str(tmp_path)).collect()
+    }
+    assert len(lines) == len(texts)
+    assert lines[0].endswith(f'"payload":{texts[0]}}}')
+    assert lines[1].endswith('"payload":{   "b": "\\u00e9",   "a": [] }}')
+    for i in (2, 3, 4, 5):
+        assert json.loads(lines[i])["payload"] == texts[i]
+
+
+def test_ingestion_dates_are_listed(spark, tmp_path):
+    for date in ("2024_01_02", "2024_01_01"):
+        put(tmp_path, date, record([], []))
+    assert ingestion_dates(spark, str(tmp_path)) == ["2024_01_01", "2024_01_02"]
+    assert ingestion_dates(spark, str(tmp_path / "absent")) == []

@@ -42,6 +42,30 @@ def bronze_schema(spec: FlattenSpec) -> T.StructType:
     )
 
 
+def propose_flatten(
+    spark: SparkSession, path: str, root: str, axis: str = "time", documents: bool = False
+) -> FlattenSpec:
+    """A declaration for what the records below a folder hold; reads them all once.
+
+    Every array of plain values beside the axis becomes a measure of its inferred type.
+    A proposal to look at and keep: runs take a declaration and never infer.
+    """
+    found = spark.read.option("multiLine", documents).json(path).schema
+    for name in root.split("."):
+        if name not in found.names or not isinstance(found[name].dataType, T.StructType):
+            raise ValueError(f"No record has the structure {root}")
+        found = found[name].dataType
+    arrays = {f.name: f.dataType.elementType for f in found if isinstance(f.dataType, T.ArrayType)}
+    if axis not in arrays:
+        raise ValueError(f"No array {axis} below {root}")
+    measures = {
+        name: kind
+        for name, kind in arrays.items()
+        if name != axis and not isinstance(kind, (T.StructType, T.ArrayType))
+    }
+    return FlattenSpec(root, {name: name for name in measures}, axis, types=measures)
+
+
 def envelope(
     responses: DataFrame,
     source: str | Column,
