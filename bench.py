@@ -13,9 +13,11 @@ import os
 import statistics
 import sys
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tideline.operators.aggregate import aggregate
 from tideline.operators.dedupe import dedupe_latest
@@ -29,6 +31,8 @@ from workloads.queries import QUERIES
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 WARM_RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+#: How often the events are repeated, under other sources, for the comparisons.
+COPIES = int(os.environ.get("BENCH_COPIES", "40"))
 
 HEADLINES = [
     "flatten_hourly",
@@ -38,6 +42,7 @@ HEADLINES = [
     "dq_duplicates",
     "dq_value_ranges",
     "gold_daily",
+    "gold_daily_fine",
     "gold_daily_lineitem",
     "gold_daily_orders",
     "silver_write_readback",
@@ -62,18 +67,39 @@ def timed(work) -> float:
     return round(statistics.median(seconds), 3)
 
 
+def jobs_of(spark: SparkSession, work) -> int:
+    """How many Spark jobs the work starts."""
+    context, group = spark.sparkContext, f"bench-{uuid.uuid4().hex}"
+    context.setJobGroup(group, group)
+    work()
+    found = len(context.statusTracker().getJobIdsForGroup(group))
+    context.setJobGroup("bench", "bench")
+    return found
+
+
+def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def comparisons(spark: SparkSession) -> dict[str, dict[str, float]]:
-    """The library's way and the plain way on the same stored rows."""
-    path = scratch_path(spark, "flat")
-    ev.flat(spark, SF_DIR).write.parquet(path)
-    flat = spark.read.parquet(path)
-    silver_path = scratch_path(spark, "silver")
-    dedupe_latest(flat, ev.KEY, ["ingestion_timestamp_utc"]).write.parquet(silver_path)
-    silver = spark.read.parquet(silver_path)
+    """The library's way and the plain way on the same stored rows, some millions of them."""
+    copies = F.explode(F.sequence(F.lit(1), F.lit(COPIES))).alias("copy")
+    flat = stored(
+        spark,
+        ev.flat(spark, SF_DIR)
+        .select("*", copies)
+        .withColumn("source", F.concat_ws("-", "source", "copy"))
+        .drop("copy"),
+        "flat",
+    )
+    silver = stored(spark, dedupe_latest(flat, ev.KEY, ["ingestion_timestamp_utc"]), "silver")
     plain_gold = [
         F.round(getattr(F, m.aggregation)(m.source_column), 2).alias(name)
         for name, m in ev.GOLD.measures.items()
     ]
+    newest = Window.partitionBy(*ev.KEY).orderBy(F.desc("ingestion_timestamp_utc"))
 
     def gates_one_by_one() -> None:
         for name in ev.RULES.required:
@@ -84,9 +110,15 @@ def comparisons(spark: SparkSession) -> dict[str, dict[str, float]]:
         silver.filter(F.col("weather_date").isNull()).count()
         silver.count()
 
+    paths: dict[str, str] = {}
+
+    def here_write() -> None:
+        paths["here"] = scratch_path(spark, "w")
+        write_partitioned(silver, paths["here"], ["weather_date"])
+
     def one_task_write() -> None:
-        out = scratch_path(spark, "plain")
-        silver.repartition(1).write.partitionBy("weather_date").parquet(out)
+        paths["plain"] = scratch_path(spark, "plain")
+        silver.repartition(1).write.partitionBy("weather_date").parquet(paths["plain"])
 
     lake = scratch_path(spark, "lake")
     upsert(spark, flat, lake, ev.KEY, ["ingestion_timestamp_utc"], "weather_date")
@@ -102,24 +134,34 @@ def comparisons(spark: SparkSession) -> dict[str, dict[str, float]]:
         )
 
     pairs = {
-        "dedupe": (
+        "dedupe_vs_row_number": (
+            lambda: drain(dedupe_latest(flat, ev.KEY, ["ingestion_timestamp_utc"])),
+            lambda: drain(flat.withColumn("n", F.row_number().over(newest)).filter("n = 1")),
+        ),
+        "dedupe_vs_arbitrary": (
             lambda: drain(dedupe_latest(flat, ev.KEY, ["ingestion_timestamp_utc"])),
             lambda: drain(flat.dropDuplicates(list(ev.KEY))),
         ),
         "gold": (
-            lambda: drain(aggregate(silver, ev.GOLD)),
-            lambda: drain(silver.groupBy(*ev.GOLD.keys).agg(*plain_gold)),
+            lambda: drain(aggregate(flat, ev.GOLD)),
+            lambda: drain(flat.groupBy(*ev.GOLD.keys).agg(*plain_gold)),
         ),
         "gates": (lambda: quality_report(silver, ev.RULES).collect(), gates_one_by_one),
-        "write": (
-            lambda: write_partitioned(silver, scratch_path(spark, "w"), ["weather_date"]),
-            one_task_write,
-        ),
+        "write": (here_write, one_task_write),
         "one_day": (one_day, rebuild),
     }
-    return {
-        name: {"here": timed(ours), "plain": timed(plain)} for name, (ours, plain) in pairs.items()
-    }
+    found: dict[str, dict[str, float]] = {}
+    for name, (ours, plain) in pairs.items():
+        found[name] = {
+            "here": timed(ours),
+            "plain": timed(plain),
+            "jobs_here": jobs_of(spark, ours),
+            "jobs_plain": jobs_of(spark, plain),
+        }
+    for way, path in paths.items():
+        found["write"][f"files_{way}"] = len(spark.read.parquet(path).inputFiles())
+    found["rows"] = {"flat": flat.count(), "silver": silver.count()}
+    return found
 
 
 def main() -> None:

@@ -11,7 +11,7 @@ from helpers import GOLD, KEY, SPEC, put, record
 from tideline import aggregate, dedupe_latest, flatten, quality_report
 from tideline.plans.incremental import Span, touched_rows
 from tideline.sources.bronze import bronze_schema, read_bronze
-from tideline.sources.sinks import gather, observed, scratch_path, write_partitioned
+from tideline.sources.sinks import gather, observed, qualified, scratch_path, write_partitioned
 from workloads import events as ev
 
 SF = "/root/testdata/sf0.01"
@@ -152,6 +152,8 @@ def test_scratch_lies_in_the_shared_folder(spark):
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first.startswith(shared) and first != second
     assert not Path(first).exists()
+    assert qualified(spark, first) == f"file://{first}"
+    assert qualified(spark, f"file:{first}") == f"file://{first}"
 
 
 def test_unknown_overwrite_mode(spark, tmp_path):

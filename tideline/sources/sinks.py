@@ -27,6 +27,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(folder)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, for code that doesn't know the cluster's default one."""
+    store, folder = _folder(spark, path)
+    uri = store.makeQualified(folder).toUri()
+    return f"{uri.getScheme()}://{uri.getAuthority() or ''}{uri.getPath()}"
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in a folder, in order; a missing one has none."""
     store, folder = _folder(spark, path)
