@@ -83,11 +83,8 @@ def test_reader_skips_frames_and_checks_them(edge, tmp_path):
     with local.open_input_file(str(bad)) as file:
         reader = FrameReader(file)
         assert len(list(reader.documents(np.array([0])))) == 1
-        with pytest.raises(Exception) as error:
+        with pytest.raises(CorruptFrame):
             list(reader.documents(np.array([last])))
-        assert isinstance(error.value, CorruptFrame) or "zstd" in type(error.value).__module__ + str(
-            error.value
-        ).lower()
     bad.write_bytes(bytes(raw[:-1]))
     with local.open_input_file(str(bad)) as file, pytest.raises(CorruptFrame):
         FrameReader(file)

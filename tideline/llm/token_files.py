@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm.common import filesystem, partitions, whole
 from tideline.llm.tokens import encoder
+from tideline.sources.sinks import qualified
 
 # Fixed values of the zstandard seekable format and of skippable frames.
 SEEK_FRAME = 0x184D2A5E
@@ -115,10 +116,11 @@ class FrameReader:
             self.file.seek(base)
             raw = self.file.read(int(self.ends[wanted[last]]) - base)
             for k in wanted[at : last + 1].tolist():
-                content = inflate.decompress(
-                    raw[int(begins[k]) - base : int(self.ends[k]) - base],
-                    max_output_size=int(self.frames[k, 1]),
-                )
+                frame = raw[int(begins[k]) - base : int(self.ends[k]) - base]
+                try:
+                    content = inflate.decompress(frame, max_output_size=int(self.frames[k, 1]))
+                except zstandard.ZstdError as error:
+                    raise CorruptFrame(f"frame {k}") from error
                 if _xxh32(content) != self.frames[k, 2]:
                     raise CorruptFrame(f"frame {k}")
                 ids = np.frombuffer(content, "<u2" if self.width == 2 else "<u4")
@@ -204,7 +206,7 @@ def write_token_files(
     between files are approximate quantiles of the identifiers, one number per file.
     """
     spark = docs.sparkSession
-    files = files or partitions(spark)
+    path, files = qualified(spark, path), files or partitions(spark)
     with open(tokenizer, encoding="utf-8") as file:
         largest = max(max(json.load(file)["model"]["vocab"].values()) + 64, end_id)
     width = 2 if largest < 1 << 16 else 4
@@ -240,6 +242,7 @@ def read_token_files(
     ``start`` counts the ids of all documents before. With ``doc_ids`` only the frames of
     those documents are read and decompressed. Checksums are verified.
     """
+    path = qualified(spark, path)
     store, root = filesystem(path)
     with store.open_input_stream(f"{root}/manifest.json") as file:
         listed = json.loads(file.read())["files"]

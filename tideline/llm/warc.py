@@ -39,6 +39,7 @@ from pyspark.sql.datasource import (
 
 from tideline.llm.common import filesystem, whole
 from tideline.llm.exact_dedup import exact_classes
+from tideline.sources.sinks import qualified
 
 SCHEMA = (
     "record_type string, record_id string, target_uri string, refers_to string, "
@@ -421,14 +422,17 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True, **options: s
     """
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcDataSource)
-    return spark.read.format("warc").options(payload=str(payload).lower(), **options).load(path)
+    reader = spark.read.format("warc").options(payload=str(payload).lower(), **options)
+    return reader.load(qualified(spark, path))
 
 
 def write_warc(records: DataFrame, path: str, **options: str) -> None:
     """Append records (columns of WRITTEN) to the archives below a folder."""
-    records.sparkSession.dataSource.register(WarcDataSource)
+    spark = records.sparkSession
+    spark.dataSource.register(WarcDataSource)
     names = [c.split()[0] for c in WRITTEN.split(", ")]
-    records.select(*names).write.format("warc").options(**options).mode("append").save(path)
+    writer = records.select(*names).write.format("warc").options(**options).mode("append")
+    writer.save(qualified(spark, path))
 
 
 def archive_pages(
