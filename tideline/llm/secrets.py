@@ -45,31 +45,28 @@ HARMLESS_WORDS = frozenset(
     "integrity etag card order invoice phone tel isbn serial example sample dummy mail email "
     "from to call account http https www image data fingerprint".split()
 )
-TEST_WORDS = frozenset("test tests testing fixture fixtures example examples mock mocks sample docs spec".split())
-PLACEHOLDERS = frozenset("example your changeme placeholder dummy sample xxxx here todo test redacted insert".split())
+TEST_WORDS = frozenset(
+    "test tests testing fixture fixtures example examples mock mocks sample docs spec".split()
+)
+PLACEHOLDERS = frozenset(
+    "example your changeme placeholder dummy sample xxxx here todo test redacted insert".split()
+)
 #: Words that identifiers and addresses are made of.
 DICTIONARY = frozenset(
-    "about access account action active add address admin all and api app application array "
-    "async auth back base batch block body bool boot box buffer build byte cache call channel "
-    "char check class client close code color column com commit common component config "
-    "connect content context control copy core count create current data database date debug "
-    "default delete dev device dialog dict dir document domain done down draw edit element email "
-    "end entry error event example exec exit export factory fail false field file filter find "
-    "first flag float font for form format frame from function game get global group handle "
-    "handler hash head header height hello helper hidden home host html http https image import "
-    "index info init input insert int internal item java javascript job json key kind label last "
-    "layer layout left length level lib limit line link list load local lock log login loop mail "
-    "main make manager map mark master max media member memory menu message meta method min mode "
-    "model module mouse name net network new next node null number object offset open option "
-    "order org out output package page param parent parse path pattern play png point pool port "
-    "position post process profile project property proxy public python query queue random range "
-    "read record ref region remote remove render replace report request reset resource response "
-    "rest result return right role root route row rule run sample save schema scope screen script "
-    "search section select send server service session set setting shape shared size sort source "
-    "spec stack start state static status step stop store str stream string style sub success "
-    "system tab table tag target task temp template test text the theme thread time title tool "
-    "top total trace track tree true type unit update upload url use user util value var vector "
-    "version view web width window with word work world wrap write www year zip zone".split()
+    "about account action address admin app application array async auth back base block body "
+    "buffer build byte cache call channel check class client code column common config connect "
+    "content context control copy count create current data database date default delete device "
+    "document domain email entry error event example export field file filter find format frame "
+    "function get global group handle hash header height hello host html http image index info "
+    "input insert item java job json key label layout length level library line link list load "
+    "log login mail main make manager map max member memory menu message meta method min mode "
+    "model name net network node number object offset option order output package param parse "
+    "path pattern play point port process profile project property proxy public python query "
+    "range read record region report request reset resource response result return route row "
+    "rule sample schema screen script search select server service session set size sort source "
+    "start state status step string style system table task template test text theme thread "
+    "time title tool trace type update upload user util value version view web window word work "
+    "world write year".split()
 )
 _WORD = re.compile(r"[A-Za-z]+|\d+")
 
@@ -152,7 +149,10 @@ FEATURES = (
     "secret_near harmless_near at_sign url_before word_before_is_secret path_test path_depth "
     "groups_like_uuid all_digits letters_outside"
 ).split()
-_PREFIX = re.compile(r"^(AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|sk_live_|sk-|rk_live_|xox[abp]-|eyJ|AIza|glpat-|npm_|SG\.)")
+_PREFIX = re.compile(
+    r"^(AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|sk_live_|sk-|rk_live_|xox[abp]-|eyJ|AIza|glpat-|npm_)"
+)
+_RUNS = re.compile(r"[a-z]+|[A-Z]+|[0-9]+|[^A-Za-z0-9]+")
 _UUID = re.compile(r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$")
 
 
@@ -186,7 +186,7 @@ def describe(f: Finding) -> list[float]:
         mixed / n,
         surprise,
         _covered(v),
-        max(len(m) for m in re.findall(r"(?:[a-z]+|[A-Z]+|\d+|[^A-Za-z0-9]+)", v)) / n if v.isascii() else 0.0,
+        max(len(m) for m in _RUNS.findall(v)) / n,
         len(counts) / n,
         float(v.count(".")),
         float(v.count("/")),
@@ -345,34 +345,49 @@ def labelled_findings(count: int = 4000, seed: int = 5) -> list[tuple[Finding, b
             return f"Authorization: Bearer {value}"
         return f"{name}{rng.choice([' = ', '=', ': ', ':', ' => '])}{mark}{value}{mark}"
 
+    def word() -> str:
+        return rng.choice(words)
+
+    def uuid() -> str:
+        return "-".join(some(hexes, n) for n in (8, 4, 4, 4, 12))
+
     def harmless() -> str:
-        part = rng.choice(words).capitalize()
+        name = rng.choice(["sha1", "md5", "sha256", "checksum", "etag"])
+        placeholder = rng.choice(
+            [
+                "your_api_key_here_1",
+                "xxxxxxxxxxxxxxxx0000",
+                "EXAMPLE" + some(digits, 12),
+                "changeme12345678",
+                "0000000000000000",
+            ]
+        )
         return rng.choice(
             [
                 lambda: f"commit {some(hexes, 40)}",
-                lambda: f"{rng.choice(['sha1', 'md5', 'sha256', 'checksum', 'etag'])}: {some(hexes, 32, 40, 64)}",
+                lambda: f"{name}: {some(hexes, 32, 40, 64)}",
                 lambda: f"sha512-{some(alnum + '+/', 86)}==",
-                lambda: f"{some(hexes, 8)}-{some(hexes, 4)}-{some(hexes, 4)}-{some(hexes, 4)}-{some(hexes, 12)}",
+                uuid,
                 lambda: some(digits, 16, 16, 19),
                 lambda: " ".join(some(digits, 4) for _ in range(4)),
-                lambda: f"{rng.choice(words)}.{some(digits, 2)}@{rng.choice(words)}{some(digits, 1)}.example.com",
-                lambda: f"mail{some(digits, 1)}.{rng.choice(words)}.example.com",
-                lambda: f"https://{rng.choice(words)}.org/{rng.choice(words)}/{some(hexes, 12, 40)}/{rng.choice(words)}{some(digits, 3)}.html",
-                lambda: f"{rng.choice(words)}/{rng.choice(words)}/{rng.choice(words)}_{some(digits, 2)}.py",
-                lambda: f"{rng.choice(words)}{part}{rng.choice(words).capitalize()}{some(digits, 1, 2)}",
-                lambda: f"2024-{some('01', 1)}{some(digits[1:], 1)}-1{some(digits, 1)}T1{some(digits, 1)}:{some('12345', 1)}0:00.{some(digits, 6)}Z",
-                lambda: f"{rng.choice(words)}-{rng.choice(words)}-{some(digits, 1)}.{some(digits, 2)}.{some(digits, 1)}",
+                lambda: f"{word()}.{some(digits, 2)}@{word()}{some(digits, 1)}.example.com",
+                lambda: f"mail{some(digits, 1)}.{word()}.example.com",
+                lambda: f"https://{word()}.org/{word()}/{some(hexes, 12, 40)}/{word()}.html",
+                lambda: f"{word()}/{word()}/{word()}_{some(digits, 2)}.py",
+                lambda: f"{word()}{word().capitalize()}{word().capitalize()}{some(digits, 1, 2)}",
+                lambda: f"2024-01-1{some(digits, 1)}T1{some(digits, 1)}:30:00.{some(digits, 6)}Z",
+                lambda: f"{word()}-{word()}-{some(digits, 1)}.{some(digits, 2)}.{some(digits, 1)}",
                 lambda: f"data:image/png;base64,iVBORw0KGgo{some(alnum + '+/', 60)}",
-                lambda: f"{some(digits, 3)}.{some(digits, 3)}.{some(digits, 2)}.{some(digits, 3)}***",
-                lambda: f"+{some(digits, 1)} ({some(digits, 3)}) {some(digits, 3)}-{some(digits, 4)}",
-                lambda: assigned(rng.choice(["your_api_key_here_1", "xxxxxxxxxxxxxxxx0000", "EXAMPLE" + some(digits, 12), "changeme12345678", "<insert-token-1234>", "0000000000000000"])),
-                lambda: assigned(f"{rng.choice(words)}_{rng.choice(words)}_{some(digits, 1)}"),
+                lambda: ".".join(some(digits, n) for n in (3, 3, 2, 3)) + "***",
+                lambda: f"+1 ({some(digits, 3)}) {some(digits, 3)}-{some(digits, 4)}",
+                lambda: assigned(placeholder),
+                lambda: assigned(f"{word()}_{word()}_{some(digits, 1)}"),
                 lambda: f"order {some(alnum[:26] + digits, 16)} id",
             ]
         )()
 
-    paths = ["src/app/config.py", "deploy/prod.env", "lib/client.js", "web", "src3", "books/a.txt", ""]
-    tests = ["tests/fixtures/keys.py", "docs/example.md", "src/test/mock_auth.js", "examples/run.sh"]
+    paths = ["src/app/config.py", "deploy/prod.env", "lib/client.js", "web", "src3", "a.txt", ""]
+    tests = ["tests/fixtures/keys.py", "docs/example.md", "src/test/mock.js", "examples/run.sh"]
     out: list[tuple[Finding, bool]] = []
     while len(out) < count:
         kind = rng.random()
@@ -392,7 +407,8 @@ def labelled_findings(count: int = 4000, seed: int = 5) -> list[tuple[Finding, b
             # Other runs of the line are look-alikes as well.
             inside = [f for f in here if f.value in core]
             for f in here:
-                out.append((f, label and f is max(inside, key=lambda g: len(g.value), default=None)))
+                longest = max(inside, key=lambda g: len(g.value), default=None)
+                out.append((f, label and f is longest))
     return out[:count]
 
 
