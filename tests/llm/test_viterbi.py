@@ -89,6 +89,8 @@ def test_edge_cases(edge, nothing, library):
     rows = decode(encode(edge, PATH), PATH).collect()
     expected = sorted(((r.doc_id, r.text or "") for r in edge.collect()), key=repr)
     assert sorted(((r.doc_id, r.text) for r in rows), key=repr) == expected
+    at_once = encode(edge, PATH, decoded=True).collect()
+    assert sorted(map(tuple, at_once), key=repr) == sorted(map(tuple, rows), key=repr)
     for r in rows:
         if len(r.text) < 1000:
             assert numbers(r.ids) == library.encode(r.text)

@@ -40,6 +40,27 @@ def filesystem(path: str):
     return fs.FileSystem.from_uri(path)
 
 
+#: Bytes of text a worker takes at a time.
+SLICE = 8 << 20
+
+
+def slices(batches, column: int, size: int = SLICE):
+    """Batches of at most ``size`` bytes of text in a column, or of one longer text.
+
+    Bounds what a worker holds as Python objects, whatever the batches Spark sends.
+    """
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+        part = (np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype="i8") - 1) // size
+        cuts = (np.flatnonzero(np.diff(part)) + 1).tolist()
+        for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+            if a < b:
+                yield batch.slice(a, b - a)
+
+
 def map_rows(df: DataFrame, change, added: list[T.StructField] | None = None) -> DataFrame:
     """Arrow batches of all columns through ``change``, under any column names.
 

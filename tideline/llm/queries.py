@@ -17,7 +17,7 @@ from tideline.llm.quality_rules import quality_rules
 from tideline.llm.token_files import read_token_files, write_token_files
 from tideline.llm.secrets import scan
 from tideline.llm.token_counts import token_counts
-from tideline.llm.viterbi import decode, encode
+from tideline.llm.viterbi import encode
 from tideline.llm.warc import archive_pages, read_warc, record_key
 from tideline.sources.sinks import scratch_path
 
@@ -106,11 +106,26 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Base32 of SHA-1: eight characters from each ten hexadecimal digits.
+ORACLES["op3_warc"] = """
+WITH t AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+h AS (SELECT *, sha1(body) AS hex, min(page_id) OVER (PARTITION BY body) AS first FROM t)
+SELECT page_id, strlen(body) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr(
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 +
+         ((CAST('0x' || substr(hex, CAST(1 + 10 * (i // 8) AS BIGINT), 10) AS BIGINT)
+           >> CAST(35 - 5 * (i % 8) AS BIGINT)) & 31) AS BIGINT), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM h
+"""
+
+
 @register
 def op10_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and whether they decode to it (pieces can't tell U+2581 from a space)."""
-    encoded = encode(table(spark, sf_dir, "documents"), PIECE_BPE)
-    return decode(encoded, PIECE_BPE).select(
+    encoded = encode(table(spark, sf_dir, "documents"), PIECE_BPE, decoded=True)
+    return encoded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"),
