@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import stored
+from tideline.llm.common import slices, stored
 from tideline.llm.components import components
 from tideline.llm.exact_dedup import keep_rows, merge_runs
 from tideline.llm.words import chunks, mix, words
@@ -136,7 +136,7 @@ def needed(n1: int, n2: int, similarity: float) -> int:
 
 
 def _sketches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, 1):
         texts = batch.column(1).to_pylist()
         for first, part in chunks(texts):
             found = words(part)
@@ -164,7 +164,7 @@ def _sketches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _kinds(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, 1):
         for row, raw in zip(
             batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True
         ):
@@ -343,19 +343,19 @@ def near_classes(
     links = met.filter("linked").select("a", "b")
     roots = components(links, "a", "b")
 
-    # Buckets with members that are not in the component of the leader.
-    known = stored(
-        entries.join(
-            roots.select(F.col("node").alias("row"), "root"), "row", "left"
-        ).withColumn("root", F.coalesce("root", "row")),
+    # Members that are not in the component of their bucket's leader. The leader's component
+    # is looked up by the leader, so that counting needs no join of whole buckets.
+    own = roots.select(F.col("node").alias("row"), F.col("root").alias("own"))
+    its = roots.select(F.col("node").alias("leader"), F.col("root").alias("its"))
+    members = stored(
+        entries.filter("row != leader")
+        .join(own, "row", "left")
+        .join(its, "leader", "left")
+        .withColumn("root", F.coalesce("own", "row"))
+        .withColumn("inside", F.col("root") == F.coalesce("its", "leader"))
+        .drop("own", "its"),
         "rooted-buckets",
     )
-    heads = known.filter("row = leader").select("bucket", F.col("root").alias("head"))
-    members = (
-        known.filter("row != leader")
-        .join(heads, "bucket")
-        .withColumn("inside", F.col("root") == F.col("head"))
-    )
     counts = (
         members.groupBy("bucket")
         .agg(
