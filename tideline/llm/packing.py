@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tideline.llm.common import partitions, stored, whole
+from tideline.llm.common import partitions, slices, stored, whole
 from tideline.llm.tokens import encoder
 
 
@@ -256,7 +256,7 @@ def token_pieces(
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, end, step = encoder(tokenizer), struct.pack("<I", end_id), capacity * 4
-        for batch in batches:
+        for batch in slices(batches, 1):
             docs, numbers, starts, lengths, sums, kept = [], [], [], [], [], []
             texts = batch.column(1).to_pylist()
             for at, ids in enumerate(words.encode(texts)):

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import map_rows, stored
+from tideline.llm.common import map_rows, slices, stored
 from tideline.llm.words import Words, chunks, mix, words
 
 WORDS, SHAPES, SIZE, SIGNS = 1 << 15, 1 << 11, 32, 4
@@ -235,7 +235,7 @@ def fit_classifier(
 
     def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((WORDS, SIZE), dtype="f8")
-        for batch in batches:
+        for batch in slices(batches, 0):
             total += context_sums(batch.column(0).to_pylist())
         yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tobytes()], pa.binary())})
 
@@ -245,7 +245,7 @@ def fit_classifier(
     vectors = word_vectors(total)
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 2):
             found = features(batch.column(2).to_pylist(), vectors)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -272,7 +272,7 @@ def score(
     """One row per input row: identifier and score; a null text scores as an empty one."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             found = model.scores(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["id", "score"])
 
@@ -296,7 +296,7 @@ def keep_good(
     place = docs.columns.index(text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, place):
             good = model.scores(batch.column(place).to_pylist()) >= threshold
             yield batch.filter(pa.array(good))
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import map_rows
+from tideline.llm.common import map_rows, slices
 
 MIN_RUN, MIN_ASSIGNED = 16, 8
 CONTEXT = 80
@@ -435,7 +435,7 @@ def scan(
     schema = "id long, start int, end int, value string, score double, is_secret boolean"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             place, found = [], []
             rows = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
             for i, (text, path) in enumerate(rows):
@@ -483,7 +483,7 @@ def redact(
     size_at = names.index(size_col) if size_col in names else None
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, text_at):
             texts = batch.column(text_at).to_pylist()
             paths = [""] * len(texts) if path_at is None else batch.column(path_at).to_pylist()
             here = [

@@ -21,12 +21,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import partitions
+from tideline.llm.common import partitions, slices
 
 SPACE = "▁"
 #: Bytes of text that a block of documents has; bounds the words a worker holds.
@@ -102,23 +101,12 @@ def _unpack(blob: bytes) -> list[bytes]:
     return out
 
 
-def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of at most BLOCK bytes of text, or of one longer text."""
-    for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
-        part = (np.cumsum(sizes, dtype="i8") - 1) // BLOCK
-        cuts = np.flatnonzero(np.diff(part)) + 1
-        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(sizes)], strict=True):
-            if a < b:
-                yield batch.slice(a, b - a)
-
-
 def _frequencies(owners: int):
     """Blocks of documents to one row per owner, and one with the documents."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        for number, batch in enumerate(_pieces(batches)):
+        for number, batch in enumerate(slices(batches, 1, BLOCK)):
             block = task * 1_000_003 + number
             texts = batch.column(1).to_pylist()
             split = [pre_tokens(t or "") for t in texts]

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.common import filesystem, partitions, whole
+from tideline.llm.common import filesystem, partitions, slices, whole
 from tideline.llm.tokens import encoder
 from tideline.sources.sinks import qualified
 
@@ -134,7 +134,7 @@ def _encode(tokenizer: str, end_id: int, width: int, bounds: list[int], level: i
 
         squeeze = zstandard.ZstdCompressor(level=level, write_checksum=False)
         words, end = encoder(tokenizer), struct.pack("<I", end_id)
-        for batch in batches:
+        for batch in slices(batches, 1):
             ids = batch.column(0)
             texts = batch.column(1).to_pylist()
             frames, sizes, sums = [], [], []

@@ -17,7 +17,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 #: Words a worker remembers before it starts again, and words of one call to the library.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 ASKED = 20_000
 
 #: How byte-level vocabularies spell the bytes that are no printable characters.
