@@ -137,7 +137,8 @@ class WarcWriter(DataSourceArrowWriter):
                     names.append(f"{uuid.uuid4().hex}.warc.gz")
                     out = store.open_output_stream(f"{root}/{names[-1]}", compression=None)
                 kind, key, uri, refers, payload = row
-                out.write(member(record(kind, key, uri, refers, payload or b"", self.date), self.level))
+                content = record(kind, key, uri, refers, payload or b"", self.date)
+                out.write(member(content, self.level))
         if out is not None:
             out.close()
         return Files(names)
@@ -283,8 +284,8 @@ def read_records(file, wanted, with_payload: bool) -> Iterator[tuple]:
             payload = size = None
             if head.headers.get("content-type", "").startswith("application/http"):
                 whole_block = with_payload and kind == "response"
-                block = source.upto(head.length + length if whole_block else head.length + min(length, HEAD_BYTES))
-                block = block[head.length : head.length + length]
+                some = length if whole_block else min(length, HEAD_BYTES)
+                block = source.upto(head.length + some)[head.length : head.length + length]
                 http, _, body = block.partition(b"\r\n\r\n")
                 told = re.search(rb"(?im)^content-length:\s*(\d+)", http)
                 size = int(told[1]) if told else None
@@ -296,7 +297,8 @@ def read_records(file, wanted, with_payload: bool) -> Iterator[tuple]:
             else:
                 size = length
             named = head.headers.get("warc-payload-digest")
-            if payload is not None and named and named.startswith("sha1:") and named[5:] != digest(payload):
+            told = named.removeprefix("sha1:") if named and named.startswith("sha1:") else None
+            if payload is not None and told is not None and told != digest(payload):
                 raise CorruptRecord(f"digest of {head.headers.get('warc-record-id')}")
             yield (
                 kind,
@@ -468,7 +470,8 @@ def archive_pages(
     )
 
     def name(ident: str):
-        return F.concat(F.lit("<urn:x-record:"), F.coalesce(F.col(ident).cast("string"), F.lit("")), F.lit(">"))
+        key = F.coalesce(F.col(ident).cast("string"), F.lit(""))
+        return F.concat(F.lit("<urn:x-record:"), key, F.lit(">"))
 
     records = rows.join(
         classes, F.col("id").eqNullSafe(F.col("same_id")) & (F.col("sha") == F.col("same_text"))
