@@ -13,6 +13,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = [
     "a\x1cb\x1f c", "It's they'll 'S", "<|endoftext|> x<|startoftext|>y", "é é ﬁ İ Σς",
     "日本 ١٢٣ 1234", "x...!? ..,. ##$", " 　​", "\x00 \x85", "ªº µ ßẞ", "a" * 5000,
+    "<|ENDOFTEXT|> A", "ÀÉ ÝŸ Þß µM", "É́ É",
 ]
 
 

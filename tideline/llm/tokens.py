@@ -120,14 +120,25 @@ class WordEncoder:
 
     @staticmethod
     def _split(text: str) -> list[str]:
-        """Python also splits at four control characters that are no white space in Unicode."""
+        """Words of a text, in lower case where that is sure to be the library's.
+
+        That is so for Latin-1, unless a special token could arise. Python also splits at
+        four control characters that are no white space in Unicode.
+        """
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            pass
+        else:
+            if "<|" not in text:
+                text = text.lower()
         if _SEPARATORS.search(text):
             return _WHITE.split(text)
         return text.split()
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text, null as empty. Any white space separates words."""
-        step = 64
+        step = 256
         for i in range(0, len(texts), step):
             split = [self._split(t or "") for t in texts[i : i + step]]
             unknown = set().union(*split).difference(self.words)
