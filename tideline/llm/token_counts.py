@@ -101,6 +101,17 @@ def _unpack(blob: bytes) -> list[bytes]:
     return out
 
 
+def _small(numbers: np.ndarray) -> bytes:
+    """Whole numbers in the fewest bytes each, told by the first byte."""
+    most = int(numbers.max(initial=0))
+    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
+    return bytes([width]) + numbers.astype(f"<u{width}").tobytes()
+
+
+def _numbers(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype("i8")
+
+
 def _frequencies(owners: int):
     """Blocks of documents to one row per owner, and one with the documents."""
 
@@ -114,8 +125,11 @@ def _frequencies(owners: int):
             docs = np.repeat(np.arange(len(split)), [len(s) for s in split])
             coded = pa.array([u for s in split for u in s], pa.large_string()).dictionary_encode()
             units, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-            owner = np.array([zlib.crc32(u.encode()) % owners for u in units], "i8")
-            order = np.argsort(owner, kind="stable")
+            units = [u.encode() for u in units]
+            owner = np.array([zlib.crc32(u) % owners for u in units], "i8")
+            # Neighbours in the alphabet share their beginnings, which packs them small.
+            sorted_units = np.array(sorted(range(len(units)), key=units.__getitem__), "i8")
+            order = sorted_units[np.argsort(owner[sorted_units], kind="stable")]
             rank = np.empty(len(order), "i8")
             rank[order] = np.arange(len(order))
             pairs, times = np.unique(rank[codes] * len(texts) + docs, return_counts=True)
@@ -130,19 +144,20 @@ def _frequencies(owners: int):
                 if low == high:
                     continue
                 a, b = np.searchsorted(of_unit, [low, high])
-                words = [units[i].encode() for i in order[low:high]]
+                words = [units[i] for i in order[low:high]]
+                first = np.diff(of_unit[a:b], prepend=-1) != 0
+                step = np.diff(of_doc[a:b], prepend=0)
                 rows.append(
                     (
                         k,
                         block,
                         _pack(
-                            np.array([len(w) for w in words], "<u4").tobytes(),
+                            _small(np.array([len(w) for w in words], "i8")),
                             b"".join(words),
-                            np.bincount(of_unit[a:b] - low, minlength=high - low)
-                            .astype("<u4")
-                            .tobytes(),
-                            of_doc[a:b].astype("<u4").tobytes(),
-                            times[a:b].astype("<u4").tobytes(),
+                            _small(np.bincount(of_unit[a:b] - low, minlength=high - low)),
+                            # Documents of a pre-token ascend: each as the step from the last.
+                            _small(np.where(first, of_doc[a:b], step)),
+                            _small(times[a:b]),
                         ),
                     )
                 )
@@ -167,20 +182,23 @@ def _count(path: str):
         for batch in batches:
             out = []
             for blob in batch.column("blob").to_pylist():
-                lengths, raw, entries, docs, times = _unpack(blob)
-                ends = np.cumsum(np.frombuffer(lengths, "<u4"), dtype="i8").tolist()
+                lengths, raw, entries, steps, times = _unpack(blob)
+                ends = np.cumsum(_numbers(lengths)).tolist()
                 units = [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
                 new = [u for u in units if u not in known]
                 known.update(
                     zip(new, counter(path).count([u.decode() for u in new]), strict=True)
                 )
-                pieces = np.repeat(
-                    np.array([known[u] for u in units], "i8"), np.frombuffer(entries, "<u4")
-                )
-                docs = np.frombuffer(docs, "<u4")
-                sums = np.bincount(docs, pieces * np.frombuffer(times, "<u4")).astype("<u4")
-                some = np.flatnonzero(sums).astype("<u4")
-                out.append(_pack(some.tobytes(), sums[some].tobytes()))
+                entries = _numbers(entries)
+                pieces = np.repeat(np.array([known[u] for u in units], "i8"), entries)
+                # Running sums that begin anew with every pre-token.
+                run = np.cumsum(_numbers(steps))
+                begins = np.cumsum(entries) - entries
+                before = np.concatenate(([0], run))[begins]
+                docs = run - np.repeat(before, entries)
+                sums = np.bincount(docs, pieces * _numbers(times)).astype("i8")
+                some = np.flatnonzero(sums)
+                out.append(_pack(_small(np.diff(some, prepend=0)), _small(sums[some])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("owner"), batch.column("block"), pa.array(out, pa.binary())],
                 ["owner", "block", "blob"],
@@ -216,7 +234,7 @@ def _add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ids, sizes = np.frombuffer(parts[1], "<i8"), np.frombuffer(parts[2], "<i8")
                 totals = np.zeros(len(ids), "i8")
             else:
-                totals[np.frombuffer(parts[0], "<u4")] += np.frombuffer(parts[1], "<u4")
+                totals[np.cumsum(_numbers(parts[0]))] += _numbers(parts[1])
     if totals is not None:
         yield finished()
 
