@@ -65,6 +65,38 @@ def test_spans():
     assert len(describe(found[0])) == len(FEATURES)
 
 
+@pytest.mark.parametrize(
+    "text, values",
+    [
+        ("DB_PASSWORD=Sup3rS3cret!Pass#99", ["Sup3rS3cret!Pass#99"]),
+        ("MY_DATABASE_PASSWORD=Ab1!restOfIt9xyz", ["Ab1!restOfIt9xyz"]),
+        ("x DB_PASSWORD=Sup3r$S3cret%Pass&99@k! y", ["Sup3r$S3cret%Pass&99@k"]),
+        ('password = "Sup3rS3cret!Pass#99!" y', ["Sup3rS3cret!Pass#99!"]),
+        ("db.token=+/Ab1cdefgh9", ["+/Ab1cdefgh9"]),
+        # What stands before the name is a candidate of its own.
+        (f"{HEX}.token=Ab1!restOfIt9xyz", [HEX, "Ab1!restOfIt9xyz"]),
+        (f"token=Ab1!{HEX} and {HEX}", [f"Ab1!{HEX}", HEX]),
+    ],
+)
+def test_assigned_values_are_whole(text, values):
+    found = findings(text)
+    assert [f.value for f in found] == values
+    assert all(text[f.start : f.end] == f.value for f in found)
+
+
+def test_whole_passwords_are_secrets():
+    for value in ("Sup3rS3cret!Pass#99", "Ab1!restOfIt9xyz", "kT7#vRq2&mZx9@Lp"):
+        for line in (f"DB_PASSWORD={value}", f"MY_DATABASE_PASSWORD={value}"):
+            assert verdicts(line, "deploy/prod.env") == [(value, True)]
+    assert [v for _, v in verdicts("password = config.database.password")] == [False]
+
+
+def test_whole_passwords_are_redacted(make):
+    rows = [(1, "a DB_PASSWORD=Sup3rS3cret!Pass#99 b"), (2, "MY_DATABASE_PASSWORD=Ab1!restOfIt9xyz")]
+    out = {r.doc_id: r.text for r in redact(make(rows)).collect()}
+    assert out == {1: "a DB_PASSWORD=[SECRET] b", 2: "MY_DATABASE_PASSWORD=[SECRET]"}
+
+
 def test_tree_splits_like_a_search():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(400, 1))

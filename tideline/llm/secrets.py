@@ -81,37 +81,66 @@ class Finding:
     path: str
 
 
+_NAME = re.compile(r"[A-Za-z_.]{2,40}=(?==?[A-Za-z0-9+/_.~-]{8})")
+_CLOSING = "!#$%&*.,:)]}-_~/|"
+
+
+def _run_value(text: str, start: int, end: int) -> tuple[int, int]:
+    """A run without the name and the characters around its value."""
+    raw = text[start:end].rstrip(_CLOSING)
+    lead = len(raw) - len(raw.lstrip(_TRIM))
+    # "name=value" without spaces: the finding is the value.
+    cut = _NAME.match(raw)
+    lead = max(lead, cut.end() if cut else 0)
+    return start + lead, start + len(raw)
+
+
+def _assigned_value(text: str, start: int, end: int) -> tuple[int, int]:
+    """An assigned value; within its own quotes nothing is trimmed.
+
+    Elsewhere trailing characters that may be part of a key but more often close a sentence go.
+    """
+    quote = text[start - 1]
+    if quote in "\"'" and text[end : end + 1] == quote:
+        return start, end
+    raw = text[start:end].rstrip(_CLOSING)
+    return start + len(raw) - len(raw.lstrip("=")), start + len(raw)
+
+
 def findings(text: str, path: str = "") -> list[Finding]:
-    """Candidates of a whole text in order, without overlaps; the longer run wins."""
-    spans = {}
-    for m in _RUN.finditer(text):
-        if _DIGIT.search(text, m.start(), m.end()):
-            spans[m.start()] = m.end()
+    """Candidates of a whole text in order, without overlaps.
+
+    An assigned value is a candidate as a whole. A run that meets it gives up what it shares
+    and the name; what stands before the name stays a candidate if it is a long run itself.
+    """
     low = text.lower()
+    assigned = []
     if any(name in low for name in ("pass", "pwd", "secret", "token", "key", "auth")):
         for m in _ASSIGNED.finditer(text):
-            spans[m.start(1)] = max(spans.get(m.start(1), 0), m.end(1))
-    out, last = [], 0
-    for start, end in sorted(spans.items()):
-        raw = text[start:end]
-        # Characters that may be part of a key but more often close a sentence.
-        while raw and raw[-1] in "!#$%&*.,:)]}-_~/|":
-            raw = raw[:-1]
-        lead = len(raw) - len(raw.lstrip(_TRIM))
-        # "name=value" without spaces: the finding is the value.
-        cut = re.match(r"[A-Za-z_.]{2,40}=(?==?[A-Za-z0-9+/_.~-]{8})", raw)
-        lead = max(lead, cut.end() if cut else 0)
-        start, raw = start + lead, raw[lead:]
-        if start < last or len(raw) < MIN_ASSIGNED:
-            continue
-        last = start + len(raw)
-        out.append(
-            Finding(
-                start, last, raw,
-                text[max(0, start - CONTEXT) : start], text[last : last + CONTEXT], path,
-            )
+            start, end = _assigned_value(text, m.start(1), m.end(1))
+            if end - start >= MIN_ASSIGNED:
+                assigned.append((start, end, m.start()))
+    spans, at = [(start, end) for start, end, _ in assigned], 0
+    for m in _RUN.finditer(text):
+        start, end = m.span()
+        # A value holds every run that starts in it; one that starts before ends in it.
+        while at < len(assigned) and assigned[at][1] <= start:
+            at += 1
+        if at < len(assigned) and assigned[at][0] < end:
+            end = min(end, assigned[at][2])
+            if end - start < MIN_RUN:
+                continue
+        if _DIGIT.search(text, start, end):
+            start, end = _run_value(text, start, end)
+            if end - start >= MIN_ASSIGNED:
+                spans.append((start, end))
+    return [
+        Finding(
+            start, end, text[start:end],
+            text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT], path,
         )
-    return out
+        for start, end in sorted(spans)
+    ]
 
 
 def _class(c: str) -> int:
@@ -348,6 +377,32 @@ def labelled_findings(count: int = 4000, seed: int = 5) -> list[tuple[Finding, b
     def word() -> str:
         return rng.choice(words)
 
+    def password() -> str:
+        """What people choose and generators give: with signs that keys don't have."""
+        signs = "!#$%&@*^?"
+        if rng.random() < 0.5:
+            return some(alnum + signs, 9, 11, 14, 18, 24) + some(signs, 1) + some(alnum, 3, 6)
+        swapped = prose(1).capitalize() + word().translate(str.maketrans("aeios", "43105"))
+        return swapped + some(signs, 1) + prose(1).capitalize() + some(signs + digits, 2, 3, 4)
+
+    def given(value: str) -> str:
+        name = rng.choice(["", "", "DB_", "MY_DATABASE_", "app."]) + rng.choice(names)
+        mark = rng.choice(['"', "'", "", ""])
+        return f"{name}{rng.choice(['=', '=', ' = ', ': '])}{mark}{value}{mark}"
+
+    def expression() -> str:
+        return rng.choice(
+            [
+                lambda: f"{word()}.{word()}.{rng.choice(names)}",
+                lambda: f"get_{word()}_{rng.choice(names)}({word()})",
+                lambda: f"${{{word().upper()}_{rng.choice(names).upper()}}}",
+                lambda: f"{{{{{word()}_{rng.choice(names)}}}}}",
+                lambda: f"{word()}.environ[{word().upper()}]",
+                lambda: f"${word()}->{word()}",
+                lambda: f"{word()}{word().capitalize()}({word()})!",
+            ]
+        )()
+
     def uuid() -> str:
         return "-".join(some(hexes, n) for n in (8, 4, 4, 4, 12))
 
@@ -383,6 +438,8 @@ def labelled_findings(count: int = 4000, seed: int = 5) -> list[tuple[Finding, b
                 lambda: assigned(placeholder),
                 lambda: assigned(f"{word()}_{word()}_{some(digits, 1)}"),
                 lambda: f"order {some(alnum[:26] + digits, 16)} id",
+                lambda: given(expression()),
+                lambda: given(expression()),
             ]
         )()
 
@@ -391,8 +448,10 @@ def labelled_findings(count: int = 4000, seed: int = 5) -> list[tuple[Finding, b
     out: list[tuple[Finding, bool]] = []
     while len(out) < count:
         kind = rng.random()
-        if kind < 0.42:
+        if kind < 0.32:
             core, label = assigned(key() if rng.random() < 0.75 else typed()), True
+        elif kind < 0.42:
+            core, label = given(password()), True
         elif kind < 0.48:
             core, label = typed(), True
         else:
