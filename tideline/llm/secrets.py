@@ -1,7 +1,12 @@
 """Secrets in texts: candidates by pattern, false positives removed by a random forest.
 
 A candidate is a long run of the characters keys are made of that has a digit, or a value
-assigned to a name that speaks of secrets. The forest looks at its length, how its
+assigned to a name that speaks of secrets, or the password of ``user:password@`` in an
+address. What is never a candidate, whatever the forest would say: values of fewer than 8
+characters; runs of fewer than 16 without such a name; bare runs without a digit, however
+long; what follows a space, a quote, ``<``, ``>``, ``,`` or ``;`` within a value (in
+passwords of addresses a slash as well); and values that a name in other words announces.
+A bare run loses leading ``=.-_~+/``. The forest looks at its length, how its
 characters follow each other, how much of it dictionary words cover, the path of the text
 and the words around it. It is trained from labelled findings: pairs of a finding in its
 line and path, and whether it was a secret.
@@ -32,9 +37,13 @@ CONTEXT = 80
 _RUN = re.compile(r"(?<![A-Za-z0-9+/=_.~-])[A-Za-z0-9+/=_.~-]{%d,}" % MIN_RUN)
 _DIGIT = re.compile(r"[0-9]")
 _ASSIGNED = re.compile(
-    r"(?i)(?:passw(?:or)?d|passphrase|pwd|secret|token|api_?key|access_?key|auth)[\"']?"
-    r"[ \t]{0,3}(?::|=>?)[ \t]{0,3}[\"']?([^\s\"'<>,;]{%d,})" % MIN_ASSIGNED
+    r"(?i)(?:pass|passw(?:or)?d|passphrase|passcode|pwd|secret|token|credentials?|auth(?:orization)?"
+    r"|(?:api|access|secret|private|signing|encryption|client|account|license)[_-]?key)[\"']?"
+    r"[ \t]{0,3}(?:[:!]?={1,3}>?|:)[ \t]{0,3}[\"']?(?:(?:bearer|basic)[ \t]{1,3})?"
+    r"([^\s\"'<>,;]{%d,})" % MIN_ASSIGNED
 )
+_NAMED = ("pass", "pwd", "secret", "token", "key", "auth", "credential")
+_ADDRESS = re.compile(r"://[^\s/:@\"'<>]*:([^\s/\"'<>,;]{%d,})@" % MIN_ASSIGNED)
 _TRIM = "=.-_~+/"
 SECRET_WORDS = frozenset(
     "token secret password passwd pwd passphrase apikey api key auth bearer credential "
@@ -98,13 +107,17 @@ def _run_value(text: str, start: int, end: int) -> tuple[int, int]:
 def _assigned_value(text: str, start: int, end: int) -> tuple[int, int]:
     """An assigned value; within its own quotes nothing is trimmed.
 
-    Elsewhere trailing characters that may be part of a key but more often close a sentence go.
+    Elsewhere trailing characters that may be part of a key but more often close a sentence
+    go, unless too little would be left.
     """
     quote = text[start - 1]
     if quote in "\"'" and text[end : end + 1] == quote:
         return start, end
     raw = text[start:end].rstrip(_CLOSING)
-    return start + len(raw) - len(raw.lstrip("=")), start + len(raw)
+    lead = len(raw) - len(raw.lstrip("="))
+    if 0 < len(raw) - lead < MIN_ASSIGNED:
+        return start + lead, end
+    return start + lead, start + len(raw)
 
 
 def findings(text: str, path: str = "") -> list[Finding]:
@@ -114,12 +127,20 @@ def findings(text: str, path: str = "") -> list[Finding]:
     and the name; what stands before the name stays a candidate if it is a long run itself.
     """
     low = text.lower()
-    assigned = []
-    if any(name in low for name in ("pass", "pwd", "secret", "token", "key", "auth")):
+    values = []
+    if any(name in low for name in _NAMED):
         for m in _ASSIGNED.finditer(text):
             start, end = _assigned_value(text, m.start(1), m.end(1))
             if end - start >= MIN_ASSIGNED:
-                assigned.append((start, end, m.start()))
+                values.append((start, end, m.start()))
+    if "://" in text:
+        values += [(m.start(1), m.end(1), m.start(1)) for m in _ADDRESS.finditer(text)]
+    assigned: list[tuple[int, int, int]] = []
+    for start, end, name in sorted(values):
+        if assigned and start < assigned[-1][1]:
+            first, last, before = assigned.pop()
+            start, end, name = first, max(end, last), min(name, before)
+        assigned.append((start, end, name))
     spans, at = [(start, end) for start, end, _ in assigned], 0
     for m in _RUN.finditer(text):
         start, end = m.span()
@@ -364,7 +385,8 @@ def labelled_findings(count: int = 4000, seed: int = 5) -> list[tuple[Finding, b
 
     names = (
         "token api_key apikey secret password access_token auth_token client_secret secret_key "
-        "private_key aws_secret_access_key API_KEY SECRET TOKEN passwd webhook_secret"
+        "private_key aws_secret_access_key API_KEY SECRET TOKEN passwd webhook_secret x-api-key "
+        "api-key access-key secret-key DB_PASS pass pwd credential"
     ).split()
 
     def assigned(value: str) -> str:
@@ -385,6 +407,23 @@ def labelled_findings(count: int = 4000, seed: int = 5) -> list[tuple[Finding, b
         swapped = prose(1).capitalize() + word().translate(str.maketrans("aeios", "43105"))
         return swapped + some(signs, 1) + prose(1).capitalize() + some(signs + digits, 2, 3, 4)
 
+    def short() -> str:
+        """Values between the two least lengths."""
+        lower = alnum[26:52]
+        return rng.choice(
+            [
+                lambda: some(lower + digits, 5, 7, 9, 12) + some(digits, 1) + some(lower, 2),
+                lambda: some(alnum, 5, 7, 9, 12) + some(digits, 1) + some(alnum, 2),
+                lambda: (prose(1) + some(digits, 1, 2, 4) + prose(1)).ljust(8, "7"),
+            ]
+        )()
+
+    def address(value: str) -> str:
+        scheme = rng.choice(["postgres", "mysql", "https", "http", "redis", "amqp", "mongodb+srv"])
+        user = rng.choice(["", "app", "admin", "root", word()])
+        port = rng.choice(["", ":5432", ":8080"])
+        return f"{scheme}://{user}:{value}@{word()}{rng.choice(['', '.org', '.local'])}{port}/{word()}"
+
     def given(value: str) -> str:
         name = rng.choice(["", "", "DB_", "MY_DATABASE_", "app."]) + rng.choice(names)
         mark = rng.choice(['"', "'", "", ""])
@@ -440,6 +479,19 @@ def labelled_findings(count: int = 4000, seed: int = 5) -> list[tuple[Finding, b
                 lambda: f"order {some(alnum[:26] + digits, 16)} id",
                 lambda: given(expression()),
                 lambda: given(expression()),
+                lambda: given(word() + rng.choice(["", "_", "-"]) + word() + rng.choice(["", "...", "))"])),
+                lambda: address(
+                    rng.choice(
+                        [
+                            f"${{{word().upper()}_PASS}}",
+                            "{" + word() + "_password}",
+                            f"your_{word()}_password",
+                            "changeme" + some(digits, 1, 3),
+                            "xxxxxxxx",
+                            "********",
+                        ]
+                    )
+                ),
             ]
         )()
 
@@ -448,10 +500,15 @@ def labelled_findings(count: int = 4000, seed: int = 5) -> list[tuple[Finding, b
     out: list[tuple[Finding, bool]] = []
     while len(out) < count:
         kind = rng.random()
-        if kind < 0.32:
+        if kind < 0.26:
             core, label = assigned(key() if rng.random() < 0.75 else typed()), True
-        elif kind < 0.42:
+        elif kind < 0.33:
             core, label = given(password()), True
+        elif kind < 0.38:
+            core, label = given(short()), True
+        elif kind < 0.42:
+            value = rng.choice([key, password, short])().replace("/", "").replace("@", "")
+            core, label = address(value), True
         elif kind < 0.48:
             core, label = typed(), True
         else:
