@@ -67,6 +67,25 @@ def test_reduction_keeps_the_optimum(case):
     assert both == counted(items)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.integers(600, 4096).flatmap(
+    lambda c: st.tuples(st.just(c), st.lists(st.integers(c // 10, c), max_size=9))
+))
+def test_reduction_keeps_the_optimum_in_large_rooms(case):
+    test_reduction_keeps_the_optimum.hypothesis.inner_test(case)
+
+
+def test_dominance_is_tested_in_large_rooms():
+    # Beside 2400 nothing fills more of the 1696 than 1690 does: 800 + 800 is less.
+    fixed, _ = reduce({2400: 1, 1690: 1, 800: 2}, 4096)
+    assert fixed[0].slots == ((2400, 1), (1690, 1))
+
+
+def test_sets_of_three():
+    fixed, _ = reduce({2000: 1, 1200: 1, 890: 2, 701: 1}, 4096)
+    assert fixed[0].slots == ((2000, 1), (1200, 1), (890, 1))
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 50), max_size=200))
 def test_plans_hold_every_piece(items):

@@ -10,7 +10,10 @@ beside it. A set {j, k} dominates every other set with j if whatever else fits b
 fits in the space of one k; such sets are fixed for good, as often as both lengths last:
 nothing fits beside j; a length k = r fills the room; no two pieces fit beside j together,
 so that the longest fitting k is best; or no two or more pieces fill more of the room than
-k does. What is left is packed by best fit, longest first.
+k does. A set of three {j, k, b} is fixed where no three pieces fit beside j and of no two
+that do the shorter one is longer than b, the longest that fits beside j and k. Every room
+is tested, however large; larger sets are not tried. What is left is packed by best fit,
+longest first.
 """
 
 from __future__ import annotations
@@ -57,19 +60,19 @@ def _fullest(counts: Mapping[int, int], room: int, above: int) -> bool:
         if length <= room:
             single |= 1 << length
     # Sums of at least two pieces; multiplicities are ignored, which can only find more
-    # and so only refuses a reduction that would have been allowed.
+    # and so only refuses a reduction that would have been allowed. The search ends at the
+    # first sum that is large enough.
     reach = single
     while True:
         more = sums
         for length in counts:
             if length <= room:
                 more |= (reach << length) & mask
+                if more >> (above + 1):
+                    return True
         if more == sums:
-            break
+            return False
         sums, reach = more, single | more
-        if sums >> (above + 1):
-            return True
-    return bool(sums >> (above + 1))
 
 
 def reduce(counts: dict[int, int], capacity: int) -> tuple[list[Kind], dict[int, int]]:
@@ -89,6 +92,18 @@ def reduce(counts: dict[int, int], capacity: int) -> tuple[list[Kind], dict[int,
                 del left[x]
                 del order[bisect_left(order, x)]
 
+    def third(j: int, k: int, room: int) -> int:
+        """The b of a set {j, k, b} that dominates, or 0."""
+        # Copies that don't exist only add pieces, which can only refuse.
+        if 3 * order[0] <= room:
+            return 0
+        at = bisect_left(order, room - k + 1)
+        while at and left[order[at - 1]] <= (j, k).count(order[at - 1]):
+            at -= 1
+        if not at or (at < len(order) and 2 * order[at] <= room):
+            return 0
+        return order[at - 1]
+
     for j in reversed(list(order)):
         while j in left:
             room = capacity - j
@@ -105,11 +120,14 @@ def reduce(counts: dict[int, int], capacity: int) -> tuple[list[Kind], dict[int,
             if k == room or smallest + second > room:
                 take(j, k)
                 continue
-            # Subset sums are costly; they can only help where the room is small.
             small = {x: left[x] for x in order[:at]}
-            if room <= 256 and not _fullest(small, room, k):
+            if not _fullest(small, room, k):
                 take(j, k)
                 continue
+            b = third(j, k, room)
+            if b:
+                take(j, k, b)
+                continue
             break
     return fixed, left
 
