@@ -52,6 +52,13 @@ def test_rows_that_stay_have_all_columns(edge):
     assert sorted((r.doc_id or 0 for r in left.collect())) == [0, 2, 4, 5, 7, 8, 9]
 
 
+def test_copies_of_repeated_identifiers_go(make):
+    rows = [(1, "one"), (1, "two"), (2, "one"), (None, "two"), (None, "three"), (None, "four")]
+    left = exact_dedup(make([*rows, (4, None), (4, ""), (1, "two")]).repartition(3))
+    found = sorted((r.doc_id or 0, r.text or "") for r in left.collect())
+    assert found == [(0, "four"), (0, "three"), (1, "two"), (2, "one"), (4, "")]
+
+
 def test_empty_table(nothing):
     assert exact_classes(nothing).count() == 0
     assert exact_dedup(nothing).count() == 0

@@ -165,3 +165,14 @@ def test_edge_cases(edge, nothing):
     assert left.columns == edge.columns
     assert sorted(r.doc_id or 0 for r in left.collect()) == [0, 1, 3, 5, 6, 8]
     assert near_classes(nothing).count() == 0 and near_dedup(nothing).count() == 0
+
+
+def test_near_copies_of_repeated_identifiers_go(make):
+    one, two, three = (" ".join(f"{name}{i}" for i in range(200)) for name in "abc")
+    rows = [
+        (1, one), (2, one + " end"), (2, two),
+        (3, three), (3, three + " end"), (3, three.replace(" ", "  ")),
+    ]
+    left = near_dedup(make(rows).repartition(3)).collect()
+    found = sorted((r.doc_id, r.text[0]) for r in left)
+    assert found == [(1, "a"), (2, "b"), (3, "c")]

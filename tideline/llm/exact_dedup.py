@@ -17,6 +17,7 @@ and byte length are equal too, at every level.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from tideline.llm.common import partitions, stored, whole
 
 KEY = ["prefix", "digest", "bytes"]
+#: Column that tells the texts of one identifier apart.
+TEXT_KEY = "tideline_text_key"
 
 
 def _ranked(keep: str, ident: Column) -> Column:
@@ -38,11 +41,15 @@ def owners_of(tasks: int, fan_in: int) -> tuple[int, int]:
     return rounds, fan_in**rounds
 
 
-def merge_runs(rows: DataFrame, keep: str, fan_in: int = 16) -> DataFrame:
+def merge_runs(
+    rows: DataFrame, keep: str, fan_in: int = 16, carried: str | None = None
+) -> DataFrame:
     """The tree merge. ``rows`` has part, id and the key (prefix, digest, bytes).
 
-    Result, a row for each: part, id, the key, best (struct with the id that stays), n, kept.
+    Result, a row for each: part, id, the key, best (struct with the id that stays), n, kept
+    and, if named, a column of ``rows`` that is carried along.
     """
+    also = [carried] if carried else []
     spark = rows.sparkSession
     best = F.max if keep == "max" else F.min
     best_of = F.array_max if keep == "max" else F.array_min
@@ -52,7 +59,7 @@ def merge_runs(rows: DataFrame, keep: str, fan_in: int = 16) -> DataFrame:
     leaves = stored(
         rows.withColumn("part", F.pmod("part", F.lit(owners)).cast("int"))
         .groupBy("part", *KEY)
-        .agg(F.sort_array(F.collect_list(F.struct("id"))).alias("ids")),
+        .agg(F.sort_array(F.collect_list(F.struct("id", *also))).alias("ids")),
         "digest-runs",
     )
     runs = leaves.select(
@@ -78,6 +85,11 @@ def merge_runs(rows: DataFrame, keep: str, fan_in: int = 16) -> DataFrame:
     # that the members of a group are never gathered.
     entries = leaves.select("part", *KEY).join(verdicts, KEY)
     member = F.col("member")
+    first = F.array_position("ids", member)
+    if carried:
+        first = F.array_position(
+            F.transform("ids", lambda x: F.struct(x["id"])), F.struct(F.col("member.id"))
+        )
     return (
         leaves.join(entries, ["part", *KEY])
         .select("part", *KEY, "best", "n", "ids", F.posexplode("ids").alias("at", "member"))
@@ -90,8 +102,9 @@ def merge_runs(rows: DataFrame, keep: str, fan_in: int = 16) -> DataFrame:
             (
                 F.col("member.id").eqNullSafe(F.col("best.id"))
                 & (F.col("part") == F.col("best.part"))
-                & (F.col("at") + 1 == F.array_position("ids", member))
+                & (F.col("at") + 1 == first)
             ).alias("kept"),
+            *(F.col(f"member.{name}") for name in also),
         )
     )
 
@@ -133,26 +146,37 @@ def exact_classes(
     )
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose identifiers ``kept`` lists, with all their columns.
+def keep_rows(
+    docs: DataFrame,
+    kept: DataFrame,
+    keyed: Callable[[DataFrame], DataFrame],
+    id_col: str = "doc_id",
+) -> DataFrame:
+    """The rows of ``docs`` that ``kept`` lists, with all their columns.
 
-    ``kept`` has one row per row that stays. Rows that repeat an identifier are rare:
-    those are cut to one row per text in a branch of their own, so that no text is
-    shuffled for the others.
+    ``kept`` has identifier and TEXT_KEY, one row per row that stays; ``keyed`` adds that
+    column to rows of ``docs``. Rows that repeat an identifier are rare: those are found by
+    identifier and key and cut to one for each in a branch of their own, so that no text is
+    shuffled or keyed for the others.
     """
-    ids = kept.select(F.col(id_col).alias("kept_id")).groupBy("kept_id").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    ids = kept.select(F.col(id_col).alias("kept_id"), F.col(TEXT_KEY).alias("kept_key"))
     twice = docs.groupBy(F.col(id_col).alias("twice_id")).count().filter("count > 1")
-    once = ids.join(twice, F.col("kept_id").eqNullSafe(F.col("twice_id")), "left_anti")
-    again = ids.join(twice, F.col("kept_id").eqNullSafe(F.col("twice_id")), "left_semi")
-    on = docs[id_col].eqNullSafe(F.col("kept_id"))
-    return docs.join(once, on, "left_semi").unionByName(
-        docs.join(again, on, "left_semi").dropDuplicates([id_col, "text"])
+    repeats = F.col("kept_id").eqNullSafe(F.col("twice_id"))
+    once = ids.join(twice, repeats, "left_anti").select("kept_id")
+    again = ids.join(twice, repeats, "left_semi")
+    rows = keyed(docs.join(twice, docs[id_col].eqNullSafe(F.col("twice_id")), "left_semi"))
+    same = rows[id_col].eqNullSafe(F.col("kept_id")) & (rows[TEXT_KEY] == F.col("kept_key"))
+    return docs.join(once, docs[id_col].eqNullSafe(F.col("kept_id")), "left_semi").unionByName(
+        rows.join(again, same, "left_semi").dropDuplicates([id_col, TEXT_KEY]).drop(TEXT_KEY)
     )
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with their columns."""
-    classes = exact_classes(docs, id_col, text_col)
-    return keep_rows(docs, classes.filter("kept"), id_col)
+    kept = exact_classes(docs, id_col, text_col).filter("kept")
+    return keep_rows(
+        docs,
+        kept.withColumnRenamed("text_sha256", TEXT_KEY),
+        lambda rows: rows.withColumn(TEXT_KEY, F.sha2(whole(text_col), 256)),
+        id_col,
+    )

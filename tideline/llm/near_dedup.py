@@ -29,10 +29,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tideline.llm.common import slices, stored
+from tideline.llm.common import map_rows, slices, stored
 from tideline.llm.components import components
-from tideline.llm.exact_dedup import keep_rows, merge_runs
+from tideline.llm.exact_dedup import TEXT_KEY, keep_rows, merge_runs
 from tideline.llm.words import chunks, mix, words
 
 SHINGLE = 5
@@ -135,6 +136,11 @@ def needed(n1: int, n2: int, similarity: float) -> int:
     return math.ceil((n1 + n2) * similarity / (1 + similarity) - 1e-9)
 
 
+def _digest(hashes: np.ndarray) -> bytes:
+    """Of the words of a text."""
+    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+
+
 def _sketches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, 1):
         texts = batch.column(1).to_pylist()
@@ -145,7 +151,7 @@ def _sketches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 of = found.hashes[start : start + n]
                 kinds = labelled(shingles(of.astype("<u4")))
                 raw = of.astype("<u4").tobytes()
-                digests.append(hashlib.blake2b(of.tobytes(), digest_size=16).digest())
+                digests.append(_digest(of))
                 sizes.append(len(kinds))
                 numbers.append(sketch(kinds).astype("i8") if n else np.empty(0, "i8"))
                 kept.append(raw)
@@ -284,6 +290,14 @@ def near_classes(
     identifier stays only if its class has no other; of repeated rows one stays; an
     empty table gives no rows.
     """
+    return _classes(docs, similarity, id_col, text_col)
+
+
+def _classes(
+    docs: DataFrame, similarity: float, id_col: str, text_col: str, keyed: bool = False
+) -> DataFrame:
+    """The classes and, if ``keyed``, the digest of the row's words as TEXT_KEY."""
+    also = [F.col("digest").alias(TEXT_KEY)] if keyed else []
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     texts = stored(
         rows.mapInArrow(
@@ -415,7 +429,7 @@ def near_classes(
         "min",
     ).select(F.col("id").alias("row"), F.col("best.id").alias("text"))
     member = (
-        texts.select("row", "id")
+        texts.select("row", "id", *also)
         .join(copies, "row")
         .join(roots.select(F.col("node").alias("text"), "root"), "text", "left")
         .withColumn("root", F.coalesce("root", "text"))
@@ -427,16 +441,39 @@ def near_classes(
             F.xxhash64("root").alias("prefix"),
             F.col("root").alias("digest"),
             F.lit(0).cast("long").alias("bytes"),
+            *(TEXT_KEY for _ in also),
         ),
         "min",
+        carried=TEXT_KEY if keyed else None,
     ).select(
         F.col("id").alias(id_col),
         F.col("best.id").alias("class_id"),
         F.col("n").alias("class_size"),
         "kept",
+        *(TEXT_KEY for _ in also),
     )
 
 
+def _keyed(docs: DataFrame, text_col: str) -> DataFrame:
+    """The rows with the digest of their words as TEXT_KEY."""
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, place):
+            digests = []
+            for _, part in chunks(batch.column(place).to_pylist()):
+                found = words(part)
+                for start, n in zip(found.starts.tolist(), found.counts.tolist(), strict=True):
+                    digests.append(_digest(found.hashes[start : start + n]))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(digests, pa.binary())],
+                [*batch.schema.names, f"c{batch.num_columns}"],
+            )
+
+    return map_rows(docs, run, [T.StructField(TEXT_KEY, T.BinaryType())])
+
+
 def near_dedup(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that stay, with their columns."""
-    return keep_rows(docs, near_classes(docs, similarity, id_col).filter("kept"), id_col)
+    kept = _classes(docs, similarity, id_col, "text", keyed=True).filter("kept")
+    return keep_rows(docs, kept, lambda rows: _keyed(rows, "text"), id_col)
