@@ -14,11 +14,12 @@ COLUMNS = {
     "op6_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op7_token_counts": "doc_id n_bytes n_tokens over_limit",
     "op8_quality_classifier": "doc_id held_out score predicted",
+    "op11_fill_in_middle": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
 }
 
 
-def test_all_ten():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_all_numbers():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 12))
 
 
 @pytest.mark.parametrize("name", sorted(COLUMNS))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm.common import table
 from tideline.llm.exact_dedup import exact_classes
+from tideline.llm.fill_in_middle import fill_in_middle, restore
 from tideline.llm.near_dedup import near_classes
 from tideline.llm.packing import pack_documents
 from tideline.llm.quality_classifier import fit_classifier, held_out, score
@@ -150,3 +151,53 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"))
+
+
+@register
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arranged = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    hashed = arranged.withColumn("output_sha256", F.sha2("output", 256))
+    return restore(hashed).select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        "output_sha256",
+        F.sha2("text", 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op11_fill_in_middle"] = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS body,
+         sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex FROM documents),
+u AS (
+  SELECT doc_id, body, regexp_extract_all(body,
+           '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+         CAST('0x' || substr(hex, 1, 8) AS BIGINT) AS h1,
+         CAST('0x' || substr(hex, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(hex, 17, 8) AS BIGINT) AS h3,
+         CAST('0x' || substr(hex, 25, 8) AS BIGINT) AS h4 FROM t),
+v AS (
+  SELECT *, CAST(len(units) AS BIGINT) AS n,
+         CASE WHEN body = '' OR contains(body, '<P>') OR contains(body, '<S>')
+                   OR contains(body, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+              WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+w AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b
+  FROM v),
+x AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix,
+         array_to_string(units[a + 1:b], '') AS middle,
+         array_to_string(units[b + 1:], '') AS suffix FROM w)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN body
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END)
+         AS output_sha256,
+       sha256(body) AS restored_sha256
+FROM x
+"""
