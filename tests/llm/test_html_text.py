@@ -1,0 +1,208 @@
+"""Main text of hand-made pages of many forms, and of the whole table against patterns."""
+
+import html
+import re
+import time
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tideline.llm.html_text import extract, main_text, parse
+from tideline.llm.queries import QUERIES
+
+LONG = "The committee met on Monday, talked for hours, and agreed, at last, on a plan for the bridge."
+MORE = "Two engineers, one from the city, one from the coast, will draw it, and both start in May."
+CHATTER = "First! Great read, really, I knew it, all of it, and so did my dog, my cat, and my boss. " * 6
+
+
+def page(body, head=""):
+    return f"<!DOCTYPE html><html><head><title>T</title>{head}</head><body>{body}</body></html>"
+
+
+CASES = {
+    "article among the usual parts": (
+        page(
+            "<header><h1>Site, with, commas</h1><form><input><button>Go</button></form></header>"
+            "<nav><ul><li><a href=/>Home</a></li></ul></nav><aside><p>Side, note, long.</p></aside>"
+            f"<article><h1>Bridge</h1><p>{LONG}</p><p>Yes.</p><p>{MORE}</p></article>"
+            "<footer>&copy; all</footer>"
+        ),
+        f"Bridge\n{LONG}\nYes.\n{MORE}",
+    ),
+    "names instead of elements": (
+        page(
+            f"<div id='cookie-notice'><p>{CHATTER}</p></div><div class='top-menu'>Home, News</div>"
+            f"<div class='post-content'><p>{LONG}</p><p>{MORE}</p></div>"
+            f"<div class='sidebar-left'><p>{CHATTER}</p></div><div id='comments'><p>{CHATTER}</p></div>"
+            f"<div class='adSlot'>{CHATTER}</div><div role='contentinfo'>{CHATTER}</div>"
+        ),
+        f"{LONG}\n{MORE}",
+    ),
+    "comments longer than the article, inside it": (
+        page(
+            f"<article class='post comments-open'><p>{LONG}</p>"
+            f"<section class='comments'><p>{CHATTER}</p><p>{CHATTER}</p></section></article>"
+        ),
+        LONG,
+    ),
+    "reader comments as articles": (
+        page(
+            f"<main><article><h2>Bridge</h2><p>{LONG}</p><p>{MORE}</p></article>"
+            f"<ol class='commentlist'><li><article class='comment'><p>{CHATTER}</p></article></li></ol></main>"
+        ),
+        f"Bridge\n{LONG}\n{MORE}",
+    ),
+    "frame named after its parts": (
+        page(
+            f"<div class='page with-sidebar footer-fixed'><div class='no-menu'><article><p>{LONG}</p></article>"
+            f"</div><div class='sidebar'>{CHATTER}</div></div>"
+        ),
+        LONG,
+    ),
+    "everything in a form": (
+        page(f"<form id='aspnetForm'><div class='x'><p>{LONG}</p><p>{MORE}</p></div></form>"),
+        f"{LONG}\n{MORE}",
+    ),
+    "heading of the article's own header": (
+        page(f"<article><header><h1>Bridge</h1><p>By, someone</p></header><p>{LONG}</p><footer>Tags</footer></article>"),
+        f"Bridge\n{LONG}",
+    ),
+    "title before the container": (
+        page(f"<main><h1>Bridge</h1><div class='c'><p>{LONG}</p><p>{MORE}</p></div><ul><li><a href=x>next</a></ul></main>"),
+        f"Bridge\n{LONG}\n{MORE}",
+    ),
+    "paragraphs straight in the body, menu without names": (
+        page(f"<ul><li><a href=1>One</a><li><a href=2>Two</a></ul><p>{LONG}<p>Yes.<p>{MORE}"),
+        f"{LONG}\nYes.\n{MORE}",
+    ),
+    "two parts of one text": (
+        page(
+            f"<div><div><p>{LONG}</p><p>{MORE}</p></div><div><p>{MORE}</p><p>{LONG}</p></div></div>"
+            "<div><a href=1>One</a> <a href=2>Two</a></div>"
+        ),
+        f"{LONG}\n{MORE}\n{MORE}\n{LONG}",
+    ),
+    "unclosed elements": (
+        page(f"<article><h1>A</h1><p><b>One.<br><p>Two</b> and <i>a half.<ul><li>x<li>y<p>z</ul>End</article>"),
+        "A\nOne.\nTwo and a half.\nx\ny\nz\nEnd",
+    ),
+    "tables, lists, quotes and preformatted text": (
+        page(
+            f"<article><p>{LONG}</p><table><tr><th>a<td>b<tr><td>c</table><blockquote>q  q</blockquote>"
+            "<pre>x\n  y</pre><dl><dt>t<dd>d</dl></article>"
+        ),
+        f"{LONG}\na\nb\nc\nq q\nx y\nt\nd",
+    ),
+    "character references": (
+        page("<article><p>a &lt;b&gt; &amp;amp; &#228;&#x1F332; &quot;x&quot; AT&amp T &am&nbsp;z &notareference;</p></article>"),
+        'a <b> &amp; ä🌲 "x" AT& T &am z ¬areference;',
+    ),
+    "white space and line breaks inside a block": (
+        page("<article><p>  a\n\n b<br/>c<br>\t<span> d</span>e</p> <hr> loose </article>"),
+        "a b c de\nloose",
+    ),
+    "markup that is no text": (
+        page(
+            "<article><p>a<!-- <p>no</p> --><script>var x='</p>no';</script><style>p{}</style>b</p><![CDATA[no]]><?no?>"
+            "<p hidden>no</p><p style='display: none'>no</p><template><p>no</p></template><noscript>no</noscript></article>"
+        ),
+        "ab",
+    ),
+    "signs that begin no tag": (page("<article><p>1 < 2 and 3 <4 and <> end</p></article>"), "1 < 2 and 3 <4 and <> end"),
+    "quoted signs in attributes": (
+        page("""<article><p title="a>b" data-x='</article>'>one</p><p class=it's>two</p></article>"""),
+        "one\ntwo",
+    ),
+    "upper case": (page(f"<NAV>No</NAV><ARTICLE><P CLASS=X>{LONG}</P></ARTICLE>"), LONG),
+    "cut off in a tag": (f"<article><p>{LONG}</p><p>rest <a hre", f"{LONG}\nrest"),
+    "cut off in a comment": (f"<article><p>{LONG}</p><!-- no <p>no", LONG),
+    "only a title": (page("<nav>x</nav><article><h1>Alone</h1></article><footer>f</footer>"), "Alone"),
+    "short article beside a long notice": (page(f"<div class=notice>{CHATTER}</div><article><p>Be.</p></article>"), "Be."),
+    "nothing but parts around": (page("<nav>x</nav><footer>y</footer><div class='cookie'>z</div>"), ""),
+    "no markup": ("just text, no tags", "just text, no tags"),
+    "empty": ("", ""),
+    "null": (None, ""),
+    "white space": (" \n ", ""),
+}
+
+
+@pytest.mark.parametrize("name", sorted(CASES))
+def test_pages(name):
+    given_page, expected = CASES[name]
+    assert main_text(given_page) == expected
+
+
+def by_patterns(text):
+    """The article of pages that mark it by an element and nest nothing in blocks but b."""
+    blocks = re.split("</?(?:p|h1)>", re.search("<article>(.*?)</article>", text, re.DOTALL)[1])
+    plain = (re.sub("</?b>", "", b).replace("<br>", " ") for b in blocks)
+    return "\n".join(filter(None, (" ".join(html.unescape(b).split()) for b in plain)))
+
+
+def test_every_page_of_the_table(spark):
+    folder = "/root/testdata/sf0.01"
+    pages = {r.page_id: r for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
+    rows = QUERIES["op12_html_extraction"](spark, folder).collect()
+    assert sorted(r.page_id for r in rows) == sorted(pages)
+    for r in rows:
+        assert r.url == pages[r.page_id].url
+        assert r.text == by_patterns(pages[r.page_id].html)
+        assert r.n_chars == len(r.text)
+
+
+@given(st.text("<>/!-'\"= abpdiv&;#x1\n", max_size=60))
+@settings(max_examples=500, deadline=None)
+def test_any_text_is_read(text):
+    assert "\n\n" not in main_text(text)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "<div>" * 60_000 + "x",
+        "<b>" * 60_000 + "<p>x</div>" * 60_000,
+        "<p>x<table><td>" * 20_000 + "</div>" * 20_000,
+        "<a b='" * 60_000,
+        "<!--" * 60_000,
+        "<" * 300_000,
+        "<a " + "x= " * 100_000,
+        "</p>" * 60_000,
+        "<p class='" + "a" * 300_000 + "'>x",
+    ],
+)
+def test_odd_pages_take_linear_time(text):
+    start = time.monotonic()
+    main_text(text)
+    assert time.monotonic() - start < 20
+
+
+def test_deep_text_is_kept():
+    deep = "<article>" + "<div>" * 3000 + "<p>one</p><p>two</p>" + "</div>" * 3000 + "</article>"
+    assert main_text(deep) == "one\ntwo"
+
+
+def test_tree():
+    root = parse("<p>a<p>b<ul><li>c<li>d</ul>")
+    assert [p.tag for p in root.parts] == ["p", "p", "ul"]
+    assert [p.tag for p in root.parts[2].parts] == ["li", "li"]
+
+
+def test_defined_cases(spark, nothing):
+    rows = [
+        (1, "u", page(f"<article><p>{LONG}</p></article>"), "x", 1.5, "y"),
+        (1, "u", page(f"<article><p>{LONG}</p></article>"), "x", 1.5, "y"),
+        (2, None, None, None, None, None),
+        (None, "v", "", "x", 2.5, "y"),
+        (3, "w", page("<article>" + f"<p>{LONG}</p>" * 20_000 + "</article>"), "x", 3.5, "y"),
+    ]
+    df = spark.createDataFrame(
+        rows, "page_id long, url string, html string, Text string, `a.b` double, c0 string"
+    )
+    out = extract(df.withColumn("n_chars", F.lit("old")))
+    assert out.columns == ["page_id", "url", "a.b", "c0", "text", "n_chars"]
+    found = sorted((r.page_id or 0, r.text, r.n_chars) for r in out.collect())
+    many = "\n".join([LONG] * 20_000)
+    assert found == [(0, "", 0), (1, LONG, len(LONG)), (1, LONG, len(LONG)), (2, "", 0), (3, many, len(many))]
+    assert extract(df.filter("false")).collect() == []

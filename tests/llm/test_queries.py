@@ -15,18 +15,19 @@ COLUMNS = {
     "op7_token_counts": "doc_id n_bytes n_tokens over_limit",
     "op8_quality_classifier": "doc_id held_out score predicted",
     "op11_fill_in_middle": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
+    "op12_html_extraction": "page_id url text n_chars",
 }
 
 
 def test_all_numbers():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 12))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 13))
 
 
 @pytest.mark.parametrize("name", sorted(COLUMNS))
 def test_contract_columns(spark, name):
     df = QUERIES[name](spark, SF)
     assert df.columns == COLUMNS[name].split()
-    table = "pages" if name == "op3_warc" else "documents"
+    table = "pages" if name in ("op3_warc", "op12_html_extraction") else "documents"
     n = spark.read.parquet(f"{SF}/{table}.parquet").count()
     assert df.count() >= n
 

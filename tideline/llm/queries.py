@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tideline.llm.common import table
 from tideline.llm.exact_dedup import exact_classes
 from tideline.llm.fill_in_middle import fill_in_middle, restore
+from tideline.llm.html_text import extract
 from tideline.llm.near_dedup import near_classes
 from tideline.llm.packing import pack_documents
 from tideline.llm.quality_classifier import fit_classifier, held_out, score
@@ -201,3 +202,28 @@ SELECT doc_id, n, form,
        sha256(body) AS restored_sha256
 FROM x
 """
+
+
+@register
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+# The pages of these tables mark the article by an element whose blocks hold only b and br,
+# so that patterns find the same text.
+ORACLES["op12_html_extraction"] = r"""
+WITH t AS (
+  SELECT page_id, url,
+         regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS inside FROM pages),
+b AS (
+  SELECT page_id, url, list_transform(
+    string_split_regex(inside, '</?(?:p|h1)>'),
+    lambda x: trim(regexp_replace(
+      replace(replace(replace(regexp_replace(replace(regexp_replace(x, '</?b>', '', 'g'), '<br>', ' '),
+        '&amp;?', chr(1), 'g'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'),
+      '\s+', ' ', 'g'))) AS blocks FROM t),
+x AS (
+  SELECT page_id, url, replace(
+    array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10)), chr(1), '&') AS text FROM b)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM x
+"""
