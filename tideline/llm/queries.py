@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm.common import table
+from tideline.llm.conversation_trie import conversation_trie
 from tideline.llm.exact_dedup import exact_classes
 from tideline.llm.fill_in_middle import fill_in_middle, restore
 from tideline.llm.html_text import extract
@@ -227,3 +228,62 @@ x AS (
     array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10)), chr(1), '&') AS text FROM b)
 SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM x
 """
+
+
+@register
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+# crc32 goes bit by bit over the digits; a conversation's turns are told apart by SHA-256.
+ORACLES["op13_conversation_trie"] = """
+WITH said AS (
+  SELECT conv_id, turn, strlen(coalesce(text, '')) AS bytes,
+         sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS key
+  FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (
+  SELECT conv_id, key, bytes,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, key) AS pos FROM said),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, xor(list_reduce(
+      list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+        range(0, 8 * length(CAST(conv_id AS VARCHAR))),
+        lambda k: CASE WHEN k % 8 = 0
+          THEN CAST(ascii(substr(CAST(conv_id AS VARCHAR), CAST(k // 8 + 1 AS BIGINT), 1)) AS BIGINT)
+          ELSE CAST(0 AS BIGINT) END)),
+      lambda s, e: CASE WHEN xor(s, e) % 2 = 1
+        THEN xor(xor(s, e) // 2, CAST(3988292384 AS BIGINT)) ELSE xor(s, e) // 2 END),
+    CAST(4294967295 AS BIGINT)) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+  SELECT c.conv_id, t.key, t.bytes, 0 AS part, t.pos
+  FROM convs c JOIN turns t ON t.conv_id = c.base WHERE t.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, t.key, t.bytes, 1, t.pos
+  FROM convs c JOIN turns t ON t.conv_id = c.conv_id WHERE t.pos > c.h),
+paths AS (
+  SELECT conv_id, list(key ORDER BY part, pos) AS keys, list(bytes ORDER BY part, pos) AS sizes
+  FROM rebuilt GROUP BY conv_id
+  UNION ALL SELECT conv_id, [], [] FROM convs WHERE conv_id NOT IN (SELECT conv_id FROM rebuilt)),
+member AS (
+  SELECT conv_id, unnest(range(0, len(keys) + 1)) AS depth, keys, sizes FROM paths),
+node AS (
+  SELECT array_to_string(keys[1:depth], '') AS path, depth, min(conv_id) AS conv_id,
+         count(*) AS n_convs, max(CASE WHEN depth = 0 THEN 0 ELSE sizes[depth] END) AS bytes,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+           FILTER (WHERE depth = len(keys)), '') AS ends
+  FROM member GROUP BY ALL),
+linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id,
+         (SELECT count(*) FROM node k
+          WHERE k.depth = n.depth + 1 AND substr(k.path, 1, 64 * n.depth) = n.path) AS n_children
+  FROM node n LEFT JOIN node p
+    ON p.depth = n.depth - 1 AND p.path = substr(n.path, 1, CAST(64 * (n.depth - 1) AS BIGINT))),
+above AS (
+  SELECT substr(path, 1, 64 * up) AS path, count(*) FILTER (WHERE n_children = 0) AS n_leaves,
+         sum((n_convs - 1) * bytes) AS saved
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM linked) GROUP BY ALL)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, sha256(ends) AS ends_sha256
+FROM linked JOIN above USING (path)
+"""
