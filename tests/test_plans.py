@@ -8,7 +8,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from helpers import GOLD, KEY, SPEC, put, record
-from tideline import aggregate, dedupe_latest, flatten, quality_report
+from tideline import GoldSpec, Measure, aggregate, dedupe_latest, flatten, quality_report
 from tideline.plans.incremental import Span, touched_rows
 from tideline.sources.bronze import bronze_schema, read_bronze
 from tideline.sources.sinks import gather, observed, qualified, scratch_path, write_partitioned
@@ -62,9 +62,16 @@ def test_dedupe_folds_keys_before_its_only_shuffle(silver):
 
 
 def test_gold_aggregates_by_hash(silver):
+    """Partial sums of rows before the first shuffle; the second has a row a group and window."""
     text = plan(aggregate(silver, GOLD))
-    assert exchanges(text) == 1
-    assert text.count("HashAggregate") == 2 and "SortAggregate" not in text
+    assert exchanges(text) == 2
+    assert text.count("HashAggregate") == 4
+    assert "SortAggregate" not in text and "ObjectHash" not in text
+    # From the bottom: partial, shuffle by group and window, final, shuffle by group, sort.
+    order = [text.rindex("partial_count("), text.rindex("Exchange"), text.index("Exchange"), text.index("Sort [")]
+    assert order == sorted(order, reverse=True)
+    only_max = plan(aggregate(silver, GoldSpec({"m": Measure("wind_speed_10m", "max")})))
+    assert exchanges(only_max) == 1
 
 
 def test_flatten_has_no_shuffle_and_no_python(spark, tmp_path):

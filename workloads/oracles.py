@@ -233,6 +233,12 @@ ORACLES: dict[str, str] = {
     "dq_report": _dq_report(),
     "dq_layers": _dq_layers(),
     "gold_daily": ALL_GOLD,
+    "gold_wide_values": f"""{SILVER}
+        SELECT environment, source, weather_date,
+               CAST(sum(wide) AS DOUBLE) AS total_wide, CAST(max(wide) AS DOUBLE) AS max_wide
+        FROM (SELECT *, CAST(round(value * 100) AS HUGEINT) << CAST(event_id % 24 AS INTEGER) AS wide
+              FROM silver)
+        GROUP BY environment, source, weather_date""",
     "gold_daily_lineitem": f"""
         SELECT strftime(l_shipdate, '%Y-%m-%d') AS ship_date,
                {avg2('l_extendedprice')} AS avg_price,

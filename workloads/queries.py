@@ -330,6 +330,17 @@ def gold_daily_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.dated(aggregate(_silver(spark, sf_dir).withColumn("fine", fine), spec))
 
 
+@register
+def gold_wide_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of very different size in one group: whole cents times powers of two."""
+    cents = F.round(F.col("value") * 100)
+    wide = cents * F.pow(F.lit(2.0), (F.col("event_id") % 24).cast("double"))
+    spec = GoldSpec(
+        {"total_wide": Measure("wide", "sum"), "max_wide": Measure("wide", "max")}
+    )
+    return ev.dated(aggregate(_silver(spark, sf_dir).withColumn("wide", wide), spec))
+
+
 @register
 def gold_daily_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = ev.table(spark, sf_dir, "lineitem")
