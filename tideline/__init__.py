@@ -6,8 +6,10 @@ from tideline.operators.flatten import conform, flatten, project_arrays
 from tideline.operators.quality import QualityError, duplicate_keys, enforce, quality_report
 from tideline.plans.incremental import upsert
 from tideline.plans.run import RunResult, RunSpec, run
+from tideline.sources.runlog import RunLog
 from tideline.sources.tables import JdbcTable, ParquetTable
 from tideline.specs import FlattenSpec, GoldSpec, Measure, QualityRules, Range
+from tideline.streaming.intake import intake
 
 __all__ = [
     "FlattenSpec",
@@ -18,6 +20,7 @@ __all__ = [
     "QualityError",
     "QualityRules",
     "Range",
+    "RunLog",
     "RunResult",
     "RunSpec",
     "aggregate",
@@ -27,6 +30,7 @@ __all__ = [
     "duplicate_keys",
     "enforce",
     "flatten",
+    "intake",
     "project_arrays",
     "quality_report",
     "run",

@@ -82,6 +82,17 @@ def row_metrics(rules: QualityRules) -> dict[str, Column]:
     return metrics
 
 
+def row_reasons(rules: QualityRules) -> Column:
+    """The row-level gates that a row fails, as texts ``gate:column``; none is an empty array."""
+    broken = [F.when(violated, f"{g.kind}:{g.column}") for g, violated in _row_gates(rules)]
+    return F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>")
+
+
+def route(df: DataFrame, rules: QualityRules, reasons: str = "reasons") -> DataFrame:
+    """Every row with the gates it fails, so that one pass can send it either way."""
+    return df.withColumn(reasons, row_reasons(rules))
+
+
 def row_gate_results(
     values: Mapping[str, int], rules: QualityRules, dataset: str
 ) -> list[GateResult]:

@@ -5,12 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.scalars import day_label, iso_utc, utc_wall_clock
-from tideline.sources.sinks import exists, gather, subfolders
+from tideline.sources.sinks import exists, gather, observed, scratch_path, subfolders
 from tideline.specs import FlattenSpec
 
 INGESTION_DATE = "ingestion_date"
@@ -114,8 +114,21 @@ def _line(records: DataFrame, payload: str) -> Column:
     )
 
 
+def _lines(records: DataFrame, payload: str) -> DataFrame:
+    """Records as lines of JSON, with their ingestion date."""
+    if isinstance(records.schema[payload].dataType, T.StringType):
+        line = _line(records, payload)
+    else:
+        line = F.to_json(F.struct(*(c for c in records.columns if c != INGESTION_DATE)))
+    return records.select(line.alias("value"), INGESTION_DATE)
+
+
 def land(
-    records: DataFrame, path: str, compact: bool = False, payload: str = "payload"
+    records: DataFrame,
+    path: str,
+    compact: bool = False,
+    payload: str = "payload",
+    once: bool = False,
 ) -> None:
     """Append enveloped records as JSON lines, one directory per ingestion date.
 
@@ -123,17 +136,51 @@ def land(
     numbers are not read and written again, fields keep their order, and a body that is no
     JSON lands as a string beside the others. One run normally brings one date, so
     the default is no shuffle: tasks write what they hold. ``compact`` first gathers
-    the dates of a backfill.
+    the dates of a backfill. ``once`` leaves out records that their ingestion date has
+    already, so that a landing may be repeated (see ``unlanded``).
     """
+    if once:
+        lines = unlanded(_lines(records, payload), path)
+        (gather(lines, [INGESTION_DATE]) if compact else lines).write.mode("append").partitionBy(
+            INGESTION_DATE
+        ).text(path)
+        return
     if compact:
         records = gather(records, [INGESTION_DATE])
     if isinstance(records.schema[payload].dataType, T.StringType):
-        lines = records.select(_line(records, payload).alias("value"), INGESTION_DATE)
-        lines.write.mode("append").partitionBy(INGESTION_DATE).text(path)
+        _lines(records, payload).write.mode("append").partitionBy(INGESTION_DATE).text(path)
     else:
         records.write.mode("append").partitionBy(INGESTION_DATE).json(path)
 
 
+def unlanded(lines: DataFrame, path: str) -> DataFrame:
+    """The lines that their ingestion date has not got yet, each once.
+
+    Lines are told apart by the SHA-256 of their text, which is that of the record with its
+    ingestion time, source, parameters and payload: two responses of one second both land,
+    and one that comes back later with the same content lands again, because it may follow
+    upon another. A retry must therefore bring the same records, with the same
+    ``ingested_at``. The digests of a date are those of the lines that lie in its directory,
+    so nothing else has to be kept, and only the dates of the lines are read. Two
+    landings at the same time don't see each other.
+    """
+    spark, stored = lines.sparkSession, scratch_path(lines.sparkSession, "landing")
+    seen, digest = Observation(), F.sha2("value", 256).alias("digest")
+    bounds = {"low": F.min(INGESTION_DATE), "high": F.max(INGESTION_DATE)}
+    observed(lines, seen, bounds).write.parquet(stored)
+    new = spark.read.schema(lines.schema).parquet(stored).select("*", digest)
+    new = new.dropDuplicates([INGESTION_DATE, "digest"])
+    if subfolders(spark, path):
+        there = (
+            spark.read.schema(lines.schema)
+            .text(path)
+            .filter(F.col(INGESTION_DATE).between(F.lit(seen.get["low"]), F.lit(seen.get["high"])))
+            .select(digest, INGESTION_DATE)
+        )
+        new = new.join(there, [INGESTION_DATE, "digest"], "left_anti")
+    return new.select(*lines.columns)
+
+
 def ingestion_dates(spark: SparkSession, path: str) -> list[str]:
     """The ingestion dates that have a directory; no file is opened."""
     prefix = f"{INGESTION_DATE}="

@@ -9,7 +9,7 @@ from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideline.sources.sinks import write_partitioned
+from tideline.sources.sinks import partition_folder, remove, write_partitioned
 
 
 class Table(Protocol):
@@ -19,7 +19,9 @@ class Table(Protocol):
 
     def append(self, df: DataFrame) -> None: ...
 
-    def refresh(self, touched: DataFrame, whole: DataFrame) -> None: ...
+    def refresh(
+        self, touched: DataFrame, whole: DataFrame, gone: Sequence[Mapping[str, object]] = ()
+    ) -> None: ...
 
 
 @dataclass(frozen=True)
@@ -41,13 +43,18 @@ class ParquetTable:
         else:
             df.write.mode("overwrite").parquet(self.path)
 
-    def refresh(self, touched: DataFrame, whole: DataFrame) -> None:
+    def refresh(
+        self, touched: DataFrame, whole: DataFrame, gone: Sequence[Mapping[str, object]] = ()
+    ) -> None:
         """Publish new content of some partitions; the others' files stay as they are.
 
-        A table without partitions takes the whole content.
+        A table without partitions takes the whole content. The partitions ``gone`` have no
+        rows any more; a table with other partition columns is written whole for them.
         """
-        if self.partition_by:
+        if self.partition_by and not any(set(g) != set(self.partition_by) for g in gone):
             write_partitioned(touched, self.path, self.partition_by)
+            for values in gone:
+                remove(touched.sparkSession, partition_folder(touched.sparkSession, self.path, values))
         else:
             self.overwrite(whole)
 
@@ -129,7 +136,9 @@ class JdbcTable:
                 return
         raise RuntimeError(f"{self.table} holds {found} rows after writing {expected}")
 
-    def refresh(self, touched: DataFrame, whole: DataFrame) -> None:
+    def refresh(
+        self, touched: DataFrame, whole: DataFrame, gone: Sequence[Mapping[str, object]] = ()
+    ) -> None:
         self.overwrite(whole)
 
     def append(self, df: DataFrame) -> None:

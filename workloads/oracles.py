@@ -197,6 +197,8 @@ ORACLES: dict[str, str] = {
     "bronze_land_envelope": f"""{FLAT}
         SELECT source, ingestion_timestamp_utc, ingestion_date, entries, first_event, last_event
         FROM records""",
+    "bronze_land_repeated": f"""{FLAT}
+        SELECT source, ingestion_timestamp_utc, ingestion_date, entries, first_event FROM records""",
     "bronze_scan_all": f"""{FLAT}
         SELECT ingestion_date, count(*) AS records, CAST(sum(entries) AS BIGINT) AS entries
         FROM records GROUP BY ingestion_date""",
@@ -260,6 +262,18 @@ ORACLES: dict[str, str] = {
     "overwrite_static": f"{ALL_SILVER} WHERE weather_date >= '2024-01-16'",
     "overwrite_dynamic": ALL_SILVER,
     "upsert_incremental": ALL_SILVER,
+    "upsert_buckets": ALL_SILVER,
+    "upsert_moving_keys": """
+        SELECT event_type AS source, event_id % 499 AS sensor, event_id, value,
+               strftime(ts, '%Y-%m-%d') AS weather_date
+        FROM events QUALIFY row_number() OVER (
+          PARTITION BY event_type, event_id % 499 ORDER BY event_id DESC) = 1""",
+    "keys_moved": """
+        SELECT event_type AS source, event_id % 499 AS sensor,
+               count(DISTINCT CAST(ts AS DATE)) AS partitions
+        FROM events GROUP BY 1, 2 HAVING count(DISTINCT CAST(ts AS DATE)) > 1""",
+    "verified_readback": f"""{SILVER}
+        SELECT count(*) AS rows, TRUE AS lost_noticed, TRUE AS doubled_noticed FROM silver""",
     "serving_overwrite": ALL_GOLD,
     "serving_select_gold": f"""{GOLD}, first_slice AS (
           SELECT max(ingestion_date) AS d FROM records), static_gold AS (
@@ -274,6 +288,7 @@ ORACLES: dict[str, str] = {
           WHERE place = 1 GROUP BY environment, source, weather_date)
         SELECT * FROM static_gold UNION ALL SELECT 'upsert', * FROM gold""",
     "audit_append": f"{RUNS} SELECT * FROM runs",
+    "audit_compacted": f"{RUNS} SELECT * FROM runs",
     "audit_history": f"{RUNS} SELECT * EXCLUDE (error_message) FROM runs ORDER BY start_time DESC",
     "audit_failures": f"""{RUNS}
         SELECT start_time, status, error_message FROM runs
@@ -327,6 +342,27 @@ ORACLES: dict[str, str] = {
                event_id % 5 >= 3 AS nested
         FROM events""",
     "medallion_full_run": ALL_GOLD,
+    "medallion_intake": ALL_GOLD,
+    "medallion_resumed": ALL_GOLD,
+    "medallion_tolerant": f"""{FLAT}, good AS (
+          SELECT * FROM flat WHERE value BETWEEN 0 AND 300
+          QUALIFY row_number() OVER (
+            PARTITION BY source, weather_timestamp
+            ORDER BY ingestion_timestamp_utc DESC, event_id DESC) = 1)
+        SELECT environment, source, weather_date, {avg2('value')} AS avg_value,
+               {sum2('value')} AS total_value, {max2('value')} AS max_value,
+               max(event_id) AS last_event
+        FROM good GROUP BY environment, source, weather_date""",
+    "quarantine_reasons": """
+        SELECT 'row' AS kind, event_type AS source, 'value_range:value' AS reason,
+               count(*) AS rows
+        FROM events WHERE value < 0 OR value > 300 GROUP BY event_type""",
+    "routed_rows": """
+        SELECT event_id, value, concat_ws(' ',
+                 CASE WHEN event_id IS NULL THEN 'not_null:event_id' END,
+                 CASE WHEN value < 10 OR value > 300 THEN 'value_range:value' END,
+                 CASE WHEN event_id < 5 THEN 'value_range:event_id' END) AS reasons
+        FROM events""",
     "medallion_incremental_runs": ALL_GOLD,
     "medallion_run_log": f"""{GOLD}, counts AS (
           SELECT (SELECT count(*) FROM records) AS bronze_row_count,

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.operators import audit
@@ -17,9 +18,10 @@ from tideline.operators.quality import (
     duplicate_keys,
     layer_report,
     quality_report,
+    route,
 )
 from tideline.functions.scalars import date_of, iso_utc, utc_wall_clock
-from tideline.plans.incremental import upsert
+from tideline.plans.incremental import keys_in_several, upsert
 from tideline.plans.run import RunSpec, run
 from tideline.plans.weather import weather_run
 from tideline.sources.bronze import (
@@ -32,15 +34,21 @@ from tideline.sources.bronze import (
     read_bronze,
     record_health,
 )
+from tideline.sources.runlog import RunLog
 from tideline.sources.sinks import (
+    StoreMismatch,
+    create_file,
     exists,
+    fingerprint,
     gather,
     read_table,
     scratch_path,
+    verify,
     write_partitioned,
 )
 from tideline.sources.tables import ParquetTable
 from tideline.specs import GoldSpec, Measure, QualityRules, Range
+from tideline.streaming.intake import intake
 from workloads import events as ev
 
 BY_DATE = ["weather_date"]
@@ -145,6 +153,22 @@ def bronze_unreadable_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def bronze_land_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything landed twice, half of it a third time: one copy of each response."""
+    records, path = ev.records(spark, sf_dir), scratch_path(spark, "bronze")
+    for part in (records, records.filter("source < 'd'"), records):
+        land(part, path, compact=True, once=True)
+    hourly = F.col("payload.hourly")
+    return read_bronze(spark, path, bronze_schema(ev.FLATTEN)).select(
+        "source",
+        "ingestion_timestamp_utc",
+        INGESTION_DATE,
+        F.size(hourly["time"]).cast("bigint").alias("entries"),
+        F.array_min(hourly["event_id"].cast("array<bigint>")).alias("first_event"),
+    )
+
+
 @register
 def bronze_land_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses as text, some of them no JSON: every one lands with its own characters."""
@@ -430,6 +454,82 @@ def upsert_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.dated(read_table(spark, path, flat.schema))
 
 
+@register
+def upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same slices into a table that is cut into buckets below its dates."""
+    flat, path = ev.flat(spark, sf_dir), scratch_path(spark, "silver")
+    hour = F.substring("weather_timestamp", 12, 2)
+    for part in (hour >= "06", hour < "12", hour < "12"):
+        upsert(
+            spark,
+            flat.filter(part),
+            path,
+            ev.KEY,
+            ["ingestion_timestamp_utc"],
+            "weather_date",
+            buckets=4,
+        )
+    return ev.dated(spark.read.parquet(path).select(*flat.columns))
+
+
+def _sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of sensors, whose newest one may be of any date."""
+    return ev.table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("source"),
+        (F.col("event_id") % 499).alias("sensor"),
+        "event_id",
+        "value",
+        date_of(F.col("ts")).alias("weather_date"),
+    )
+
+
+@register
+def upsert_moving_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest reading of every sensor, which leaves the date of the one before."""
+    readings, path = _sensors(spark, sf_dir), scratch_path(spark, "silver")
+    for third in (1, 0, 2):
+        upsert(
+            spark,
+            readings.filter(F.col("event_id") % 3 == third),
+            path,
+            ["source", "sensor"],
+            ["event_id"],
+            "weather_date",
+            moving_keys=True,
+        )
+    return ev.dated(spark.read.parquet(path).select(*readings.columns))
+
+
+@register
+def keys_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys with rows on several dates, and on how many."""
+    return keys_in_several(_sensors(spark, sf_dir), ["source", "sensor"], "weather_date")
+
+
+@register
+def verified_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read back, and whether a lost and a doubled one are noticed."""
+    silver, path = _silver(spark, sf_dir), scratch_path(spark, "silver")
+    seen = Observation()
+    metrics = fingerprint(silver.columns, silver.schema)
+    write_partitioned(silver, path, BY_DATE, observe=(seen, metrics))
+    published = read_table(spark, path, silver.schema)
+    verify(published, seen.get, path)
+    least = published.agg(F.min("event_id")).first()[0]
+    one = F.col("event_id") == least
+    faults = {"lost": published.filter(~one), "doubled": published.union(published.filter(one))}
+    noticed = {}
+    for name, rows in faults.items():
+        try:
+            verify(rows, seen.get, path)
+            noticed[name] = False
+        except StoreMismatch:
+            noticed[name] = True
+    return published.agg(F.count(F.lit(1)).alias("rows")).select(
+        "rows", *(F.lit(n).alias(f"{name}_noticed") for name, n in noticed.items())
+    )
+
+
 @register
 def serving_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publishing replaces the whole serving table."""
@@ -490,6 +590,18 @@ def audit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _utc_texts(audit.history(_daily_runs(spark, sf_dir)))
 
 
+@register
+def audit_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs logged before, between and after two compactions by month."""
+    log, runs = RunLog(scratch_path(spark, "audit")), _daily_runs(spark, sf_dir)
+    day = F.dayofmonth("start_time")
+    for part in (day < 10, day.between(10, 19)):
+        log.append(runs.filter(part))
+        log.compact(spark)
+    log.append(runs.filter(day > 19))
+    return _utc_texts(log.read(spark))
+
+
 @register
 def audit_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _utc_texts(audit.failures(_daily_runs(spark, sf_dir)))
@@ -509,7 +621,9 @@ def sample_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample(events, 10, [F.desc("value"), "event_id"])
 
 
-def _run_spec(spark: SparkSession, sf_dir: str, **options) -> RunSpec:
+def _run_spec(
+    spark: SparkSession, sf_dir: str, land_records: bool = True, serving=ParquetTable, **options
+) -> RunSpec:
     root = scratch_path(spark, "lake")
     spec = RunSpec(
         source="events",
@@ -520,11 +634,12 @@ def _run_spec(spark: SparkSession, sf_dir: str, **options) -> RunSpec:
         flatten=ev.FLATTEN,
         rules=options.pop("rules", ev.RULES),
         aggregations=ev.GOLD,
-        serving=ParquetTable(f"{root}/serving", BY_DATE),
+        serving=serving(f"{root}/serving", BY_DATE),
         audit=ParquetTable(f"{root}/audit"),
         **options,
     )
-    land(ev.records(spark, sf_dir), raw_path(spec.bronze, spec.source), compact=True)
+    if land_records:
+        land(ev.records(spark, sf_dir), raw_path(spec.bronze, spec.source), compact=True)
     return spec
 
 
@@ -536,6 +651,69 @@ def medallion_full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.dated(spec.serving.read(spark))
 
 
+@register
+def medallion_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed files as a stream: half of them, the rest, and then nothing new."""
+    spec = _run_spec(spark, sf_dir, land_records=False)
+    point, records = scratch_path(spark, "intake"), ev.records(spark, sf_dir)
+    for part in ("ingestion_date < '2024_01_16'", "ingestion_date >= '2024_01_16'", "false"):
+        land(records.filter(part), raw_path(spec.bronze, spec.source), compact=True)
+        intake(spark, spec, point)
+    return ev.dated(spec.serving.read(spark))
+
+
+class _LostOnce(ParquetTable):
+    """A table whose first publication is interrupted."""
+
+    def refresh(self, touched, whole, gone=()) -> None:
+        super().refresh(touched, whole, gone)
+        if create_file(touched.sparkSession, f"{self.path}.interrupted", ""):
+            raise InterruptedError("lost")
+
+
+@register
+def medallion_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that is interrupted while it serves, and then goes on."""
+    spec = _run_spec(spark, sf_dir, serving=_LostOnce)
+    try:
+        run(spark, spec, run_id="first")
+    except InterruptedError:
+        run(spark, spec, run_id="first")
+    return ev.dated(spec.serving.read(spark))
+
+
+@register
+def medallion_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows out of range are set aside before they replace others; the summary has the rest."""
+    rules = replace(ev.RULES, ranges=ev.STRICT_RULES.ranges)
+    aside = ParquetTable(scratch_path(spark, "aside"))
+    spec = _run_spec(spark, sf_dir, rules=rules, quarantine=aside, tolerance=0.99)
+    run(spark, spec)
+    return ev.dated(spec.serving.read(spark))
+
+
+@register
+def quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows of every source were set aside, by reason."""
+    rules = replace(ev.RULES, ranges=ev.STRICT_RULES.ranges)
+    aside = ParquetTable(scratch_path(spark, "aside"))
+    run(spark, _run_spec(spark, sf_dir, rules=rules, quarantine=aside, tolerance=0.99))
+    return (
+        aside.read(spark)
+        .select("kind", "source", F.explode("reasons").alias("reason"))
+        .groupBy("kind", "source", "reason")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+
+
+@register
+def routed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every reading with the rules it breaks, in one pass."""
+    rules = QualityRules(("event_id",), (), {"value": Range(10, 300), "event_id": Range(5, None)})
+    rows = route(ev.table(spark, sf_dir, "events").select("event_id", "value"), rules)
+    return rows.withColumn("reasons", F.concat_ws(" ", "reasons"))
+
+
 WEATHER_GOLD = {
     "avg_temperature": {"source_column": "temperature_2m", "aggregation": "avg"},
     "max_temperature": {"source_column": "temperature_2m", "aggregation": "max"},
