@@ -149,34 +149,53 @@ def exact_classes(
 def keep_rows(
     docs: DataFrame,
     kept: DataFrame,
-    keyed: Callable[[DataFrame], DataFrame],
+    keyed: Callable[[DataFrame, str], DataFrame],
     id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
     """The rows of ``docs`` that ``kept`` lists, with all their columns.
 
     ``kept`` has identifier and TEXT_KEY, one row per row that stays; ``keyed`` adds that
-    column to rows of ``docs``. Rows that repeat an identifier are rare: those are found by
-    identifier and key and cut to one for each in a branch of their own, so that no text is
-    shuffled or keyed for the others.
+    column to rows, from their text column. Rows that repeat an identifier are rare: those are
+    found by identifier and key and cut to one for each in a branch of their own, so that no
+    text is shuffled or keyed for the others. The columns of ``docs`` go by position, so
+    their names don't matter.
     """
+    names = docs.columns
+    docs = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    ident, text = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
     ids = kept.select(F.col(id_col).alias("kept_id"), F.col(TEXT_KEY).alias("kept_key"))
-    twice = docs.groupBy(F.col(id_col).alias("twice_id")).count().filter("count > 1")
+    twice = (
+        docs.groupBy(F.col(ident).alias("twice_id"))
+        .agg(F.count(F.lit(1)).alias("times"))
+        .filter("times > 1")
+        .select("twice_id")
+    )
     repeats = F.col("kept_id").eqNullSafe(F.col("twice_id"))
     once = ids.join(twice, repeats, "left_anti").select("kept_id")
     again = ids.join(twice, repeats, "left_semi")
-    rows = keyed(docs.join(twice, docs[id_col].eqNullSafe(F.col("twice_id")), "left_semi"))
-    same = rows[id_col].eqNullSafe(F.col("kept_id")) & (rows[TEXT_KEY] == F.col("kept_key"))
-    return docs.join(once, docs[id_col].eqNullSafe(F.col("kept_id")), "left_semi").unionByName(
-        rows.join(again, same, "left_semi").dropDuplicates([id_col, TEXT_KEY]).drop(TEXT_KEY)
+    rows = keyed(docs.join(twice, docs[ident].eqNullSafe(F.col("twice_id")), "left_semi"), text)
+    same = rows[ident].eqNullSafe(F.col("kept_id")) & (rows[TEXT_KEY] == F.col("kept_key"))
+    return (
+        docs.join(once, docs[ident].eqNullSafe(F.col("kept_id")), "left_semi")
+        .unionByName(
+            rows.join(again, same, "left_semi").dropDuplicates([ident, TEXT_KEY]).drop(TEXT_KEY)
+        )
+        .toDF(*names)
     )
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns."""
+    """The rows of ``docs`` that stay, with their columns, whatever these are named.
+
+    As in ``exact_classes`` a null text counts as empty, of repeated rows one stays, a null
+    identifier stays only if its text has no other, and an empty table gives no rows.
+    """
     kept = exact_classes(docs, id_col, text_col).filter("kept")
     return keep_rows(
         docs,
         kept.withColumnRenamed("text_sha256", TEXT_KEY),
-        lambda rows: rows.withColumn(TEXT_KEY, F.sha2(whole(text_col), 256)),
+        lambda rows, text: rows.withColumn(TEXT_KEY, F.sha2(whole(text), 256)),
         id_col,
+        text_col,
     )

@@ -473,7 +473,16 @@ def _keyed(docs: DataFrame, text_col: str) -> DataFrame:
     return map_rows(docs, run, [T.StructField(TEXT_KEY, T.BinaryType())])
 
 
-def near_dedup(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns."""
-    kept = _classes(docs, similarity, id_col, "text", keyed=True).filter("kept")
-    return keep_rows(docs, kept, lambda rows: _keyed(rows, "text"), id_col)
+def near_dedup(
+    docs: DataFrame,
+    similarity: float = 0.8,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` that stay, with their columns, whatever these are named.
+
+    As in ``near_classes`` texts without words are of one class, of repeated rows one stays, a
+    null identifier stays only if its class has no other, and an empty table gives no rows.
+    """
+    kept = _classes(docs, similarity, id_col, text_col, keyed=True).filter("kept")
+    return keep_rows(docs, kept, _keyed, id_col, text_col)

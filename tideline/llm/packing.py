@@ -198,13 +198,14 @@ def pack(pieces: DataFrame, capacity: int, length_col: str = "length") -> DataFr
 
     Sequences are numbered from 0 and filled from offset 0 without gaps. Rows of equal
     length are interchangeable, so ties and repeated rows need no rule. An empty table
-    gives an empty table. ``pieces`` must be stored, for it is read twice.
+    gives an empty table. Columns that have the names of the results already are replaced.
+    ``pieces`` must be stored, for it is read twice.
 
     No length is gathered in one task, however common it is: rows are ranked within
     parts, and the parts of a length are numbered by their counts.
     """
     spark = pieces.sparkSession
-    names = pieces.columns
+    names = [n for n in pieces.columns if n.lower() not in ("sequence_id", "offset")]
     parts = partitions(spark)
     row = F.struct(*(F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names))).alias("row")
     dealt = pieces.select(F.col(length_col).cast("long").alias("size"), row).select(

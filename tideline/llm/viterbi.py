@@ -313,7 +313,12 @@ def encode(
 
 
 def decode(rows: DataFrame, model: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
-    """``rows`` with the text of their ids; null ids count as none."""
+    """``rows`` with the text of their ids; null ids count as none.
+
+    A column that has the name of the text already is replaced, other names don't matter.
+    Repeated rows stay; an empty table gives no rows.
+    """
+    rows = rows.drop(text_col)
     place = rows.columns.index(ids_col)
     names = [f"c{i}" for i in range(len(rows.columns) + 1)]
 
