@@ -39,11 +39,13 @@ from tideline.llm.words import chunks, mix, words
 SHINGLE = 5
 SKETCHES, MINIMA = 16, 3
 BLOCK = 256
+#: Places a bucket of unknown size is dealt to.
+SPREAD = 8
 #: Texts with more shingles go through the hash functions one by one, to bound memory.
 LONG = 1 << 16
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype="u8") * np.uint64(0x9E3779B97F4A7C15))
 _FACTOR = np.uint64(0x100000001B3)
-_SPREAD = np.uint64(0xBF58476D1CE4E5B9)
+_STIR = np.uint64(0xBF58476D1CE4E5B9)
 
 
 def shingles(found: np.ndarray) -> np.ndarray:
@@ -83,7 +85,7 @@ def sketch(kinds: np.ndarray) -> np.ndarray:
     else:
         rows = []
         for seeds in [_SEEDS] if len(kinds) <= LONG else np.split(_SEEDS, SKETCHES):
-            ranks = (kinds[None, :] ^ seeds[:, None]) * _SPREAD
+            ranks = (kinds[None, :] ^ seeds[:, None]) * _STIR
             ranks ^= ranks >> np.uint64(29)
             rows.append(np.argpartition(ranks, size - 1, axis=1)[:, :size])
         places = np.sort(np.concatenate(rows), axis=1)
@@ -227,54 +229,144 @@ def _compared(
     )
 
 
-def _both(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """How many bits each row of ``left`` has in common with each row of ``right``."""
-    out = np.zeros((len(left), len(right)), dtype="f4")
-    for at in range(0, left.shape[1], 1024):
-        a = np.unpackbits(left[:, at : at + 1024], axis=1).astype("f4")
-        out += a @ np.unpackbits(right[:, at : at + 1024], axis=1).astype("f4").T
+#: Pairs of members that are looked at together, and bytes of what they share.
+PAIRS, SHARED = 1 << 18, 1 << 24
+
+
+def _partners(group: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the places of those it meets, as begin and end.
+
+    Rows lie by group and, within it, by side. In a group of one side everyone meets those
+    behind; in one of two sides the first side meets the second.
+    """
+    if not len(group):
+        return np.empty(0, "i8"), np.empty(0, "i8")
+    begins = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+    sizes = np.diff(np.append(begins, len(group)))
+    begin, end = np.repeat(begins, sizes), np.repeat(begins + sizes, sizes)
+    second = (side != side[begin]).astype("i8")
+    seconds = np.repeat(np.add.reduceat(second, begins), sizes)
+    two = seconds > 0
+    first = np.where(two, end - seconds, np.arange(len(group)) + 1)
+    return first, np.where(two & (second > 0), first, end)
+
+
+def _pairs(first: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All rows with all their partners, some at a time."""
+    counts = np.maximum(end - first, 0)
+    done = np.cumsum(counts)
+    at = 0
+    while at < len(counts):
+        before = done[at - 1] if at else 0
+        upto = max(at + 1, int(np.searchsorted(done, before + PAIRS, side="right")))
+        n = counts[at:upto]
+        a = np.repeat(np.arange(at, upto), n)
+        place = np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n)
+        yield a, first[a] + place
+        at = upto
+
+
+def _shared(bits: np.ndarray, offsets: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many bits the rows of each pair have in common; both have as many."""
+    out = np.zeros(len(a), "i8")
+    sizes = np.diff(offsets)[a]
+    order = np.argsort(sizes, kind="stable")
+    edges = np.flatnonzero(np.diff(sizes[order])) + 1
+    for same in np.split(order, edges) if len(order) else []:
+        size = int(sizes[same[0]])
+        step = max(1, SHARED // max(size, 1))
+        for at in range(0, len(same), step):
+            part = same[at : at + step]
+            wide = np.arange(size)
+            one = bits[offsets[a[part]][:, None] + wide]
+            two = bits[offsets[b[part]][:, None] + wide]
+            out[part] = np.bitwise_count(one & two).sum(axis=1, dtype="i8")
     return out
 
 
 def _blocks(similarity: float):
     """Pairs of one block or of two that may be linked and are in different components.
 
-    Two members share at most the leader's shingles that both have, and of the others the
-    fewer of those that also another text has. A pair that shares several buckets is
-    named in the first of them only.
+    Rows come by bucket and blocks, and by side within them; many such groups are worked on
+    together. Two members share at most the leader's shingles that both have, and of
+    the others the fewer of those that also another text has. A pair that shares several
+    buckets is named in the first of them only.
     """
+    names = ["bucket", "low", "high", "side", "row", "root", "n", "u", "bits", "sketches"]
+
+    def found(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        column = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in names[:8]}
+        codes = batch.column("sketches").flatten().to_numpy().reshape(batch.num_rows, -1)
+        raw = batch.column("bits").cast(pa.large_binary())
+        offsets = np.frombuffer(raw.buffers()[1], "i8")[raw.offset :][: len(raw) + 1]
+        bits = np.frombuffer(raw.buffers()[2] or b"", "u1")
+        group = np.cumsum(_changes(column))
+        first, end = _partners(group, column["side"])
+        row, root, n = column["row"], column["root"], column["n"]
+        ones = np.zeros(len(bits) + 1, "i8")
+        np.cumsum(np.bitwise_count(bits), out=ones[1:])
+        known = ones[offsets[1:]] - ones[offsets[:-1]]
+        other = n - column["u"] - known
+        for a, b in _pairs(first, end):
+            need = (n[a] + n[b]) * similarity - 1e-3
+            some = np.minimum(known[a], known[b]) + np.minimum(other[a], other[b])
+            some = np.minimum(some, np.minimum(n[a], n[b]))
+            ok = (some * (1 + similarity) >= need) & (root[a] != root[b])
+            a, b, need = a[ok], b[ok], need[ok]
+            shared = _shared(bits, offsets, a, b) + np.minimum(other[a], other[b])
+            ok = shared * (1 + similarity) >= need
+            a, b = a[ok], b[ok]
+            common = codes[a, np.argmax(codes[a] == codes[b], axis=1)]
+            ok = common == column["bucket"][a]
+            one, two = row[a[ok]], row[b[ok]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], ["a", "b"]
+            )
 
-    def run(table: pa.Table) -> pa.Table:
-        column = {n: table.column(n).to_numpy() for n in ("row", "root", "n", "u", "side", "bucket")}
-        codes = np.array(table.column("sketches").to_pylist(), dtype="i8").reshape(
-            table.num_rows, -1
-        )
-        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), "u1").reshape(
-            table.num_rows, -1
-        )
-        low, high = column["side"].min(), column["side"].max()
-        left, right = np.flatnonzero(column["side"] == low), np.flatnonzero(column["side"] == high)
-        n = column["n"]
-        other = n - column["u"] - np.bitwise_count(bits).sum(axis=1, dtype="i8")
-        shared = _both(bits[left], bits[right]) + np.minimum(other[left][:, None], other[right])
-        ok = shared * (1 + similarity) >= (n[left][:, None] + n[right]) * similarity - 1e-3
-        ok &= column["root"][left][:, None] != column["root"][right]
-        if low == high:
-            ok &= column["row"][left][:, None] < column["row"][right]
-        a, b = np.nonzero(ok)
-        a, b = left[a], right[b]
-        first = codes[a, np.argmax(codes[a] == codes[b], axis=1)]
-        of = first == column["bucket"][a]
-        return pa.table(
-            {
-                "a": pa.array(column["row"][a[of]], pa.int64()),
-                "b": pa.array(column["row"][b[of]], pa.int64()),
-            }
-        )
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            batch = batch.select(names)
+            if rest is not None:
+                together = pa.Table.from_batches([rest, batch]).combine_chunks()
+                [batch] = together.to_batches()
+            # The last group may go on in the next batch.
+            edges = np.flatnonzero(_changes({n: batch.column(n).to_numpy() for n in names[:3]}))
+            upto = int(edges[-1]) if len(edges) else 0
+            if upto:
+                yield from found(batch.slice(0, upto))
+            rest = batch.slice(upto)
+        if rest is not None and rest.num_rows:
+            yield from found(rest)
 
     return run
 
 
+def _changes(column: dict[str, np.ndarray]) -> np.ndarray:
+    """Whether a row begins a group."""
+    out = np.ones(len(column["bucket"]), dtype=bool)
+    out[1:] = False
+    for name in ("bucket", "low", "high"):
+        out[1:] |= column[name][1:] != column[name][:-1]
+    return out
+
+
+#: Rows of a bucket that meet what is known of it in one place.
+SALTED = 512
+
+
+def _of_bucket(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows with what is known of their bucket, joined by bucket and salt.
+
+    Both sides have ``size``, by which a large bucket is dealt to several places: the rows
+    by their own hash, the one row of what is known to each.
+    """
+    places = F.ceil(F.col("size") / SALTED).cast("int")
+    here = rows.withColumn("salt", F.pmod(F.xxhash64("row"), places).cast("int"))
+    there = known.withColumn("salt", F.explode(F.sequence(F.lit(0), places - 1)))
+    return here.join(there.drop("size"), ["bucket", "salt"]).drop("salt")
+
+
 def near_classes(
     docs: DataFrame,
     similarity: float = 0.8,
@@ -317,7 +409,14 @@ def _classes(
         "sketch-buckets",
     )
     several = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    entries = stored(entries.join(several, "bucket"), "shared-buckets")
+    # How large a bucket is isn't known before this join, so all are dealt to some places.
+    some = F.sequence(F.lit(0), F.lit(SPREAD - 1))
+    entries = stored(
+        entries.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SPREAD)).cast("int"))
+        .join(several.withColumn("salt", F.explode(some)), ["bucket", "salt"])
+        .drop("salt"),
+        "shared-buckets",
+    )
     candidates = entries.groupBy("row").agg(F.sum("size").alias("company"))
     candidates = stored(texts.select("row", "n", "words").join(candidates, "row"), "candidates")
 
@@ -338,16 +437,20 @@ def _classes(
         .filter(F.col("n") - F.col("u") >= F.col("n") * similarity - 1e-6)
     )
     entries = stored(
-        entries.select("row", "sketches", "bucket").join(partners, "row"), "partner-buckets"
+        entries.select("row", "sketches", "bucket", "size").join(partners, "row"), "partner-buckets"
     )
 
     # Every member meets the leader of its buckets.
     leaders = (
         entries.groupBy("bucket")
-        .agg(F.max(F.struct("company", (-F.col("row")).alias("order"), "row")).alias("of"))
-        .select("bucket", F.col("of.row").alias("leader"))
+        .agg(
+            F.max(F.struct("company", (-F.col("row")).alias("order"), "row")).alias("of"),
+            F.max("size").alias("size"),
+        )
+        .select("bucket", "size", F.col("of.row").alias("leader"))
     )
-    entries = stored(entries.join(leaders, "bucket"), "led-buckets")
+    leaders = stored(leaders, "leaders")
+    entries = stored(_of_bucket(entries, leaders), "led-buckets")
     pairs = (
         entries.filter("row != leader")
         .select(F.col("row").alias("a"), F.col("leader").alias("b"))
@@ -357,16 +460,17 @@ def _classes(
     links = met.filter("linked").select("a", "b")
     roots = components(links, "a", "b")
 
-    # Members that are not in the component of their bucket's leader. The leader's component
-    # is looked up by the leader, so that counting needs no join of whole buckets.
+    # Members that are not in the component of their bucket's leader, which is looked up once
+    # a bucket.
     own = roots.select(F.col("node").alias("row"), F.col("root").alias("own"))
     its = roots.select(F.col("node").alias("leader"), F.col("root").alias("its"))
+    its = leaders.join(its, "leader", "left").select(
+        "bucket", "size", F.coalesce("its", "leader").alias("its")
+    )
     members = stored(
-        entries.filter("row != leader")
-        .join(own, "row", "left")
-        .join(its, "leader", "left")
+        _of_bucket(entries.filter("row != leader").join(own, "row", "left"), its)
         .withColumn("root", F.coalesce("own", "row"))
-        .withColumn("inside", F.col("root") == F.coalesce("its", "leader"))
+        .withColumn("inside", F.col("root") == F.col("its"))
         .drop("own", "its"),
         "rooted-buckets",
     )
@@ -375,6 +479,7 @@ def _classes(
         .agg(
             F.sum(F.col("inside").cast("long")).alias("n_in"),
             F.sum((~F.col("inside")).cast("long")).alias("n_out"),
+            F.max("size").alias("size"),
         )
         .filter("n_out > 0 AND n_in + n_out > 1")
     )
@@ -387,7 +492,7 @@ def _classes(
         F.sequence(F.lit(0), out_blocks + in_blocks - 1)
     )
     dealt = (
-        members.join(counts, "bucket")
+        _of_bucket(members, counts)
         .join(
             met.select(F.col("a").alias("row"), F.col("b").alias("leader"), "bits"),
             ["row", "leader"],
@@ -407,9 +512,11 @@ def _classes(
             "sketches",
         )
     )
+    by = ["bucket", "low", "high"]
     pairs = (
-        dealt.groupBy("bucket", "low", "high")
-        .applyInArrow(_blocks(similarity), "a long, b long")
+        dealt.repartition(*by)
+        .sortWithinPartitions(*by, "side")
+        .mapInArrow(_blocks(similarity), "a long, b long")
         .distinct()
     )
     more = stored(_compared(pairs, candidates, similarity, with_bits=False), "other-pairs")
