@@ -8,7 +8,7 @@ rejected texts; what no rule covers is kept. The result is an ordered conditiona
 expression of Spark columns.
 
 Everything that touches rows is a DataFrame expression. The driver sees counts per
-feature and bin: their number depends on neither the rows nor the texts.
+feature and bin: some dozens of bins for each feature and each time a bin is cut again.
 """
 
 from __future__ import annotations
@@ -171,6 +171,114 @@ def _all(columns: list[Column]) -> Column:
     return out
 
 
+def _gain(b: int, g: int, before: float) -> float:
+    """What a condition that covers so many rows of each kind tells, weighed by the rejected."""
+    return b * (math.log2(b / (b + g)) - before) if b else 0.0
+
+
+class _Bins:
+    """Covered rows counted by feature and bin, the bins refined where a better cut may lie."""
+
+    def __init__(self, rows: DataFrame, cuts: int) -> None:
+        self.rows = rows
+        self.shares = [i / (cuts + 1) for i in range(1, cuts + 1)]
+        #: By feature, in ascending order: (least value, greatest value, rejected, kept).
+        self.bins = {name: [] for name in FEATURES}
+        self._count({name: [(-math.inf, math.inf)] for name in FEATURES})
+
+    def _count(self, parts: dict[str, list[tuple[float, float]]]) -> None:
+        """Replace the bins inside the given ranges of values by finer ones."""
+        ranges = [(name, low, high) for name, some in parts.items() for low, high in some]
+        marks = self.rows.agg(
+            *(
+                F.percentile_approx(
+                    F.when(F.col(name).between(low, high), F.col(name)), self.shares, 10000
+                ).alias(f"m{i}")
+                for i, (name, low, high) in enumerate(ranges)
+            )
+        ).first()
+        entries = []
+        for name, some in parts.items():
+            own = [i for i, r in enumerate(ranges) if r[0] == name]
+            if not own:
+                continue
+            points = sorted({p for i in own for p in (*(marks[i] or ()), ranges[i][1])})
+            value = F.col(name)
+            inside = F.lit(False)
+            for low, high in some:
+                inside = inside | value.between(low, high)
+            # A quantile belongs to the bin below it.
+            at = F.size(F.filter(F.array(*map(F.lit, points)), lambda p: p < value))
+            entries.append(
+                F.when(
+                    inside,
+                    F.struct(F.lit(name).alias("name"), at.alias("bin"), value.alias("value")),
+                )
+            )
+        found = (
+            self.rows.select("bad", F.explode(F.array_compact(F.array(*entries))).alias("f"))
+            .groupBy("f.name", "f.bin")
+            .agg(
+                F.min("f.value").alias("low"),
+                F.max("f.value").alias("high"),
+                F.count_if("bad").alias("b"),
+                F.count_if(~F.col("bad")).alias("g"),
+            )
+            .collect()
+        )
+        for name, some in parts.items():
+            left = [
+                x for x in self.bins[name] if not any(lo <= x[0] and x[1] <= hi for lo, hi in some)
+            ]
+            new = [(r.low, r.high, r.b, r.g) for r in found if r["name"] == name]
+            self.bins[name] = sorted(left + new)
+
+    def _options(self, name: str, before: float, min_cover: int):
+        """(gain, condition, rejected, kept) for every cut between neighbouring bins."""
+        bins = self.bins[name]
+        bad, good = sum(x[2] for x in bins), sum(x[3] for x in bins)
+        low_b = low_g = 0
+        for (_, end, b, g), (begin, *_) in zip(bins, bins[1:]):
+            low_b, low_g = low_b + b, low_g + g
+            cut = (end + begin) / 2 if end < (end + begin) / 2 < begin else end
+            for above, b, g in ((False, low_b, low_g), (True, bad - low_b, good - low_g)):
+                if b >= min_cover:
+                    yield _gain(b, g, before), Condition(name, above, cut), b, g
+
+    def _better_inside(self, name: str, before: float, best: float) -> list[tuple[float, float]]:
+        """Bins in which a cut may be as good as the best one so far.
+
+        At most, a cut has all of a bin's rejected rows on its side and none of the others.
+        """
+        bins, found = self.bins[name], []
+        bad, good = sum(x[2] for x in bins), sum(x[3] for x in bins)
+        low_b = low_g = 0
+        for low, high, b, g in bins:
+            if b and g and low < high:
+                below, above = (low_b + b, low_g), (bad - low_b, good - low_g - g)
+                if max(_gain(*below, before), _gain(*above, before)) >= best - 1e-9:
+                    found.append((low, high))
+            low_b, low_g = low_b + b, low_g + g
+        return found
+
+    def best(self, before: float, min_cover: int):
+        """The cut with the greatest gain over all values, or None."""
+        while True:
+            options = [o for n in FEATURES for o in self._options(n, before, min_cover)]
+            top = max(options, key=_order, default=None)
+            gain = max(top[0], 1e-9) if top else 1e-9
+            parts = {n: self._better_inside(n, before, gain) for n in FEATURES}
+            if not any(parts.values()):
+                return top if top and top[0] > 1e-9 else None
+            self._count({n: some for n, some in parts.items() if some})
+
+
+def _order(option) -> tuple:
+    """Of equally good cuts: the most rejected rows, then by feature, side and value."""
+    gain, condition, b, _ = option
+    return round(gain, 9), b, condition.feature, condition.above, condition.threshold
+
+
 def learn_rules(
     labelled: DataFrame,
     label_col: str = "quality",
@@ -182,113 +290,62 @@ def learn_rules(
 ) -> list[Rule]:
     """Decision list for label 0 from statistics with a label.
 
+    A condition is the best cut over all values that occur, midway between two of them.
+    It is looked for in ``cuts`` quantile bins per statistic, and every bin in which a cut
+    could be as good is cut again, until none could: what a bin may hold at best is known from
+    its counts, so the search ends with the cut that trying all values would find.
+
     ``labelled`` has the columns of ``text_statistics`` and the label. Rows without a
     label are left out; no rows, or rows of one label only, give an empty list, which
     keeps every text. All labelled rows are used.
     """
-    names = list(FEATURES)
-    values = {n: feature(n) for n in names}
-    rows = labelled.filter(F.col(label_col).isNotNull())
-    shares = [i / (cuts + 1) for i in range(1, cuts + 1)]
-    marks = rows.agg(
-        *(F.percentile_approx(values[n], shares, 10000).alias(n) for n in names)
-    ).first()
-    if marks[0] is None:
-        return []
-    # A rare kind of text lies beyond every quantile, so the tails get cuts of their own.
-    tails = rows.agg(
-        *(
-            F.percentile_approx(values[n], [0.002, 0.005, 0.01, 0.02, 0.98, 0.99, 0.995, 0.998], 10000)
-            .alias(n)
-            for n in names
-        )
-    ).first()
-    points = {n: sorted({*marks[n], *tails[n]}) for n in names}
-
-    def bin_of(name: str) -> Column:
-        above = F.lit(0)
-        for point in points[name]:
-            above = above + (values[name] > point).cast("int")
-        return above.cast("short").alias(name)
-
-    # Equal rows become one with a count; the first split of the hash is for pruning.
-    binned = stored(
-        rows.select(
+    rows = stored(
+        labelled.filter(F.col(label_col).isNotNull()).select(
             (F.col(label_col) == 0).alias("bad"),
+            # The hash splits the rows for pruning.
             (F.pmod(F.xxhash64(F.lit("prune"), F.col("row_key")), F.lit(3)) == 0).alias("prune"),
-            *(bin_of(n) for n in names),
-        )
-        .groupBy("bad", "prune", *names)
-        .agg(F.count(F.lit(1)).alias("n")),
-        "rule-bins",
+            *(feature(n).alias(n) for n in FEATURES),
+        ),
+        "rule-rows",
     )
 
-    def holds(condition: tuple[str, bool, int]) -> Column:
-        name, above, k = condition
-        return F.col(name) > k if above else F.col(name) <= k
+    def holds(condition: Condition) -> Column:
+        value = F.col(condition.feature)
+        return value > condition.threshold if condition.above else value <= condition.threshold
 
-    found: list[tuple] = []
-    n_bad, n_good = F.sum(F.col("bad").cast("long") * F.col("n")), F.sum(
-        (~F.col("bad")).cast("long") * F.col("n")
-    )
-
-    def counts(df: DataFrame, condition: Column) -> tuple[int, int]:
-        row = df.filter(condition).agg(n_bad.alias("b"), n_good.alias("g")).first()
-        return row.b or 0, row.g or 0
+    def counts(df: DataFrame, conditions: list[Column]) -> list[tuple[int, int]]:
+        """Rejected and other rows under each condition."""
+        found = df.agg(
+            *(F.count_if(c & F.col("bad")).alias(f"b{i}") for i, c in enumerate(conditions)),
+            *(F.count_if(c & ~F.col("bad")).alias(f"g{i}") for i, c in enumerate(conditions)),
+        ).first()
+        return [(found[f"b{i}"], found[f"g{i}"]) for i in range(len(conditions))]
 
+    found: list[Rule] = []
     rest = F.lit(True)
     for _ in range(max_rules):
-        grow, prune = binned.filter(rest & ~F.col("prune")), binned.filter(rest & F.col("prune"))
-        rule: list[tuple[str, bool, int]] = []
-        bad, good = counts(grow, F.lit(True))
+        grow, prune = rows.filter(rest & ~F.col("prune")), rows.filter(rest & F.col("prune"))
+        rule: list[Condition] = []
+        [(bad, good)] = counts(grow, [F.lit(True)])
         while good and bad >= min_cover and len(rule) < max_conditions:
-            inside = (
-                grow.filter(_all([holds(c) for c in rule]))
-                .select(
-                    "bad",
-                    "n",
-                    F.explode(
-                        F.array(
-                            *(
-                                F.struct(F.lit(n).alias("name"), F.col(n).alias("bin"))
-                                for n in names
-                            )
-                        )
-                    ).alias("f"),
-                )
-                .groupBy("f.name", "f.bin")
-                .agg(n_bad.alias("b"), n_good.alias("g"))
-                .collect()
-            )
-            options = []
-            before = math.log2(bad / (bad + good))
-            for name in names:
-                at = {r["bin"]: (r.b, r.g) for r in inside if r["name"] == name}
-                low_b = low_g = 0
-                for k in range(len(points[name])):
-                    low_b += at.get(k, (0, 0))[0]
-                    low_g += at.get(k, (0, 0))[1]
-                    for above, b, g in ((False, low_b, low_g), (True, bad - low_b, good - low_g)):
-                        if b >= min_cover and (b, g) != (bad, good):
-                            gain = b * (math.log2(b / (b + g)) - before)
-                            options.append((gain, name, above, k, b, g))
-            if not options or max(options)[0] <= 0:
+            covered = grow.filter(_all([holds(c) for c in rule]))
+            top = _Bins(covered, cuts).best(math.log2(bad / (bad + good)), min_cover)
+            if top is None:
                 break
-            _, name, above, k, bad, good = max(options)
-            rule.append((name, above, k))
+            _, condition, bad, good = top
+            rule.append(condition)
         if not rule:
             break
-        prefixes = [
-            (counts(prune, _all([holds(c) for c in rule[:i]])), i) for i in range(1, len(rule) + 1)
-        ]
+        prefixes = [_all([holds(c) for c in rule[:i]]) for i in range(1, len(rule) + 1)]
         (b, g), length = max(
-            prefixes, key=lambda x: ((x[0][0] - x[0][1]) / max(1, sum(x[0])), x[0][0])
+            ((n, i) for i, n in enumerate(counts(prune, prefixes), 1)),
+            key=lambda x: ((x[0][0] - x[0][1]) / max(1, sum(x[0])), x[0][0]),
         )
         if not b or b / (b + g) < min_precision:
             break
         found.append(tuple(rule[:length]))
-        rest = rest & ~_all([holds(c) for c in rule[:length]])
-    return [tuple(Condition(n, above, points[n][k]) for n, above, k in rule) for rule in found]
+        rest = rest & ~prefixes[length - 1]
+    return found
 
 
 def verdict(rules: list[Rule]) -> Column:
