@@ -4,6 +4,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
+import tideline.llm.token_counts as module
 from tideline.llm.token_counts import PieceCounter, pre_tokens, token_counts
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -63,3 +64,69 @@ def test_each_pre_token_is_counted_alone(library):
         len(library.encode("x\nthe")) - len(library.encode("x")),
         len(library.encode("  a")),
     ]
+
+
+def test_numbers_of_every_width(spark, library):
+    """Pre-tokens and counts beyond one and two bytes, and more documents than two bytes hold."""
+    texts = ["x" * 70_000 + " y", "a " * 70_000, "b " * 300 + "c" * 300] + ["a b"] * 70_000
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = {r.doc_id: r.n_tokens for r in token_counts(df, PATH).collect()}
+    assert len(found) == len(texts)
+    for i in (0, 1, 2, 3, 70_002):
+        assert found[i] == len(library.encode(texts[i]))
+    assert len(set(found[i] for i in range(3, len(texts)))) == 1
+
+
+def test_buckets_that_lie_in_several_batches(spark, library):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcdefg") * rng.randint(1, 4) for _ in range(50)) for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    spark.conf.set(key, "3")
+    try:
+        found = {r.doc_id: r.n_tokens for r in token_counts(df, PATH).collect()}
+    finally:
+        spark.conf.set(key, before)
+    assert found == {i: len(library.encode(t)) for i, t in enumerate(texts)}
+
+
+def test_what_is_sent_does_not_depend_on_the_partitions(spark):
+    """The first shuffle's rows are made before anything knows how many partitions there are."""
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    sizes = " + ".join(f"octet_length({n})" for n in module.NAMES[3:])
+
+    def sent():
+        rows = df.mapInArrow(module._frequencies, module.FREQUENCIES)
+        return rows.selectExpr("count(*)", f"sum({sizes})").first()
+
+    key = "spark.sql.shuffle.partitions"
+    before, seen = spark.conf.get(key), set()
+    for n in (50, 20_000):
+        spark.conf.set(key, str(n))
+        try:
+            seen.add(sent())
+        finally:
+            spark.conf.set(key, before)
+    assert len(seen) == 1
+    assert next(iter(seen))[0] <= module.BUCKETS * df.rdd.getNumPartitions() + 200
+
+
+def test_a_worker_forgets_buckets_it_is_done_with(monkeypatch):
+    counts = module._Counts(PATH)
+    seen = []
+    count = counts.counter.count
+    monkeypatch.setattr(counts.counter, "count", lambda units: seen.extend(units) or count(units))
+    assert (counts.of([b"one", b"two", b"one"]) == counts.of([b"one", b"two", b"one"])).all()
+    assert sorted(seen) == ["one", "two"]
+    counts.keep([b"two"])
+    counts.of([b"two"])
+    assert set(counts.known) == {b"two"} and len(seen) == 2
+
+
+def test_each_pre_token_of_the_table_is_counted_once(spark, monkeypatch):
+    texts = ["the same words again and again", "the same words, once more"] * 50
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    blocks = df.mapInArrow(module._frequencies, module.FREQUENCIES).orderBy("bucket").collect()
+    assert len({r.bucket for r in blocks if r.bucket != module.DOCUMENTS}) <= 9
+    assert len([r for r in blocks if r.bucket == module.DOCUMENTS]) >= 1

@@ -5,11 +5,13 @@ text into pre-tokens (spaces and the word after them) that are encoded independe
 Each distinct pre-token is counted once, and the count is joined to the pre-tokens'
 frequencies per document.
 
-The frequencies travel in a compact form: a block of documents sends each owner of
-pre-tokens one row with the pre-tokens that hash to it, the documents they occur in and
-how often. The owner counts those it has not seen, and answers with the sums per document
-of the block; a last step adds the answers of all owners. A pre-token that is in every
-document is one entry per block, so no task gets more of it than there are blocks.
+Frequencies are joined to counts by the bucket of the pre-token, one of a fixed number: a
+block of documents sends a row per bucket, with its pre-tokens, the documents they occur in
+and how often, so that neither the rows nor the bytes grow with the number of partitions.
+Spark brings the rows of a bucket together and in order; its distinct pre-tokens are
+counted once and forgotten after it. The answer is sums per document of each block, which a
+last step adds. A pre-token that is in every document is one entry per block, so no task
+gets more of it than there are blocks.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +33,14 @@ from tideline.llm.common import partitions, slices
 SPACE = "▁"
 #: Bytes of text that a block of documents has; bounds the words a worker holds.
 BLOCK = 12 << 20
-#: Row that holds the documents of a block, not frequencies.
+#: Buckets of pre-tokens: more than tasks are wanted, whatever the number of partitions.
+BUCKETS = 1 << 15
+#: In place of a bucket: the row holds the documents of a block, not frequencies.
 DOCUMENTS = -1
+FREQUENCIES = (
+    "bucket int, block long, shape int, words binary, lengths binary, entries binary, "
+    "docs binary, times binary"
+)
 
 
 class PieceCounter:
@@ -83,130 +92,182 @@ def pre_tokens(text: str) -> list[str]:
     return [u if u[0] == "\n" else u[1:] for u in found]
 
 
-def _pack(*arrays) -> bytes:
-    import zstandard
+def _width(numbers: np.ndarray) -> int:
+    most = int(numbers.max(initial=0))
+    return 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
 
-    raw = b"".join(len(a).to_bytes(4, "little") + a for a in map(bytes, arrays))
-    return zstandard.ZstdCompressor(level=3).compress(raw)
 
+def _cut(data: bytes | pa.Buffer, edges: np.ndarray) -> pa.Array:
+    """One binary value between each two edges of a run of bytes."""
+    offsets = pa.py_buffer(np.ascontiguousarray(edges, "<i4"))
+    return pa.Array.from_buffers(
+        pa.binary(), len(edges) - 1, [None, offsets, pa.py_buffer(data)]
+    )
 
-def _unpack(blob: bytes) -> list[bytes]:
-    import zstandard
 
-    raw, out, at = zstandard.ZstdDecompressor().decompress(blob), [], 0
-    while at < len(raw):
-        n = int.from_bytes(raw[at : at + 4], "little")
-        out.append(raw[at + 4 : at + 4 + n])
-        at += 4 + n
-    return out
+def _run(column: pa.Array) -> np.ndarray:
+    """The bytes of all values of a binary column, one after the other."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], "<i8")[column.offset :][: len(column) + 1]
+    data = column.buffers()[2]
+    if data is None or not len(column):
+        return np.empty(0, "u1")
+    return np.frombuffer(data, "u1")[offsets[0] : offsets[-1]]
 
 
-def _small(numbers: np.ndarray) -> bytes:
-    """Whole numbers in the fewest bytes each, told by the first byte."""
-    most = int(numbers.max(initial=0))
-    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
-    return bytes([width]) + numbers.astype(f"<u{width}").tobytes()
+def _numbers(column: pa.Array, width: int) -> np.ndarray:
+    return _run(column).view(f"<u{width}").astype("i8")
 
 
-def _numbers(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype("i8")
+NAMES = [field.split()[0] for field in FREQUENCIES.split(", ")]
 
 
-def _frequencies(owners: int):
-    """Blocks of documents to one row per owner, and one with the documents."""
+def _block(batch: pa.RecordBatch, block: int) -> Iterator[pa.RecordBatch]:
+    """The documents of a block, and its frequencies by bucket."""
+    texts = batch.column(1).to_pylist()
+    split = [pre_tokens(t or "") for t in texts]
+    sizes = np.array([len((t or "").encode()) for t in texts], "<i8")
+    ids = batch.column(0)
+    known = np.array(ids.is_valid(), dtype="u1")
+    numbers = ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8")
+    parts = [known.tobytes(), numbers.tobytes(), sizes.tobytes(), b"", b""]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([DOCUMENTS], pa.int32()), pa.array([block], pa.int64()), pa.array([0], pa.int32())]
+        + [pa.array([part], pa.binary()) for part in parts],
+        NAMES,
+    )
+    doc = np.repeat(np.arange(len(split)), [len(s) for s in split])
+    coded = pa.array([u for s in split for u in s], pa.large_string()).dictionary_encode()
+    if not len(coded):
+        return
+    bucket = np.array(
+        [zlib.crc32(u.encode()) % BUCKETS for u in coded.dictionary.to_pylist()], "i4"
+    )
+    order = np.argsort(bucket, kind="stable")
+    rank = np.empty(len(order), "i8")
+    rank[order] = np.arange(len(order))
+    pairs, times = np.unique(rank[coded.indices.to_numpy()] * len(texts) + doc, return_counts=True)
+    of_unit, of_doc = np.divmod(pairs, len(texts))
+
+    words = coded.dictionary.take(pa.array(order)).cast(pa.large_binary())
+    ends = np.frombuffer(words.buffers()[1], "<i8")[: len(words) + 1]
+    entries = np.bincount(of_unit, minlength=len(order))
+    lengths = np.diff(ends)
+    bucket = bucket[order]
+    units = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
+    at = np.concatenate(([0], np.cumsum(entries)))[units]
+    columns, shape = [_cut(words.buffers()[2] or b"", ends[units])], 0
+    for k, (values, edges) in enumerate(
+        ((lengths, units), (entries, units), (of_doc, at), (times, at))
+    ):
+        width = _width(values)
+        shape |= width << 4 * k
+        columns.append(_cut(values.astype(f"<u{width}").tobytes(), edges * width))
+    n = len(units) - 1
+    rows = pa.RecordBatch.from_arrays(
+        [
+            pa.array(bucket[units[:-1]], pa.int32()),
+            pa.array(np.full(n, block), pa.int64()),
+            pa.array(np.full(n, shape), pa.int32()),
+            *columns,
+        ],
+        NAMES,
+    )
+    for first in range(0, n, 4096):
+        yield rows.slice(first, 4096)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
-        for number, batch in enumerate(slices(batches, 1, BLOCK)):
-            block = task * 1_000_003 + number
-            texts = batch.column(1).to_pylist()
-            split = [pre_tokens(t or "") for t in texts]
-            sizes = np.array([len((t or "").encode()) for t in texts], "<i8")
-            docs = np.repeat(np.arange(len(split)), [len(s) for s in split])
-            coded = pa.array([u for s in split for u in s], pa.large_string()).dictionary_encode()
-            units, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-            units = [u.encode() for u in units]
-            owner = np.array([zlib.crc32(u) % owners for u in units], "i8")
-            # Neighbours in the alphabet share their beginnings, which packs them small.
-            sorted_units = np.array(sorted(range(len(units)), key=units.__getitem__), "i8")
-            order = sorted_units[np.argsort(owner[sorted_units], kind="stable")]
-            rank = np.empty(len(order), "i8")
-            rank[order] = np.arange(len(order))
-            pairs, times = np.unique(rank[codes] * len(texts) + docs, return_counts=True)
-            of_unit, of_doc = np.divmod(pairs, max(1, len(texts)))
-            cuts = np.searchsorted(owner[order], np.arange(owners + 1))
-            ids = batch.column(0)
-            known = np.array(ids.is_valid(), dtype="u1")
-            numbers = ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8")
-            rows = [(DOCUMENTS, block, _pack(known.tobytes(), numbers.tobytes(), sizes.tobytes()))]
-            for k in range(owners):
-                low, high = cuts[k], cuts[k + 1]
-                if low == high:
-                    continue
-                a, b = np.searchsorted(of_unit, [low, high])
-                words = [units[i] for i in order[low:high]]
-                first = np.diff(of_unit[a:b], prepend=-1) != 0
-                step = np.diff(of_doc[a:b], prepend=0)
-                rows.append(
-                    (
-                        k,
-                        block,
-                        _pack(
-                            _small(np.array([len(w) for w in words], "i8")),
-                            b"".join(words),
-                            _small(np.bincount(of_unit[a:b] - low, minlength=high - low)),
-                            # Documents of a pre-token ascend: each as the step from the last.
-                            _small(np.where(first, of_doc[a:b], step)),
-                            _small(times[a:b]),
-                        ),
-                    )
-                )
-            for at in range(0, len(rows), 256):
-                part = rows[at : at + 256]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "owner": pa.array([r[0] for r in part], pa.int32()),
-                        "block": pa.array([r[1] for r in part], pa.int64()),
-                        "blob": pa.array([r[2] for r in part], pa.binary()),
-                    }
-                )
 
-    return run
+def _frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    task = TaskContext.get().partitionId()
+    for number, batch in enumerate(slices(batches, 1, BLOCK)):
+        yield from _block(batch, task * 1_000_003 + number)
+
+
+class _Counts:
+    """Pieces of the pre-tokens of the bucket that is worked on."""
+
+    def __init__(self, path: str) -> None:
+        self.counter, self.known = counter(path), {}
+
+    def of(self, units: list[bytes]) -> np.ndarray:
+        known = self.known
+        new = list({u for u in units if u not in known})
+        known.update(zip(new, self.counter.count([u.decode() for u in new]), strict=True))
+        return np.array([known[u] for u in units], "i8")
+
+    def keep(self, units: list[bytes]) -> None:
+        """Forget all but these, which may occur again."""
+        self.known = {u: self.known[u] for u in units}
+
+
+def _units(rows: pa.RecordBatch, shape: int) -> list[bytes]:
+    raw = _run(rows.column("words")).tobytes()
+    ends = np.cumsum(_numbers(rows.column("lengths"), shape & 15)).tolist()
+    return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def _sums(batch: pa.RecordBatch, counts: _Counts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """block, document, sum of the pieces, for the frequencies of a batch."""
+    shapes = batch.column("shape").to_numpy()
+    last = batch.column("bucket").to_numpy()[-1]
+    blocks, docs, sums, again = [], [], [], []
+    for shape in np.unique(shapes).tolist():
+        rows = batch.filter(pa.array(shapes == shape))
+        units = _units(rows, shape)
+        pieces = counts.of(units)
+        entries = _numbers(rows.column("entries"), shape >> 4 & 15)
+        of_row = pc.binary_length(rows.column("docs")).to_numpy() // (shape >> 8 & 15)
+        blocks.append(np.repeat(rows.column("block").to_numpy(), of_row))
+        docs.append(_numbers(rows.column("docs"), shape >> 8 & 15))
+        sums.append(np.repeat(pieces, entries) * _numbers(rows.column("times"), shape >> 12))
+        end = rows.filter(pa.array(rows.column("bucket").to_numpy() == last))
+        again += _units(end, shape)
+    counts.keep(again)
+    blocks, docs, sums = map(np.concatenate, (blocks, docs, sums))
+    order = np.lexsort((docs, blocks))
+    blocks, docs, sums = blocks[order], docs[order], sums[order]
+    first = np.flatnonzero(
+        np.concatenate(([True], (blocks[1:] != blocks[:-1]) | (docs[1:] != docs[:-1])))
+    )
+    return blocks[first], docs[first], np.add.reduceat(sums, first)
 
 
 def _count(path: str):
-    """An owner's rows to the sums per document of each block; distinct pre-tokens once."""
+    """Rows by bucket to sums per document of each block; rows with documents pass through."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
+        counts = _Counts(path)
         for batch in batches:
-            out = []
-            for blob in batch.column("blob").to_pylist():
-                lengths, raw, entries, steps, times = _unpack(blob)
-                ends = np.cumsum(_numbers(lengths)).tolist()
-                units = [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
-                new = [u for u in units if u not in known]
-                known.update(
-                    zip(new, counter(path).count([u.decode() for u in new]), strict=True)
+            buckets = batch.column("bucket").to_numpy()
+            documents = batch.filter(pa.array(buckets == DOCUMENTS))
+            if documents.num_rows:
+                yield pa.RecordBatch.from_arrays(
+                    [documents.column(n) for n in ("block", "words", "lengths", "entries")], ANSWERS
                 )
-                entries = _numbers(entries)
-                pieces = np.repeat(np.array([known[u] for u in units], "i8"), entries)
-                # Running sums that begin anew with every pre-token.
-                run = np.cumsum(_numbers(steps))
-                begins = np.cumsum(entries) - entries
-                before = np.concatenate(([0], run))[begins]
-                docs = run - np.repeat(before, entries)
-                sums = np.bincount(docs, pieces * _numbers(times)).astype("i8")
-                some = np.flatnonzero(sums)
-                out.append(_pack(_small(np.diff(some, prepend=0)), _small(sums[some])))
+            rest = batch.filter(pa.array(buckets != DOCUMENTS))
+            if not rest.num_rows:
+                continue
+            blocks, docs, sums = _sums(rest, counts)
+            edges = np.flatnonzero(np.concatenate(([True], blocks[1:] != blocks[:-1], [True])))
+            n = len(edges) - 1
             yield pa.RecordBatch.from_arrays(
-                [batch.column("owner"), batch.column("block"), pa.array(out, pa.binary())],
-                ["owner", "block", "blob"],
+                [
+                    pa.array(blocks[edges[:-1]], pa.int64()),
+                    pa.nulls(n, pa.binary()),
+                    _cut(docs.astype("<u4").tobytes(), edges * 4),
+                    _cut(sums.astype("<i8").tobytes(), edges * 8),
+                ],
+                ANSWERS,
             )
 
     return run
 
 
+#: The last two are identifiers and bytes where ``known`` tells which identifiers are null,
+#: else documents and sums.
+ANSWERS = ["block", "known", "one", "two"]
+
+
 def _add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows ordered by block, its documents first, to the documents with their totals."""
     names = ["id", "n_bytes", "n_tokens"]
@@ -223,18 +284,15 @@ def _add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     totals = None
     for batch in batches:
-        for owner, blob in zip(
-            batch.column("owner").to_pylist(), batch.column("blob").to_pylist(), strict=True
-        ):
-            parts = _unpack(blob)
-            if owner == DOCUMENTS:
+        for mask, one, two in zip(*(batch.column(n).to_pylist() for n in ANSWERS[1:]), strict=True):
+            if mask is not None:
                 if totals is not None:
                     yield finished()
-                known = np.frombuffer(parts[0], "u1").astype(bool)
-                ids, sizes = np.frombuffer(parts[1], "<i8"), np.frombuffer(parts[2], "<i8")
+                known = np.frombuffer(mask, "u1").astype(bool)
+                ids, sizes = np.frombuffer(one, "<i8"), np.frombuffer(two, "<i8")
                 totals = np.zeros(len(ids), "i8")
             else:
-                totals[np.cumsum(_numbers(parts[0]))] += _numbers(parts[1])
+                totals[np.frombuffer(one, "<u4")] += np.frombuffer(two, "<i8")
     if totals is not None:
         yield finished()
 
@@ -249,36 +307,20 @@ def token_counts(
     give a row each; an empty table gives no rows.
     """
     tasks = partitions(docs.sparkSession)
-    schema = "owner int, block long, blob binary"
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sent = rows.mapInArrow(_frequencies(tasks), schema)
-    # Documents need no counting; they go along, spread over the owners by block.
-    to = F.when(F.col("owner") == DOCUMENTS, F.pmod("block", F.lit(tasks)).cast("int"))
-    answers = sent.repartitionById(tasks, F.coalesce(to, F.col("owner"))).mapInArrow(
-        _answer(model), schema
+    sent = rows.mapInArrow(_frequencies, FREQUENCIES)
+    # Documents need no counting; they go along, spread by block.
+    to = F.when(F.col("bucket") == DOCUMENTS, F.col("block")).otherwise(F.col("bucket"))
+    answers = (
+        sent.repartitionById(tasks, F.pmod(to, F.lit(tasks)).cast("int"))
+        .sortWithinPartitions("bucket")
+        .mapInArrow(_count(model), "block long, known binary, one binary, two binary")
     )
     return (
         answers.repartitionById(tasks, F.pmod(F.xxhash64("block"), F.lit(tasks)).cast("int"))
-        .sortWithinPartitions("block", "owner")
+        .withColumn("order", F.col("known").isNull())
+        .sortWithinPartitions("block", "order")
+        .drop("order")
         .mapInArrow(_add, "id long, n_bytes long, n_tokens long")
         .withColumnRenamed("id", id_col)
     )
-
-
-def _answer(path: str):
-    """Counts frequencies; rows with documents pass through."""
-    count = _count(path)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def frequencies() -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                owners = batch.column("owner").to_numpy(zero_copy_only=False)
-                passed.append(batch.take(pa.array(np.flatnonzero(owners == DOCUMENTS))))
-                yield batch.take(pa.array(np.flatnonzero(owners != DOCUMENTS)))
-
-        passed: list[pa.RecordBatch] = []
-        for answer in count(frequencies()):
-            yield answer
-            yield passed.pop()
-
-    return run
