@@ -5,7 +5,13 @@ import numpy as np
 import pytest
 
 from tideline.llm.quality_classifier import (
+    SHAPE_INDEX,
+    SHAPES,
+    SIZE,
+    WORD_INDEX,
+    WORDS,
     Network,
+    corpus_sums,
     features,
     fit_classifier,
     held_out,
@@ -15,6 +21,8 @@ from tideline.llm.quality_classifier import (
     train,
     word_vectors,
 )
+from tideline.llm.queries import QUERIES
+from tideline.llm.words import words
 
 
 def corpus(make, n=600):
@@ -86,8 +94,11 @@ def test_nothing_to_learn(spark, edge):
 def test_sample_bound(case):
     docs, labels, known = case
     small = fit_classifier(docs, labels, sample_rows=40)
+    full = fit_classifier(docs, labels)
+    # The bound is on what the network learns from; word vectors come from all texts.
+    assert (small.vectors == full.vectors).all()
     assert small.network is not None
-    assert not np.allclose(small.vectors, fit_classifier(docs, labels).vectors)
+    assert not np.allclose(small.network.w1, full.network.w1)
 
 
 def test_features_do_not_depend_on_company():
@@ -109,3 +120,66 @@ def test_temperature_calibrates():
     for low in (0.0, 0.25, 0.5, 0.75):
         rows = (p >= low) & (p < low + 0.25)
         assert abs(p[rows].mean() - y[rows].mean()) < 0.06
+
+
+def plain_sums(texts):
+    """Neighbours' index vectors added word by word."""
+    total = np.zeros((WORDS, SIZE))
+    for text in texts:
+        found = words([(text or "").encode()], shapes=True)
+        at = (found.hashes % np.uint64(WORDS)).astype(int).tolist()
+        shape = (found.shapes % np.uint64(SHAPES)).astype(int).tolist()
+        index = [WORD_INDEX[a] + SHAPE_INDEX[s] for a, s in zip(at, shape, strict=True)]
+        for i, a in enumerate(at):
+            for k in (i - 2, i - 1, i + 1, i + 2):
+                if 0 <= k < len(at):
+                    total[a] += index[k]
+    return total
+
+
+@pytest.mark.parametrize("parts", [1, 3, 23])
+def test_word_vectors_come_from_all_texts(spark, edge, parts):
+    short = edge.filter("doc_id IS NULL OR doc_id NOT IN (6, 7)")
+    expected = plain_sums([r.text for r in short.collect()])
+    found = corpus_sums(short.repartition(parts))
+    assert found.any() and (found == expected).all()
+
+
+def test_no_texts_give_no_sums(nothing):
+    assert not corpus_sums(nothing).any()
+
+
+def test_vectors_are_the_same_under_any_partitioning(case):
+    docs, labels, _ = case
+    one, two = (fit_classifier(docs.repartition(n), labels) for n in (2, 11))
+    assert (one.vectors == two.vectors).all()
+
+
+def plain_score(model, text):
+    """Features and forward pass of one text, without arrays over words."""
+    found = words([(text or "").encode()], shapes=True)
+    at = (found.hashes % np.uint64(WORDS)).astype(int).tolist()
+    shape = (found.shapes % np.uint64(SHAPES)).astype(int).tolist()
+    x = np.zeros(3 * SIZE + 5)
+    if at:
+        pooled = [sum(model.vectors[a] for a in at) / len(at), sum(WORD_INDEX[a] for a in at) / len(at)]
+        pooled.append(sum(SHAPE_INDEX[s] for s in shape) / len(at))
+        x[: 3 * SIZE] = np.concatenate(pooled)
+        x[3 * SIZE :] = [np.log1p(len(at)), len(set(found.hashes.tolist())) / len(at), *map(np.linalg.norm, pooled)]
+    net = model.network
+    z = np.clip((x - net.mean) / net.scale, -4, 4)
+    logit = sum(np.tanh(z @ net.w1[:, k] + net.b1[k]) * net.w2[k] for k in range(len(net.w2))) + net.b2
+    return 1 / (1 + np.exp(-np.clip(logit / net.temperature, -30, 30)))
+
+
+def test_query_equals_the_plain_way(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    model = fit_classifier(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = QUERIES["op8_quality_classifier"](spark, folder).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        assert abs(r.score - plain_score(model, texts[r.doc_id])) < 1e-4
+        assert r.predicted == int(r.score >= 0.3)
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)

@@ -1,13 +1,14 @@
 """Quality classifier on random-indexing word vectors.
 
 Every word and every word shape has a sparse random index vector. The vector of a word is
-the sum of the index vectors of its neighbours in the training texts. A document is the
+the sum of the index vectors of its neighbours in all texts. A document is the
 mean of its words' vectors, of their index vectors and of those of their shapes, with its
 length and the share of different words. A network of two layers, in numpy, turns that
 into a logit; a temperature fitted on rows the network did not see makes it a probability.
 
-The training texts are a sample of labelled rows whose size is a parameter. What grows
-with the corpus is only the scoring, which looks at every whole text in place.
+Word vectors need no labels: they are summed over every whole text, in whole numbers, by
+task and then in a tree, so that they are the same in any order. The network learns from a
+sample of labelled rows whose size is a parameter. Scoring looks at every text in place.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import map_rows, slices, stored
+from tideline.llm.common import map_rows, partitions, slices, stored
 from tideline.llm.words import Words, chunks, mix, words
 
 WORDS, SHAPES, SIZE, SIGNS = 1 << 15, 1 << 11, 32, 4
@@ -73,6 +74,64 @@ def context_sums(texts: list[str | None]) -> np.ndarray:
     return total
 
 
+#: Tables that are added in one place of the tree.
+FAN_IN = 8
+
+
+def _packed(total: np.ndarray) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(total.astype("<i8").tobytes())
+
+
+def _table_sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's texts to one table of sums; the sums are whole numbers."""
+    total = np.zeros((WORDS, SIZE), dtype="f8")
+    for batch in slices(batches, 0):
+        total += context_sums(batch.column(0).to_pylist())
+    yield pa.RecordBatch.from_pydict({"sums": pa.array([_packed(total)], pa.binary())})
+
+
+def _added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Several tables to their sum, one at a time."""
+    import zstandard
+
+    total = np.zeros(WORDS * SIZE, dtype="i8")
+    some = False
+    for batch in batches:
+        for raw in batch.column(batch.num_columns - 1):
+            total += np.frombuffer(zstandard.ZstdDecompressor().decompress(raw.as_py()), "<i8")
+            some = True
+    if some:
+        yield pa.RecordBatch.from_pydict({"sums": pa.array([_packed(total)], pa.binary())})
+
+
+def corpus_sums(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """Context sums over all texts: a table of fixed size per task, added in a tree.
+
+    The driver gets one table. Null and empty texts have no words; repeated rows count as
+    often as they occur; an empty table gives zeros.
+    """
+    import zstandard
+
+    text = docs.select(F.col(f"`{text_col}`").alias("text"))
+    tables = text.mapInArrow(_table_sums, "sums binary")
+    places = partitions(docs.sparkSession)
+    at = F.pmod(F.spark_partition_id(), F.lit(places))
+    while True:
+        tables = tables.select(at.cast("int").alias("place"), "sums").repartitionById(places, F.col("place"))
+        tables = tables.mapInArrow(_added, "sums binary")
+        if places == 1:
+            break
+        places = -(-places // FAN_IN)
+        at = F.pmod(F.spark_partition_id(), F.lit(places))
+    total = np.zeros((WORDS, SIZE), dtype="f8")
+    for row in tables.collect():
+        raw = zstandard.ZstdDecompressor().decompress(row.sums)
+        total += np.frombuffer(raw, "<i8").reshape(WORDS, SIZE)
+    return total
+
+
 def word_vectors(sums: np.ndarray) -> np.ndarray:
     norms = np.linalg.norm(sums, axis=1, keepdims=True)
     return (sums / np.maximum(norms, 1e-9)).astype("f4")
@@ -209,7 +268,7 @@ def fit_classifier(
     label_col: str = "quality",
     sample_rows: int = 8000,
 ) -> Classifier:
-    """Learn from at most ``sample_rows`` labelled rows that are not held out.
+    """Word vectors from all texts, a network from ``sample_rows`` labelled ones not held out.
 
     The sample is the rows with the smallest hash of their identifier, and is learned from
     whole. Word vectors and features are computed by tasks; the driver gets their sums
@@ -233,16 +292,7 @@ def fit_classifier(
         "quality-sample",
     )
 
-    def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((WORDS, SIZE), dtype="f8")
-        for batch in slices(batches, 0):
-            total += context_sums(batch.column(0).to_pylist())
-        yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tobytes()], pa.binary())})
-
-    total = np.zeros((WORDS, SIZE), dtype="f8")
-    for row in sample.select("text").coalesce(8).mapInArrow(sums, "sums binary").toLocalIterator():
-        total += np.frombuffer(row.sums).reshape(WORDS, SIZE)
-    vectors = word_vectors(total)
+    vectors = word_vectors(corpus_sums(docs, text_col))
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2):
