@@ -42,7 +42,7 @@ def owners_of(tasks: int, fan_in: int) -> tuple[int, int]:
 
 
 def merge_runs(
-    rows: DataFrame, keep: str, fan_in: int = 16, carried: str | None = None
+    rows: DataFrame, keep: str, fan_in: int = 4, carried: str | None = None
 ) -> DataFrame:
     """The tree merge. ``rows`` has part, id and the key (prefix, digest, bytes).
 
@@ -114,7 +114,7 @@ def exact_classes(
     id_col: str = "doc_id",
     text_col: str = "text",
     keep: str = "max",
-    fan_in: int = 16,
+    fan_in: int = 4,
 ) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, text_sha256.
 
