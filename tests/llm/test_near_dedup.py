@@ -176,3 +176,80 @@ def test_near_copies_of_repeated_identifiers_go(make):
     left = near_dedup(make(rows).repartition(3)).collect()
     found = sorted((r.doc_id, r.text[0]) for r in left)
     assert found == [(1, "a"), (2, "b"), (3, "c")]
+
+
+LONG_SEQUENCES = st.lists(st.integers(0, 30), min_size=100, max_size=400)
+
+
+@settings(max_examples=150, deadline=None)
+@given(LONG_SEQUENCES, st.data(), st.sampled_from([0.3, 0.6, 0.8]))
+def test_bands_that_slide_and_widen_are_exact(a, data, similarity):
+    b = list(a)
+    for _ in range(data.draw(st.integers(0, 60))):
+        at = data.draw(st.integers(0, len(b)))
+        if data.draw(st.booleans()):
+            b[at : at + data.draw(st.integers(0, 9))] = []
+        else:
+            b[at:at] = data.draw(st.lists(st.integers(0, 40), max_size=9))
+    if not b:
+        return
+    need = needed(len(a), len(b), similarity)
+    exact = common(a, b)
+    for narrow in (1, 16, 64):
+        module.NARROW = narrow
+        try:
+            found = aligned(np.array(a, "u8"), np.array(b, "u8"), need)
+        finally:
+            module.NARROW = 64
+        assert found == (exact if exact >= need else 0)
+
+
+def test_long_texts_with_few_changes_take_little_time():
+    import time
+
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 1 << 60, 1_000_000).astype("u8")
+    b = a.copy()
+    at = rng.choice(len(b), 200, replace=False)
+    b[at] = rng.integers(0, 1 << 60, len(at))
+    begin = time.monotonic()
+    assert aligned(a, b, needed(len(a), len(b), 0.8)) == len(a) - 200
+    assert time.monotonic() - begin < 60
+
+
+def test_groups_meet_in_any_batches():
+    """Pairs of groups that lie in one batch, in several, and together with others."""
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    rows, expected = [], set()
+    for bucket in range(40):
+        sides = rng.choice([[0], [0, 1]])
+        size = rng.randint(0, 9)
+        group = [(bucket, 0, sides[-1], rng.choice(sides), 100 * bucket + k) for k in range(size)]
+        group.sort(key=lambda r: r[3])
+        two = len({r[3] for r in group}) == 2
+        for x in group:
+            for y in group:
+                if x[4] < y[4] and (not two or x[3] != y[3]):
+                    expected.add((x[4], y[4]))
+        rows += group
+    batch = pa.RecordBatch.from_pydict(
+        {
+            **{n: pa.array([r[k] for r in rows], pa.int64()) for k, n in enumerate(["bucket", "low", "high", "side", "row"])},
+            "root": pa.array([r[4] for r in rows], pa.int64()),
+            "n": pa.array([8] * len(rows), pa.int64()),
+            "u": pa.array([0] * len(rows), pa.int64()),
+            "bits": pa.array([b"\xff"] * len(rows), pa.binary()),
+            "sketches": pa.array([[r[0], 7] for r in rows], pa.list_(pa.int64())),
+        }
+    )
+    for step in (1, 2, 5, 17, len(rows)):
+        parts = [batch.slice(k, step) for k in range(0, len(rows), step)]
+        found = [
+            pair
+            for out in module._blocks(0.8)(parts)
+            for pair in zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True)
+        ]
+        assert len(found) == len(set(found)) and set(found) == expected
+    assert list(module._blocks(0.8)([])) == []

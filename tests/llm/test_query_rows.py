@@ -1,0 +1,208 @@
+"""Rows of the queries on the real tables, each against its library or a plain version."""
+
+import zlib
+from collections import defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+import tideline.llm.secrets as secrets
+from tideline.llm.near_dedup import shingles
+from tideline.llm.queries import PIECE_BPE, QUERIES, WORD_BPE
+from tideline.llm.secrets import default_forest
+from tideline.llm.words import words
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    return {r.doc_id: r.text or "" for r in docs}
+
+
+@pytest.fixture(scope="module")
+def ids(texts):
+    library = Tokenizer.from_file(WORD_BPE)
+    return {i: library.encode(t, add_special_tokens=False).ids for i, t in texts.items()}
+
+
+def crc(numbers):
+    return zlib.crc32(np.array(numbers, "<u4").tobytes())
+
+
+def rows(spark, name):
+    return QUERIES[name](spark, SF).collect()
+
+
+def test_op4(spark, ids):
+    start, expected = 0, []
+    for i in sorted(ids):
+        own = [*ids[i], 2]
+        expected.append((i, start, len(own), crc(own)))
+        start += len(own)
+    assert sorted(map(tuple, rows(spark, "op4_token_files"))) == expected
+
+
+def test_op5(spark, ids):
+    found = rows(spark, "op5_best_fit_packing")
+    expected = []
+    for i, own in ids.items():
+        own = [*own, 1]
+        for piece, at in enumerate(range(0, len(own), 4096)):
+            part = own[at : at + 4096]
+            expected.append((i, piece, at, len(part), crc(part)))
+    assert sorted(tuple(r)[:5] for r in found) == sorted(expected)
+    sequences = defaultdict(list)
+    for r in found:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for places in sequences.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= 4096
+    total = sum(r.length for r in found)
+    assert -(-total // 4096) <= len(sequences) <= -(-total // 4096) + 1
+
+
+def test_op6_base_columns_in_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    sql = r"""
+    WITH t AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+    w AS (SELECT doc_id, body, regexp_extract_all(body, '[^\x20\x09-\x0D]+') AS words FROM t),
+    lines AS (
+      SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line) AS nth
+      FROM (SELECT doc_id, unnest(string_split(body, chr(10))) AS line FROM t)
+      WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+    dup AS (SELECT doc_id, count(*) AS n FROM lines WHERE nth > 1 GROUP BY doc_id),
+    win AS (
+      SELECT doc_id, pos, array_to_string(words[pos:pos + 4], ' ') AS run
+      FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS pos FROM w)),
+    twice AS (
+      SELECT doc_id, pos FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, run) > 1),
+    hit AS (
+      SELECT doc_id, count(DISTINCT place) AS n
+      FROM (SELECT doc_id, unnest(range(pos, pos + 5)) AS place FROM twice) GROUP BY doc_id),
+    base AS (
+      SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+             CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(body, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+             coalesce(dup.n, 0) AS n_dup_lines, coalesce(hit.n, 0) AS n_repeat_words
+      FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN hit USING (doc_id))
+    SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base"""
+    expected = sorted(con.execute(sql).fetchall())
+    found = rows(spark, "op6_quality_rules")
+    assert sorted(tuple(r)[:7] for r in found) == expected
+    assert not any(r.kept and r.base_failed for r in found)
+
+
+def test_op7(spark, texts):
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECE_BPE)
+    expected = []
+    for i, text in texts.items():
+        n = len(library.encode(text))
+        expected.append((i, len(text.encode()), n, n > 4096))
+    assert sorted(map(tuple, rows(spark, "op7_token_counts"))) == sorted(expected)
+
+
+def test_op10(spark, texts):
+    """Ids of as many tokens as decode to the text; U+2581 can't be told from a space."""
+    for r in rows(spark, "op10_sentencepiece_viterbi"):
+        text = texts[r.doc_id].replace("▁", " ")
+        assert (r.decoded_chars, r.decoded_crc32) == (len(text), zlib.crc32(text.encode()))
+        assert (r.n_tokens == 0) == (text == "")
+
+
+def plain_runs(text):
+    """Candidates found character by character, with regular expressions for names alone."""
+    key = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_.~-")
+    at = 0
+    while at < len(text):
+        if text[at] in key:
+            end = at
+            while end < len(text) and text[end] in key:
+                end += 1
+            if end - at >= secrets.MIN_RUN:
+                yield at, end
+            at = end
+        at += 1
+
+
+def walk(tree, x):
+    at = 0
+    while tree.feature[at] >= 0:
+        at = tree.left[at] if x[tree.feature[at]] <= tree.threshold[at] else tree.right[at]
+    return tree.value[at]
+
+
+def test_op1(spark, texts):
+    """Every verdict by a plain walk through the trees, and every bare run with a digit met."""
+    import hashlib
+
+    forest = default_forest()
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    found = defaultdict(list)
+    for r in rows(spark, "op1_secret_scan"):
+        found[r.doc_id].append(r)
+    for i, text in texts.items():
+        spans = sorted((r.start, r.end) for r in found[i])
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+        listed = {(f.start, f.end): f for f in secrets.findings(text, docs[i].source or "")}
+        assert {(r.start, r.end) for r in found[i]} == set(listed)
+        for r in found[i]:
+            f = listed[r.start, r.end]
+            assert r.value_sha256 == hashlib.sha256(text[r.start : r.end].encode()).hexdigest()
+            x = secrets.describe(f)
+            score = sum(walk(t, x) for t in forest.trees) / len(forest.trees)
+            assert abs(r.score - score) < 1e-5
+            assert r.is_secret == (score >= 0.5)
+        for start, end in plain_runs(text):
+            if any(c in "0123456789" for c in text[start:end].strip("=.-_~+/")):
+                # Trimmed of its name and its ends, the run is a candidate or met by one.
+                assert any(a < end and start < b for a, b in spans) or end - start < 30
+
+
+def lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b, 1):
+            here = row[j]
+            row[j] = last + 1 if x == y else max(row[j], row[j - 1])
+            last = here
+    return row[-1]
+
+
+def test_op9(spark, texts):
+    """Classes against all pairs: alignments of every two texts that share enough shingles."""
+    runs = {i: shingles(words([t.encode()]).hashes.astype("<u4")).tolist() for i, t in texts.items()}
+    root = {i: i for i in texts}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    ordered, sets = sorted(texts), {i: set(r) for i, r in runs.items()}
+    for k, i in enumerate(ordered):
+        for j in ordered[:k]:
+            a, b = runs[i], runs[j]
+            need = (len(a) + len(b)) * 0.8 / 1.8 - 1e-9
+            same = a == b
+            if not same and (not a or not b or min(len(a), len(b)) < need):
+                continue
+            if not same and len(sets[i] & sets[j]) < 0.3 * need:
+                continue  # can't be: repeated shingles are few in these texts
+            if same or lcs(a, b) >= need:
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    sizes = defaultdict(int)
+    for i in texts:
+        sizes[find(i)] += 1
+    expected = sorted((i, find(i), sizes[find(i)], find(i) == i) for i in texts)
+    assert sorted((r.doc_id, r.class_id, r.class_size, r.kept) for r in rows(spark, "op9_order_minhash")) == expected

@@ -41,6 +41,10 @@ SKETCHES, MINIMA = 16, 3
 BLOCK = 256
 #: Places a bucket of unknown size is dealt to.
 SPREAD = 8
+#: A shingle that a text has more often is looked up as bits.
+MANY = 8
+#: Columns off the diagonal of the first band, and columns that are dropped together.
+NARROW, DROP = 64, 64
 #: Texts with more shingles go through the hash functions one by one, to bound memory.
 LONG = 1 << 16
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype="u8") * np.uint64(0x9E3779B97F4A7C15))
@@ -95,15 +99,63 @@ def sketch(kinds: np.ndarray) -> np.ndarray:
     return out
 
 
+class _Columns:
+    """Where a sequence has each value: as places, or as bits where there are many."""
+
+    def __init__(self, values: np.ndarray) -> None:
+        self.size = len(values)
+        self.places: dict[int, list[int]] = {}
+        for j, value in enumerate(values.tolist()):
+            self.places.setdefault(value, []).append(j)
+        self.bits = {
+            value: sum(1 << j for j in columns)
+            for value, columns in self.places.items()
+            if len(columns) > MANY
+        }
+
+    def common(self, rows: list[int], band: int) -> int:
+        """Longest common subsequence whose matches lie at most ``band`` off the diagonal.
+
+        A bit vector over the columns of the band is updated row by row. Columns that the
+        band has left can't change any more: they are counted and dropped, some at a time.
+        Columns it has not reached have no match yet.
+        """
+        width = 2 * band + 1 + DROP
+        full = state = (1 << width) - 1
+        window = (1 << 2 * band + 1) - 1
+        base = done = 0  # the column of the lowest bit, and matches in the columns dropped
+        for i, value in enumerate(rows):
+            low = i - band - base
+            if low >= DROP:
+                done += low - (state & ((1 << low) - 1)).bit_count()
+                state = state >> low | (full ^ (full >> low))
+                base, low = base + low, 0
+            columns = self.places.get(value)
+            if columns is None:
+                continue
+            if value in self.bits:
+                inside = window << low if low >= 0 else window >> -low
+                match = self.bits[value] >> base & inside
+            else:
+                match = 0
+                for j in columns:
+                    if -band <= j - i <= band:
+                        match |= 1 << (j - base)
+            hit = state & match
+            state = ((state + hit) | (state - hit)) & full
+        return done + width - state.bit_count()
+
+
 def aligned(a: np.ndarray, b: np.ndarray, need: int) -> int:
     """Longest common subsequence of two shingle sequences, 0 if it is under ``need``.
 
-    Equal ends are matched first. In between, row by row, a bit vector over the second
-    sequence is updated; only positions inside the band count.
+    Equal ends are matched first, the rest is searched in a band off the diagonal. A band is
+    wide enough if no more is left unmatched than it is wide; the search begins with a
+    narrow one, which is enough for texts that differ in few places, and widens it up to
+    the band that an alignment of ``need`` matches can't leave.
     """
     if min(len(a), len(b)) < need:
         return 0
-    band = len(a) + len(b) - 2 * need
     short = min(len(a), len(b))
     differ = np.flatnonzero(a[:short] != b[:short])
     head = int(differ[0]) if len(differ) else short
@@ -113,23 +165,16 @@ def aligned(a: np.ndarray, b: np.ndarray, need: int) -> int:
     a, b = a[head : len(a) - tail], b[head : len(b) - tail]
     done = head + tail
     if len(a) and len(b):
+        most = len(a) + len(b) - 2 * (need - done)
         common = np.intersect1d(labelled(a), labelled(b), assume_unique=True)
         if done + len(common) < need:
             return 0
-        places: dict[int, int] = {}
-        for j, value in enumerate(b.tolist()):
-            places[value] = places.get(value, 0) | (1 << j)
-        full = (1 << len(b)) - 1
-        window = (1 << (2 * band + 1)) - 1
-        state = full
-        for i, value in enumerate(a.tolist()):
-            match = places.get(value)
-            if match:
-                low = i - band
-                match &= window << low if low >= 0 else window >> -low
-                hit = state & match
-                state = ((state + hit) | (state - hit)) & full
-        done += len(b) - state.bit_count()
+        rows, columns, band = a.tolist(), _Columns(b), min(most, NARROW)
+        found = columns.common(rows, band)
+        while band < most and len(a) + len(b) - 2 * found > band:
+            band = min(most, 4 * band)
+            found = columns.common(rows, band)
+        done += found
     return done if done >= need else 0
 
 
