@@ -33,8 +33,10 @@ from tideline.llm.common import partitions, slices
 SPACE = "▁"
 #: Bytes of text that a block of documents has; bounds the words a worker holds.
 BLOCK = 12 << 20
-#: Buckets of pre-tokens: more than tasks are wanted, whatever the number of partitions.
-BUCKETS = 1 << 15
+#: Buckets of pre-tokens: as many tasks can count, whatever the number of partitions.
+BUCKETS = 1 << 13
+#: Entries of a pre-token, and times in a document, that are written together: one byte holds them.
+MOST = 255
 #: In place of a bucket: the row holds the documents of a block, not frequencies.
 DOCUMENTS = -1
 FREQUENCIES = (
@@ -97,6 +99,13 @@ def _width(numbers: np.ndarray) -> int:
     return 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
 
 
+def _parts(numbers: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """Each number as so many of at most MOST, the last one with the rest."""
+    out = np.full(int(parts.sum()), MOST, "i8")
+    out[np.cumsum(parts) - 1] = numbers - MOST * (parts - 1)
+    return out
+
+
 def _cut(data: bytes | pa.Buffer, edges: np.ndarray) -> pa.Array:
     """One binary value between each two edges of a run of bytes."""
     offsets = pa.py_buffer(np.ascontiguousarray(edges, "<i4"))
@@ -147,22 +156,29 @@ def _block(batch: pa.RecordBatch, block: int) -> Iterator[pa.RecordBatch]:
     rank = np.empty(len(order), "i8")
     rank[order] = np.arange(len(order))
     pairs, times = np.unique(rank[coded.indices.to_numpy()] * len(texts) + doc, return_counts=True)
+    # What is more often in a document, or in more documents, is written more than once.
+    again = -(-times // MOST)
+    pairs, times = np.repeat(pairs, again), _parts(times, again)
     of_unit, of_doc = np.divmod(pairs, len(texts))
+    entries = np.bincount(of_unit, minlength=len(order))
+    again = -(-entries // MOST)
+    order, entries = np.repeat(order, again), _parts(entries, again)
 
     words = coded.dictionary.take(pa.array(order)).cast(pa.large_binary())
     ends = np.frombuffer(words.buffers()[1], "<i8")[: len(words) + 1]
-    entries = np.bincount(of_unit, minlength=len(order))
     lengths = np.diff(ends)
     bucket = bucket[order]
     units = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
     at = np.concatenate(([0], np.cumsum(entries)))[units]
-    columns, shape = [_cut(words.buffers()[2] or b"", ends[units])], 0
-    for k, (values, edges) in enumerate(
-        ((lengths, units), (entries, units), (of_doc, at), (times, at))
-    ):
-        width = _width(values)
-        shape |= width << 4 * k
-        columns.append(_cut(values.astype(f"<u{width}").tobytes(), edges * width))
+    length, doc = _width(lengths), _width(of_doc)
+    shape = length | doc << 4
+    columns = [
+        _cut(words.buffers()[2] or b"", ends[units]),
+        _cut(lengths.astype(f"<u{length}").tobytes(), units * length),
+        _cut(entries.astype("u1").tobytes(), units),
+        _cut(of_doc.astype(f"<u{doc}").tobytes(), at * doc),
+        _cut(times.astype("u1").tobytes(), at),
+    ]
     n = len(units) - 1
     rows = pa.RecordBatch.from_arrays(
         [
@@ -215,11 +231,11 @@ def _sums(batch: pa.RecordBatch, counts: _Counts) -> tuple[np.ndarray, np.ndarra
         rows = batch.filter(pa.array(shapes == shape))
         units = _units(rows, shape)
         pieces = counts.of(units)
-        entries = _numbers(rows.column("entries"), shape >> 4 & 15)
-        of_row = pc.binary_length(rows.column("docs")).to_numpy() // (shape >> 8 & 15)
+        entries = _numbers(rows.column("entries"), 1)
+        of_row = pc.binary_length(rows.column("times")).to_numpy()
         blocks.append(np.repeat(rows.column("block").to_numpy(), of_row))
-        docs.append(_numbers(rows.column("docs"), shape >> 8 & 15))
-        sums.append(np.repeat(pieces, entries) * _numbers(rows.column("times"), shape >> 12))
+        docs.append(_numbers(rows.column("docs"), shape >> 4))
+        sums.append(np.repeat(pieces, entries) * _numbers(rows.column("times"), 1))
         end = rows.filter(pa.array(rows.column("bucket").to_numpy() == last))
         again += _units(end, shape)
     counts.keep(again)
@@ -241,21 +257,21 @@ def _count(path: str):
             buckets = batch.column("bucket").to_numpy()
             documents = batch.filter(pa.array(buckets == DOCUMENTS))
             if documents.num_rows:
-                yield pa.RecordBatch.from_arrays(
-                    [documents.column(n) for n in ("block", "words", "lengths", "entries")], ANSWERS
-                )
+                columns = [documents.column(n) for n in ("block", "shape", "words", "lengths", "entries")]
+                yield pa.RecordBatch.from_arrays(columns, ANSWERS)
             rest = batch.filter(pa.array(buckets != DOCUMENTS))
             if not rest.num_rows:
                 continue
             blocks, docs, sums = _sums(rest, counts)
             edges = np.flatnonzero(np.concatenate(([True], blocks[1:] != blocks[:-1], [True])))
-            n = len(edges) - 1
+            n, doc, size = len(edges) - 1, _width(docs), _width(sums)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(blocks[edges[:-1]], pa.int64()),
+                    pa.array(np.full(n, doc | size << 4), pa.int32()),
                     pa.nulls(n, pa.binary()),
-                    _cut(docs.astype("<u4").tobytes(), edges * 4),
-                    _cut(sums.astype("<i8").tobytes(), edges * 8),
+                    _cut(docs.astype(f"<u{doc}").tobytes(), edges * doc),
+                    _cut(sums.astype(f"<u{size}").tobytes(), edges * size),
                 ],
                 ANSWERS,
             )
@@ -264,8 +280,8 @@ def _count(path: str):
 
 
 #: The last two are identifiers and bytes where ``known`` tells which identifiers are null,
-#: else documents and sums.
-ANSWERS = ["block", "known", "one", "two"]
+#: else documents and sums, as wide as ``shape`` says.
+ANSWERS = ["block", "shape", "known", "one", "two"]
 
 
 def _add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,7 +300,8 @@ def _add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     totals = None
     for batch in batches:
-        for mask, one, two in zip(*(batch.column(n).to_pylist() for n in ANSWERS[1:]), strict=True):
+        rows = (batch.column(n).to_pylist() for n in ANSWERS[1:])
+        for shape, mask, one, two in zip(*rows, strict=True):
             if mask is not None:
                 if totals is not None:
                     yield finished()
@@ -292,7 +309,8 @@ def _add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ids, sizes = np.frombuffer(one, "<i8"), np.frombuffer(two, "<i8")
                 totals = np.zeros(len(ids), "i8")
             else:
-                totals[np.frombuffer(one, "<u4")] += np.frombuffer(two, "<i8")
+                found = np.frombuffer(one, f"<u{shape & 15}")
+                totals[found] += np.frombuffer(two, f"<u{shape >> 4}").astype("i8")
     if totals is not None:
         yield finished()
 
@@ -314,7 +332,7 @@ def token_counts(
     answers = (
         sent.repartitionById(tasks, F.pmod(to, F.lit(tasks)).cast("int"))
         .sortWithinPartitions("bucket")
-        .mapInArrow(_count(model), "block long, known binary, one binary, two binary")
+        .mapInArrow(_count(model), "block long, shape int, known binary, one binary, two binary")
     )
     return (
         answers.repartitionById(tasks, F.pmod(F.xxhash64("block"), F.lit(tasks)).cast("int"))
