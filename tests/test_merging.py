@@ -344,3 +344,13 @@ def test_a_changed_summary_with_buckets_and_moving_keys(spark, tmp_path):
     run(spark, spec, DAY1)
     totals = spec.serving.read(spark).selectExpr("string(weather_date)", "total")
     assert rows(totals, "weather_date") == [("2024-01-01", 33.0), ("2024-01-02", 4.0)]
+
+
+def test_the_index_keeps_sorted_fingerprints_small(spark, tmp_path):
+    path = tmp_path / "t"
+    many = spark.range(200_000).selectExpr("concat('k', id) AS k", "1 AS v", "date'2024-01-01' AS d")
+    index = KeyIndex(f"{path}_keys", ["k"], ["d"])
+    index.replace(many)
+    kept = sum(p.stat().st_size for p in (tmp_path / "t_keys").rglob("*.parquet"))
+    assert kept < 6.6 * 200_000
+    assert index.read(many).count() == 200_000
